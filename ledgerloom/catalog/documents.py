@@ -5,46 +5,52 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.registry import NOW, RUN_TS, doubles, query
+from ledgerloom.functions.moments import iso_day
 from ledgerloom.operators import categorize, headers, lines, lookups, reconcile, validate
 from ledgerloom.operators.staging import update_where
 
 # ---------------------------------------------------------------- shared inputs of the queries below
 
 
+def stage(i):
+    """The staging rows are read by headers, lines and taxes: written once, as a run does."""
+    return i.once("stage", lambda: i["fx_stage"])
+
+
 def run_headers(i):
     """Headers of the whole staging view as one run; repeated document numbers are left out, ids are the
-    document ids so that results can be compared by value."""
-    built = lines.without_duplicates(headers.build_headers(i["fx_stage"], 2))
-    return built.withColumn("transaction_id", F.col("document_id"))
+    document ids so that results can be compared by value. A table in a run, so it is written once here too."""
+    built = headers.build_headers(stage(i), 2).withColumn("transaction_id", F.col("document_id"))
+    return i.once("headers", lambda: lines.without_duplicates(built))
 
 
 def enriched(i, mode, missing_type="null"):
     return headers.enrich_headers(run_headers(i), i["fx_loc"], i["fx_lookup"], mode, missing_type)
 
 
-def rolled_up(i, mode, missing_type="null"):
-    hdr = enriched(i, mode, missing_type)
-    return lines.rollup_amounts(hdr, lines.line_rows(i["fx_stage"], run_headers(i)))
+def line_rows(i):
+    return lines.line_rows(stage(i), run_headers(i))
+
+
+def tax_rows(i):
+    return lines.document_taxes(stage(i), run_headers(i))
 
 
 def categorized(i, mode, missing_type="null"):
-    taxes = lines.document_taxes(i["fx_stage"], run_headers(i))
-    return categorize.categorize(rolled_up(i, mode, missing_type), taxes, i["fx_lookup"], i["fx_eligible"], RUN_TS)
+    facts = validate.document_facts(enriched(i, mode, missing_type), line_rows(i), tax_rows(i))
+    return categorize.categorize(facts, i["fx_lookup"], i["fx_eligible"], RUN_TS)
 
 
 def source_documents(i):
-    from ledgerloom.functions.moments import iso_day
-
     return i["fx_hdr"].select("document_num", iso_day(F.col("document_date")).alias("document_date"))
 
 
 def validated(i, mode):
     """Both modes run over all documents; document kinds a mode does not know fail its rules."""
-    ls, ts = lines.line_rows(i["fx_stage"], run_headers(i)), lines.document_taxes(i["fx_stage"], run_headers(i))
     if mode == "receivable":
-        hdr = categorized(i, mode, "keep")
-        return validate.validate_receivable(hdr, ls, ts, i["fx_lookup"], source_documents(i), note_codes=("O",), max_lines=7)
-    return validate.validate_transfer(categorized(i, mode), ls, ts, max_lines=7)
+        df = categorized(i, mode, "keep")
+        return validate.validate_receivable(df, i["fx_lookup"], source_documents(i), note_codes=("O",), max_lines=7)
+    return validate.validate_transfer(categorized(i, mode), max_lines=7)
 
 
 # ---------------------------------------------------------------- SQL of the same, step by step
@@ -302,7 +308,7 @@ SELECT transaction_id, line_number, item_code, item_name, hsn_code, cast(quantit
   cast(base_amount AS double) AS base_amount, cast(tax_amount AS double) AS tax_amount, cast(gross_amount AS double) AS gross_amount, tax_trx_line_id FROM ln""",
 )
 def q_build_lines(i):
-    built = lines.build_lines(i["fx_stage"], run_headers(i))
+    built = lines.build_lines(stage(i), run_headers(i))
     amounts = ["quantity", "price", "base_amount", "tax_amount", "gross_amount"]
     return doubles(built, *amounts).select(
         "transaction_id", "line_number", "item_code", "item_name", "hsn_code", *amounts, "tax_trx_line_id"
@@ -332,7 +338,7 @@ FROM hdr LEFT JOIN c ON c.transaction_id = hdr.transaction_id""",
 )
 def q_header_class(i):
     hdr = run_headers(i)
-    return lines.header_class(hdr, lines.line_rows(i["fx_stage"], hdr)).select("transaction_id", "is_service")
+    return lines.header_class(hdr, line_rows(i)).select("transaction_id", "is_service")
 
 
 @query(
@@ -345,7 +351,7 @@ SELECT hdr.transaction_id, cast((SELECT sum(base_amount) FROM ln0 WHERE ln0.tran
 )
 def q_rollup_amounts(i):
     hdr = run_headers(i)
-    out = lines.rollup_amounts(hdr, lines.line_rows(i["fx_stage"], hdr))
+    out = lines.rollup_amounts(hdr, line_rows(i))
     names = list(lines.AMOUNTS.values())
     return doubles(out, *names).select("transaction_id", *names)
 
@@ -358,7 +364,7 @@ SELECT transaction_id, line_number, tax_name, cast(tax_rate AS double) AS tax_ra
 )
 def q_build_taxes(i):
     hdr = run_headers(i)
-    out = lines.build_taxes(i["fx_stage"], hdr, lines.build_lines(i["fx_stage"], hdr))
+    out = lines.build_taxes(stage(i), hdr, lines.build_lines(i["fx_stage"], hdr))
     return doubles(out, "tax_rate", "taxable_amount")
 
 
@@ -423,8 +429,7 @@ FROM p JOIN (SELECT transaction_id, sum(gross_amount) AS s FROM ln0 GROUP BY tra
 )
 def q_amount_mismatch(i):
     """Amounts of some documents are disturbed, as a clean run cannot fail this check."""
-    hdr = run_headers(i)
-    ls = lines.line_rows(i["fx_stage"], hdr)
+    hdr, ls = run_headers(i), line_rows(i)
     parent = update_where(
         lines.rollup_amounts(hdr, ls), F.col("transaction_id") % 50 == 7, {"gross_amount": F.col("gross_amount") + 1}
     )
@@ -444,7 +449,7 @@ WHERE a.source_rows <> e.target_rows""",
 def q_count_mismatch(i):
     """Failed source rows of large quantity are missing on the source side."""
     hdr = run_headers(i)
-    target = lines.line_rows(i["fx_stage"], hdr).join(hdr.select("transaction_id", "document_num", "batch_id"), "transaction_id")
+    target = line_rows(i).join(hdr.select("transaction_id", "document_num", "batch_id"), "transaction_id")
     source = i["fx_transfer"].where((F.col("process_flag") != "E") | (F.col("quantity") < 25))
     return reconcile.count_mismatch(source.withColumnRenamed("tax_invoice_no", "document_num"), target, ["document_num", "batch_id"])
 
@@ -457,7 +462,7 @@ SELECT (SELECT count(*) FROM fx_line) AS source_rows, (SELECT count(*) FROM ln0)
   (SELECT count(*) FROM fx_line) = (SELECT count(*) FROM ln0) AS agrees""",
 )
 def q_row_count_check(i):
-    return reconcile.row_count_check(i["fx_line"], lines.line_rows(i["fx_stage"], run_headers(i)))
+    return reconcile.row_count_check(i["fx_line"], line_rows(i))
 
 
 @query(
@@ -662,8 +667,7 @@ SELECT transaction_id, bool_or(coalesce({_LINE_BAD.format(extra='')}, false)) AS
 FROM ln0 GROUP BY transaction_id""",
 )
 def q_validate_code_length(i):
-    ls = lines.line_rows(i["fx_stage"], run_headers(i))
-    return ls.groupBy("transaction_id").agg(
+    return line_rows(i).groupBy("transaction_id").agg(
         F.bool_or(validate.bad_code()).alias("any_bad_code"),
         F.bool_or(F.col("item_class").isNull()).alias("any_unclassed"),
         F.bool_or(validate.bad_code(strict=True)).alias("any_bad_code_strict"),
@@ -694,9 +698,7 @@ def q_validate_line_count(i):
 SELECT transaction_id, shipment_type, supply_type_code, coalesce({_TAX_BAD}, false) AS wrong FROM cat p""",
 )
 def q_validate_tax_pattern(i):
-    taxes = lines.document_taxes(i["fx_stage"], run_headers(i))
-    out = categorized(i, "receivable").join(validate.tax_facts(taxes), "transaction_id", "left")
-    return out.select("transaction_id", "shipment_type", "supply_type_code", F.coalesce(validate.wrong_taxes(), F.lit(False)).alias("wrong"))
+    return categorized(i, "receivable").select("transaction_id", "shipment_type", "supply_type_code", F.coalesce(validate.wrong_taxes(), F.lit(False)).alias("wrong"))
 
 
 @query(

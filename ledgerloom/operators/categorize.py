@@ -63,13 +63,6 @@ def entity_flags(df: DataFrame, eligible: DataFrame, run_ts: datetime) -> DataFr
     return effective_flags(df, eligible, "supplier_legal_name", "legal_entity", ENTITY_FLAGS, run_ts)
 
 
-def zero_tax_flag(df: DataFrame, taxes: DataFrame) -> DataFrame:
-    flags = taxes.groupBy("transaction_id").agg(F.bool_or(F.col("taxable_amount") == 0).alias("any_zero_tax"))
-    return df.join(flags, "transaction_id", "left").withColumn(
-        "any_zero_tax", F.coalesce("any_zero_tax", F.lit(False))
-    )
-
-
 def working_columns(df: DataFrame) -> DataFrame:
     """Updatable twins of the recipient and place-of-supply columns; the originals keep what was derived."""
     return df.withColumns(
@@ -125,7 +118,7 @@ def category_rules() -> list[Rule]:
             "same registration on both sides",
             (F.col("supply_type_code") == "B2B")
             & (F.col("recipient_gstin") == F.col("supplier_gstin"))
-            & F.col("any_zero_tax"),
+            & F.coalesce(F.col("any_zero_tax"), F.lit(False)),
             {"supply_type_code": "B2C", "eligible_flag": "N"},
         ),
         Rule(
@@ -140,7 +133,7 @@ def category_rules() -> list[Rule]:
     ]
 
 
-def categorize(headers: DataFrame, taxes: DataFrame, lookup: DataFrame, eligible: DataFrame, run_ts: datetime) -> DataFrame:
+def categorize(headers: DataFrame, lookup: DataFrame, eligible: DataFrame, run_ts: datetime) -> DataFrame:
+    """`headers` carries the tax total and `any_zero_tax` (see `validate.document_facts`)."""
     df = working_columns(headers)
-    df = zero_tax_flag(entity_flags(customer_type_flags(df, lookup), eligible, run_ts), taxes)
-    return apply_rules(df, category_rules())
+    return apply_rules(entity_flags(customer_type_flags(df, lookup), eligible, run_ts), category_rules())

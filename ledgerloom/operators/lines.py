@@ -27,13 +27,12 @@ def header_keys(headers: DataFrame, key: str = "document_num") -> DataFrame:
 
 
 def line_rows(stage: DataFrame, headers: DataFrame, key: str = "document_num") -> DataFrame:
-    """Distinct line-grain rows of each header, not yet numbered. Staging is reduced to distinct lines
-    before the join, so the tax fan-out is not shuffled twice."""
+    """Distinct line-grain rows of each header, not yet numbered. The tax fan-out is undone before the join;
+    as a header has one document number, the joined rows are distinct again without another shuffle."""
     lines = stage.select(key, *LINE_COLUMNS).distinct()
     return (
         lines.join(header_keys(headers, key), key)
         .select("transaction_id", *LINE_COLUMNS)
-        .distinct()
         .withColumn("item_class", classify_code(F.col("hsn_code")))
     )
 
@@ -47,29 +46,37 @@ def build_lines(stage: DataFrame, headers: DataFrame, key: str = "document_num",
     return numbered.withColumn("price", F.coalesce(F.col("price"), F.lit(0).cast("decimal(12,2)")))
 
 
-def header_class(headers: DataFrame, lines: DataFrame) -> DataFrame:
+def class_range() -> list[Column]:
+    return [F.min("item_class").alias("low_class"), F.max("item_class").alias("high_class")]
+
+
+def amount_sums() -> list[Column]:
+    return [F.sum(c).cast("decimal(28,4)").alias(n) for c, n in AMOUNTS.items()]
+
+
+def set_service_flag(headers: DataFrame) -> DataFrame:
     """M if a document has lines of both classes; else, only where still NULL, Y (service) or N (goods).
     Unclassed lines do not count. Lowest and highest class decide, so no distinct count is needed."""
-    classes = lines.groupBy("transaction_id").agg(
-        F.min("item_class").alias("_low"), F.max("item_class").alias("_high")
-    )
-    joined = headers.join(classes, "transaction_id", "left")
+    low, high = F.col("low_class"), F.col("high_class")
     current = F.col("is_service") if "is_service" in headers.columns else F.lit(None).cast("string")
-    single = F.when(F.col("_low") == "GOODS", "N").when(F.col("_low") == "SERVICE", "Y")
-    mixed = F.when(F.col("_low") != F.col("_high"), "M")
-    return joined.withColumn("is_service", F.coalesce(mixed, current, single)).drop("_low", "_high")
+    single = F.when(low == "GOODS", "N").when(low == "SERVICE", "Y")
+    flagged = headers.withColumn("is_service", F.coalesce(F.when(low != high, "M"), current, single))
+    return flagged.drop("low_class", "high_class")
+
+
+def header_class(headers: DataFrame, lines: DataFrame) -> DataFrame:
+    classes = lines.groupBy("transaction_id").agg(*class_range())
+    return set_service_flag(headers.join(classes, "transaction_id", "left"))
 
 
 def rollup_amounts(headers: DataFrame, lines: DataFrame) -> DataFrame:
     """Three sums of the lines on their header, from one grouping."""
-    sums = lines.groupBy("transaction_id").agg(
-        *[F.sum(c).cast("decimal(28,4)").alias(n) for c, n in AMOUNTS.items()]
-    )
-    return headers.join(sums, "transaction_id", "left")
+    return headers.join(lines.groupBy("transaction_id").agg(*amount_sums()), "transaction_id", "left")
 
 
 def build_taxes(stage: DataFrame, headers: DataFrame, lines: DataFrame, key: str = "document_num") -> DataFrame:
-    """Distinct tax rows of each line, tied to it by the tax factor keys; rows without a factor have no tax."""
+    """Distinct tax rows of each line, tied to it by the tax factor keys; rows without a factor have no tax.
+    A line has one pair of factor keys, so the joined rows need no second distinct."""
     factors = ["tax_trx_id", "tax_trx_line_id"]
     taxes = (
         stage.where(F.col("tax_trx_id").isNotNull())
@@ -80,7 +87,6 @@ def build_taxes(stage: DataFrame, headers: DataFrame, lines: DataFrame, key: str
     return (
         taxes.join(lines.select("transaction_id", *factors, "line_number"), ["transaction_id", *factors])
         .select("transaction_id", "line_number", "tax_name", "tax_rate", "taxable_amount", "tax_type_id")
-        .distinct()
     )
 
 

@@ -41,12 +41,12 @@ def translate(
     fold = F.upper if ignore_case else (lambda c: c)
     codes = (
         lookup_rows(lookup, lookup_type, description, enabled_only)
-        .groupBy(fold(F.col(match_on)).alias("_code"))
-        .agg(F.min(give).alias("_given"))
+        .groupBy(fold(F.col(match_on)).alias("_lookup_key"))
+        .agg(F.min(give).alias("_lookup_value"))
     )
-    joined = df.join(codes, fold(F.col(column)) == F.col("_code"), "left")
-    value = F.col("_given") if missing == "null" else F.coalesce(F.col("_given"), F.col(column))
-    return joined.withColumn(into, value).drop("_code", "_given")
+    joined = df.join(codes, fold(F.col(column)) == F.col("_lookup_key"), "left")
+    value = F.col("_lookup_value") if missing == "null" else F.coalesce(F.col("_lookup_value"), F.col(column))
+    return joined.withColumn(into, value).drop("_lookup_key", "_lookup_value")
 
 
 def membership(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import any_null, length_is_one_of
 from ledgerloom.operators.categorize import HOME_COUNTRY
+from ledgerloom.operators.lines import amount_sums, class_range, set_service_flag
 from ledgerloom.operators.lookups import lookup_rows
 from ledgerloom.operators.rules import Rule, accumulate, apply_rules
 
@@ -63,18 +64,29 @@ def bad_code(strict: bool = False) -> Column:
     )
 
 
-def line_facts(lines: DataFrame, strict: bool = False) -> DataFrame:
-    return lines.groupBy("transaction_id").agg(
+def line_facts(strict: bool = False) -> list[Column]:
+    return [
         F.count("*").alias("line_count"),
         F.bool_or(bad_code(strict)).alias("any_bad_code"),
         F.bool_or(F.col("item_class").isNull()).alias("any_unclassed"),
-    )
+    ]
+
+
+def document_facts(
+    headers: DataFrame, lines: DataFrame, taxes: DataFrame, strict: bool = False
+) -> DataFrame:
+    """Everything the rules and totals need to know about lines and taxes, joined to the header: one grouping
+    of the lines (amounts, classes, code checks, count) and one of the taxes."""
+    summary = lines.groupBy("transaction_id").agg(*amount_sums(), *class_range(), *line_facts(strict))
+    joined = headers.join(summary, "transaction_id", "left").join(tax_facts(taxes), "transaction_id", "left")
+    return set_service_flag(joined)
 
 
 def tax_facts(taxes: DataFrame, pattern: Mapping[str, Mapping[str, Sequence[str]]] = TAX_PATTERN) -> DataFrame:
     names = sorted({n for p in pattern.values() for part in p.values() for n in part})
     return taxes.groupBy("transaction_id").agg(
         F.bool_or(F.col("taxable_amount") != 0).alias("any_tax_amount"),
+        F.bool_or(F.col("taxable_amount") == 0).alias("any_zero_tax"),
         *[F.coalesce(F.bool_or(F.col("tax_name") == n), F.lit(False)).alias(f"has_{n}") for n in names],
     )
 
@@ -218,10 +230,6 @@ def transfer_rules(max_lines: int = MAX_LINES) -> list[Rule]:
     ]
 
 
-def _with_facts(df: DataFrame, lines: DataFrame, taxes: DataFrame, strict: bool) -> DataFrame:
-    return df.join(line_facts(lines, strict), "transaction_id", "left").join(tax_facts(taxes), "transaction_id", "left")
-
-
 def _flag_errors(df: DataFrame) -> DataFrame:
     return df.withColumn(
         "status_message",
@@ -232,25 +240,23 @@ def _flag_errors(df: DataFrame) -> DataFrame:
 
 def validate_receivable(
     df: DataFrame,
-    lines: DataFrame,
-    taxes: DataFrame,
     lookup: DataFrame,
     source: DataFrame,
     note_codes: Sequence[str] = ("CM", "DM"),
     max_lines: int = MAX_LINES,
-    strict: bool = False,
     number: str = "document_num",
     date: str = "document_date",
 ) -> DataFrame:
+    """Rules for receivable documents; `df` carries `document_facts` and the category flags, `source` the
+    documents that notes may refer to."""
     df = original_document_flag(note_type_flags(df, lookup, note_codes), source, number, date)
     df = apply_rules(df, receivable_entry_rules())
-    return _flag_errors(accumulate(_with_facts(df, lines, taxes, strict), receivable_rules(max_lines)))
+    return _flag_errors(accumulate(df, receivable_rules(max_lines)))
 
 
-def validate_transfer(
-    df: DataFrame, lines: DataFrame, taxes: DataFrame, max_lines: int = MAX_LINES, strict: bool = False
-) -> DataFrame:
-    return _flag_errors(accumulate(_with_facts(df, lines, taxes, strict), transfer_rules(max_lines)))
+def validate_transfer(df: DataFrame, max_lines: int = MAX_LINES) -> DataFrame:
+    """Rules for stock transfers; `df` carries `document_facts`."""
+    return _flag_errors(accumulate(df, transfer_rules(max_lines)))
 
 
 def error_breakdown(df: DataFrame) -> DataFrame:

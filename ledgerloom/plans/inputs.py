@@ -9,9 +9,12 @@ every scale; where rows must be absent, they are chosen by an attribute (balance
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.session import cut_lineage
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
@@ -490,6 +493,12 @@ class Inputs:
         self.spark, self.folder = spark, folder.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
 
+    def once(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table written once and shared by everything built from these inputs."""
+        if key not in self._frames:
+            self._frames[key] = cut_lineage(build())
+        return self._frames[key]
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in VIEWS:
