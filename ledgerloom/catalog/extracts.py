@@ -86,6 +86,9 @@ def _money_sql(columns):
     return ", ".join(f"cast({c} AS double) AS {c}" if c in MONEY else c for c in columns)
 
 
+_FIXED = f"""'{MAIL}' AS recipient_email, cast(NULL AS varchar) AS recipient_pan, o.location_id AS dispatch_location_id,
+       'Regular' AS document_type_code, cast(NULL AS bigint) AS document_id, cast(NULL AS bigint) AS cust_id, cast(NULL AS varchar) AS preceding_doc_num,
+       cast(NULL AS timestamp) AS preceding_doc_date, 'false' AS sez_unit"""
 _TAXED = """
 SELECT {distinct} {kind} AS query_type, x.tax_invoice_num AS document_num, m.batch_id, o.gstin AS supplier_gstin,
        o.legal_name AS supplier_legal_name, o.location_id AS supplier_location_id, d.gstin AS recipient_gstin,
@@ -98,7 +101,8 @@ SELECT {distinct} {kind} AS query_type, x.tax_invoice_num AS document_num, m.bat
        coalesce(m.actual_cost, 0) * abs(m.move_quantity) +
        (SELECT sum(y.tax_amount) FROM fx_tax_line y WHERE y.entity_code = 'MTL_TRANSACTION' AND y.trx_line_id = m.move_line_id
            AND y.organization_id = m.organization_id AND y.trx_id = coalesce(m.transaction_batch_id, m.transaction_set_id)) AS gross_amount,
-       f.trx_id AS tax_trx_id, f.trx_line_id AS tax_trx_line_id, n.tax_name, x.tax_rate, x.tax_amount AS taxable_amount
+       f.trx_id AS tax_trx_id, f.trx_line_id AS tax_trx_line_id, n.tax_name, x.tax_rate, x.tax_amount AS taxable_amount, s.creation_date AS document_date,
+       m.owning_organization_id, o.line_of_business, m.item_id, x.tax_type_id, {fixed}
 FROM (SELECT * FROM fx_transfer WHERE {window}) s
 JOIN fx_tax_line x ON s.tax_invoice_no = x.tax_invoice_num AND x.entity_code = 'MTL_TRANSACTION'
 JOIN fx_move m ON x.trx_line_id = m.move_line_id AND x.organization_id = m.organization_id
@@ -112,12 +116,12 @@ LEFT JOIN fx_org d ON d.organization_id = m.transfer_organization_id
 {more}
 """
 TRANSIT_SQL = _TAXED.format(
-    distinct="", kind="'Intransit'", window=WINDOW, shipment="m.shipment_id",
+    fixed=_FIXED, distinct="", kind="'Intransit'", window=WINDOW, shipment="m.shipment_id",
     contact="s.poc_no AS recipient_phone_num, m.poc_name AS recipient_poc_name, d.location_id AS ship_to_location_id",
     more="WHERE s.project IS NULL AND s.mo_header_id IS NULL",
 )
 INTER_SQL = _TAXED.format(
-    distinct="DISTINCT", kind="'DTP Inter-state'", window=WINDOW, shipment="h.shipment_id",
+    fixed=_FIXED, distinct="DISTINCT", kind="'DTP Inter-state'", window=WINDOW, shipment="h.shipment_id",
     contact="h.phone AS recipient_phone_num, h.poc_name AS recipient_poc_name, h.location_id AS ship_to_location_id",
     more="JOIN fx_move_order h ON h.header_id = s.mo_header_id",
 )
@@ -130,7 +134,8 @@ SELECT DISTINCT 'DTP Intra-state' AS query_type, s.del_challan_num AS document_n
        cast(NULL AS varchar) AS hsn_code, coalesce(s.material_cost, 0) * abs(s.quantity) AS base_amount, 0 AS tax_amount,
        coalesce(s.material_cost, 0) * abs(s.quantity) AS gross_amount, cast(NULL AS bigint) AS tax_trx_id,
        cast(NULL AS bigint) AS tax_trx_line_id, cast(NULL AS varchar) AS tax_name, cast(NULL AS double) AS tax_rate,
-       cast(NULL AS double) AS taxable_amount
+       cast(NULL AS double) AS taxable_amount, s.creation_date AS document_date, h.organization_id AS owning_organization_id,
+       o.line_of_business, s.item_id, cast(NULL AS integer) AS tax_type_id, {_FIXED}
 FROM fx_transfer s
 JOIN fx_move_order h ON h.header_id = s.mo_header_id
 JOIN fx_item it ON it.item_id = s.item_id AND it.organization_id = s.from_warehouse_id
@@ -183,7 +188,7 @@ INVOICE_OUT = (
     "taxable_amount"
 ).split()
 _OPEN_INVOICE = f"""
-(SELECT i.*, t.type, c.gstin, c.location_id, c.phone, c.cust_name, upper(c.customer_type) AS ctype,
+(SELECT i.*, t.type, c.gstin, c.location_id, c.phone, c.email, c.pan, c.cust_name, upper(c.customer_type) AS ctype,
         sc.cust_name AS ship_name, sc.location_id AS ship_location
  FROM fx_invoice i JOIN fx_trx_type t ON t.trx_type_id = i.trx_type_id AND t.org_id = i.org_id
  JOIN fx_cust c ON c.cust_id = i.cust_id LEFT JOIN fx_cust sc ON sc.cust_id = i.ship_to_cust_id
@@ -197,7 +202,9 @@ _INVOICE_HEAD = """i.document_num, i.document_id, o.gstin AS supplier_gstin,
    {ship} AS ship_to_legal_name, coalesce(i.ship_location, i.location_id) AS ship_to_location_id,
    i.ctype AS customer_type_code, i.type AS document_type_code, f.original_invoice_num AS preceding_doc_num,
    (SELECT min(p.document_id) FROM fx_invoice p WHERE p.document_num = f.original_invoice_num) AS preceding_doc_id,
-   i.batch_id, i.org_id"""
+   i.batch_id, i.org_id, i.email AS recipient_email, i.pan AS recipient_pan, o.location_id AS dispatch_location_id, i.document_date,
+   i.cust_id, f.original_invoice_date AS preceding_doc_date, 'false' AS sez_unit, o.line_of_business, x.tax_type_id,
+   o.organization_id AS owning_organization_id"""
 _LINE_TAX = """(SELECT sum(y.tax_amount) FROM fx_tax_line y WHERE y.entity_code = '{entity}' AND y.trx_id = f.trx_id
    AND y.trx_line_id = f.trx_line_id)"""
 
@@ -205,7 +212,7 @@ _LINE_TAX = """(SELECT sum(y.tax_amount) FROM fx_tax_line y WHERE y.entity_code
 def _order_sql(ship: str) -> str:
     tax = _LINE_TAX.format(entity="OE_ORDER_HEADERS")
     return f"""
-SELECT i.context AS query_type, {_INVOICE_HEAD.format(entity="o.legal_name", ship=ship)}, it.item_code, it.item_name,
+SELECT i.context AS query_type, {_INVOICE_HEAD.format(entity="o.legal_name", ship=ship)}, ol.item_id, it.item_code, it.item_name,
        abs(ol.unit_price) AS price, ol.ordered_quantity AS quantity, coalesce(f.hsn_code, f.sac_code) AS hsn_code,
        abs(ol.unit_price * ol.ordered_quantity) AS base_amount, abs({tax}) AS tax_amount,
        abs({tax} + ol.unit_price * ol.ordered_quantity) AS gross_amount, f.trx_id AS tax_trx_id,
@@ -228,7 +235,7 @@ _DIRECT_TAX = _LINE_TAX.format(entity="TRANSACTIONS")
 DIRECT_SQL = f"""
 SELECT 'AR INVOICE' AS query_type,
        {_INVOICE_HEAD.format(entity="(SELECT e.legal_name FROM fx_le e WHERE e.le_id = i.legal_entity_id)", ship="i.ship_name")},
-       it.item_code, coalesce(it.item_name, l.description) AS item_name, abs(l.unit_price) AS price,
+       l.item_id, it.item_code, coalesce(it.item_name, l.description) AS item_name, abs(l.unit_price) AS price,
        coalesce(l.quantity_invoiced, l.quantity_credited) AS quantity, coalesce(f.hsn_code, f.sac_code) AS hsn_code,
        abs(coalesce(l.quantity_invoiced, l.quantity_credited) * l.unit_price) AS base_amount, abs({_DIRECT_TAX}) AS tax_amount,
        abs(coalesce(l.quantity_invoiced, l.quantity_credited) * l.unit_price + {_DIRECT_TAX}) AS gross_amount,

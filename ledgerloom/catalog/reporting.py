@@ -125,7 +125,8 @@ _LIST_BATCH = "cast(batch_id AS varchar) IN (SELECT cast(batch_id AS varchar) FR
 
 def printable(i):
     done = F.when((F.col("eligible_flag") == "Y") & (F.col("status_code") == "PENDING"), "SUCCESS").otherwise(F.col("status_code"))
-    code = F.concat(F.lit("data:image/png;base64,"), F.repeat(F.concat(F.lit("QR"), F.col("transaction_id")), 700))
+    text = F.concat(F.lit("data:image/png;base64,"), F.repeat(F.concat(F.lit("QR"), F.col("transaction_id")), 700))
+    code = F.when((F.col("eligible_flag") == "Y") & (F.col("status_code") == "PENDING"), text)
     # the header table of a finished run is a written table
     return i.once(
         "printable", lambda: categorized(i, "receivable").withColumns({"status_code": done, "signed_code": code})

@@ -61,7 +61,7 @@ STAGE_COLUMNS = (
     "query_type supplier_gstin supplier_legal_name supplier_location_id recipient_gstin recipient_location_id "
     "recipient_phone_num recipient_email recipient_poc_name ship_to_legal_name ship_to_location_id "
     "dispatch_location_id document_num document_date document_type_code document_id customer_type_code cust_id "
-    "preceding_doc_num preceding_doc_id shipment_id shipment_num batch_id org_id line_of_business "
+    "preceding_doc_num preceding_doc_date preceding_doc_id shipment_id shipment_num batch_id org_id line_of_business "
     "owning_organization_id transfer_organization_id sez_unit item_code item_name item_id quantity price hsn_code "
     "base_amount tax_amount gross_amount tax_trx_id tax_trx_line_id tax_name tax_rate taxable_amount tax_type_id"
 ).split()
@@ -294,6 +294,7 @@ def _tax_rows(t: Mapping[str, DataFrame], entity: str) -> DataFrame:
             F.col("org_id").alias("factor_org_id"),
             F.coalesce("hsn_code", "sac_code").alias("hsn_code"),
             F.col("original_invoice_num").alias("preceding_doc_num"),
+            F.col("original_invoice_date").alias("preceding_doc_date"),
             "preceding_doc_id",
         ),
         keys,

@@ -340,8 +340,9 @@ SELECT le_id AS organization_id, gstin, legal_name, location_id, org_id, line_of
 """
 
 VIEWS["fx_item"] = """
-SELECT l.l_partkey AS item_id, l.l_suppkey AS organization_id, 'P' || cast(l.l_partkey AS string) AS item_code, p.p_name AS item_name
-FROM (SELECT DISTINCT l_partkey, l_suppkey FROM {lineitem}) l JOIN {part} p ON p.p_partkey = l.l_partkey
+SELECT l.item_id, l.organization_id, 'P' || cast(l.item_id AS string) AS item_code, p.p_name AS item_name
+FROM (SELECT DISTINCT l.item_id, h.le_id AS organization_id FROM {fx_line} l JOIN {fx_hdr} h ON h.document_id = l.document_id) l
+JOIN {part} p ON p.p_partkey = l.item_id
 WHERE p.p_brand <> 'Brand#13'
 """
 
@@ -351,8 +352,8 @@ SELECT (CASE WHEN h.query_type = 'DTP Intra-state' THEN NULL ELSE h.document_num
        h.batch_id, l.item_id, h.document_date AS creation_date, h.reprocess_flag,
        (CASE WHEN h.document_id % 29 = 3 THEN 'PRJ' ELSE NULL END) AS project,
        (CASE WHEN h.query_type = 'Intransit' THEN NULL ELSE h.document_id END) AS mo_header_id,
-       'PH' || cast(h.cust_id AS string) AS poc_no, l.price AS material_cost, l.quantity, l.warehouse_id AS from_warehouse_id,
-       (CASE WHEN h.document_id % 24 = 0 THEN l.warehouse_id ELSE NULL END) AS to_warehouse_id,
+       'PH' || cast(h.cust_id AS string) AS poc_no, l.price AS material_cost, l.quantity, h.le_id AS from_warehouse_id,
+       (CASE WHEN h.document_id % 24 = 0 THEN h.le_id ELSE NULL END) AS to_warehouse_id,
        'SH' || cast(h.document_id AS string) AS shipment_num,
        (CASE WHEN h.priority = '5-LOW' THEN 'E' ELSE 'N' END) AS process_flag, h.document_id
 FROM {fx_hdr} h JOIN {fx_line} l ON l.document_id = h.document_id
@@ -361,8 +362,8 @@ WHERE h.query_type <> 'AR INVOICE'
 
 VIEWS["fx_move"] = """
 SELECT (CASE WHEN h.document_id % 31 = 5 THEN NULL ELSE h.document_id END) AS transaction_batch_id,
-       h.document_id AS transaction_set_id, l.line_key AS move_line_id, l.warehouse_id AS organization_id,
-       l.warehouse_id AS owning_organization_id, l.warehouse_id - l.warehouse_id % 2 AS transfer_organization_id,
+       h.document_id AS transaction_set_id, l.line_key AS move_line_id, h.le_id AS organization_id,
+       h.le_id AS owning_organization_id, h.le_id - h.le_id % 2 AS transfer_organization_id,
        l.item_id, l.price AS actual_cost, -l.quantity AS move_quantity, 'POC' || cast(h.cust_id AS string) AS poc_name,
        'S' || cast(h.document_id AS string) AS shipment_id, 'SH' || cast(h.document_id AS string) AS shipment_num, h.batch_id
 FROM {fx_hdr} h JOIN {fx_line} l ON l.document_id = h.document_id
@@ -396,7 +397,7 @@ VIEWS["fx_invoice_line"] = """
 SELECT i.document_id, l.line_key AS invoice_line_id, i.context AS line_context,
        (CASE WHEN i.context = 'ORDER ENTRY' THEN 'SO' || cast(i.document_id AS string) END) AS order_number,
        (CASE WHEN i.context = 'ORDER ENTRY' THEN l.line_key END) AS order_line_id,
-       l.item_id, l.warehouse_id, (CASE WHEN i.document_type = 'O' THEN NULL ELSE l.quantity END) AS quantity_invoiced,
+       l.item_id, i.legal_entity_id AS warehouse_id, (CASE WHEN i.document_type = 'O' THEN NULL ELSE l.quantity END) AS quantity_invoiced,
        (CASE WHEN i.document_type = 'O' THEN -l.quantity ELSE NULL END) AS quantity_credited,
        cast(l.base_amount * 0.1 AS decimal(14,3)) AS unit_price,
        (CASE WHEN l.source_line % 6 = 5 THEN 'FREIGHT' ELSE 'LINE' END) AS line_type, 'Free text ' || l.item_name AS description
@@ -409,7 +410,7 @@ FROM {fx_invoice} WHERE context = 'ORDER ENTRY'
 """
 
 VIEWS["fx_order_line"] = """
-SELECT i.document_id + 900000000 AS order_id, l.line_key AS order_line_id, l.item_id, l.warehouse_id AS line_org_id,
+SELECT i.document_id + 900000000 AS order_id, l.line_key AS order_line_id, l.item_id, i.legal_entity_id AS line_org_id,
        cast(l.base_amount * 0.1 AS decimal(14,3)) AS unit_price,
        (CASE WHEN i.document_type = 'O' THEN -l.quantity ELSE l.quantity END) AS ordered_quantity
 FROM {fx_invoice} i JOIN {fx_line} l ON l.document_id = i.document_id
@@ -423,12 +424,15 @@ SELECT (CASE WHEN i.context = 'ORDER ENTRY' THEN h.document_id + 900000000 ELSE
        (CASE WHEN h.query_type <> 'AR INVOICE' THEN 'MTL_TRANSACTION' WHEN i.context = 'ORDER ENTRY' THEN 'OE_ORDER_HEADERS'
              ELSE 'TRANSACTIONS' END) AS entity_code,
        h.document_id * 100000000 + l.line_key AS det_factor_id, l.hsn_code,
-       (CASE WHEN l.hsn_code IS NULL AND l.item_id % 2 = 0 THEN '9987' END) AS sac_code, l.warehouse_id AS organization_id,
+       (CASE WHEN l.hsn_code IS NULL AND l.item_id % 2 = 0 THEN '9987' END) AS sac_code, h.le_id AS organization_id,
        (CASE WHEN h.document_id % 47 = 8 THEN 99 ELSE i.org_id END) AS org_id,
        (CASE WHEN h.document_type = 'O' THEN 'INV' || cast(h.document_id - 8 AS string) END) AS original_invoice_num,
+       (CASE WHEN h.document_type <> 'O' THEN NULL WHEN h.document_id % 9 = 0 THEN cast('1999-09-09 00:00:00' AS {ts})
+             ELSE q.prior_date END) AS original_invoice_date,
        h.document_num, h.document_id, l.base_amount, l.tax_rate
 FROM {fx_hdr} h JOIN {fx_line} l ON l.document_id = h.document_id
 LEFT JOIN {fx_invoice} i ON i.document_id = h.document_id
+LEFT JOIN (SELECT document_id + 8 AS next_id, document_date AS prior_date FROM {fx_hdr}) q ON q.next_id = h.document_id
 WHERE h.query_type <> 'DTP Intra-state'
 """
 
