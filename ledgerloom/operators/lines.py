@@ -39,9 +39,10 @@ def line_rows(stage: DataFrame, headers: DataFrame, key: str = "document_num") -
 
 def build_lines(stage: DataFrame, headers: DataFrame, key: str = "document_num", group_rows: int = GROUP_ROWS) -> DataFrame:
     """Lines numbered 1..n within their document, in the order of all their columns; a missing price is 0.
-    A document of any size is numbered in parallel."""
+    A document of any size is numbered in parallel; its size is read off the staging rows (one column)."""
     numbered = number_rows(
-        line_rows(stage, headers, key), LINE_COLUMNS, "line_number", within=["transaction_id"], group_rows=group_rows
+        line_rows(stage, headers, key), LINE_COLUMNS, "line_number", within=["transaction_id"], group_rows=group_rows,
+        sizes_from=(stage, [key]),
     )
     return numbered.withColumn("price", F.coalesce(F.col("price"), F.lit(0).cast("decimal(12,2)")))
 

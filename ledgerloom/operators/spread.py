@@ -20,16 +20,18 @@ def number_rows(
     within: Sequence[str] = (),
     start: int = 1,
     group_rows: int = GROUP_ROWS,
+    sizes_from: tuple[DataFrame, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Consecutive numbers in the given total order, over the whole frame or within groups.
 
-    Groups are measured first (a map-side combined count). If all are small one window does the work.
+    Groups are measured first (a map-side combined count), in the frame itself or in `sizes_from`: a cheaper
+    frame and keys whose groups are at least as large. If all are small one window does the work.
     Otherwise, and always for a global numbering, rows are range-partitioned by the order itself, so a
     large group is cut over many tasks; each slice numbers its own rows and gets the count of the rows
     before it from a table of at most one row per slice. Runs a job to measure and to fix the slices.
     """
     keys = list(within)
-    if keys and not _has_large_group(df, keys, group_rows):
+    if keys and not _has_large_group(*(sizes_from or (df, keys)), group_rows):
         window = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumn(into, (F.row_number().over(window) + F.lit(start - 1)).cast("long"))
 
@@ -71,6 +73,13 @@ def _has_large_group(df: DataFrame, keys: Sequence[str], group_rows: int) -> boo
     return not large.isEmpty()
 
 
+def spread_nulls(df: DataFrame, column: str, into: str, slots: int = SALTS) -> DataFrame:
+    """String join key whose NULLs are replaced by `slots` values that match nothing, so that a left join
+    does not send all rows without a key to one task."""
+    filler = F.concat(F.lit("\u0000"), F.pmod(F.spark_partition_id(), F.lit(slots)).cast("string"))
+    return df.withColumn(into, F.coalesce(F.col(column), filler))
+
+
 def first_rows(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str], k: int, salts: int = SALTS
 ) -> DataFrame:

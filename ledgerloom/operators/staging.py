@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.moments import at, midnight
 from ledgerloom.functions.text import as_col
 from ledgerloom.operators.lookups import attach_attributes, lookup_rows
+from ledgerloom.operators.spread import spread_nulls
 from ledgerloom.session import RunContext
 
 TRANSFER_ENTITY, ORDER_ENTITY, INVOICE_ENTITY = "MTL_TRANSACTION", "OE_ORDER_HEADERS", "TRANSACTIONS"
@@ -284,8 +285,8 @@ def _tax_rows(t: Mapping[str, DataFrame], entity: str) -> DataFrame:
     )
     factors = t["tax_factors"].where(F.col("entity_code") == entity)
     prior = t["all_invoices"].groupBy("document_num").agg(F.min("document_id").alias("preceding_doc_id"))
-    factors = factors.join(
-        prior.withColumnRenamed("document_num", "original_invoice_num"), "original_invoice_num", "left"
+    factors = spread_nulls(factors, "original_invoice_num", "_original").join(
+        prior.withColumnRenamed("document_num", "_original"), "_original", "left"
     )
     return rows.select(*keys, "tax_type_id", "tax_name", "tax_rate", F.abs("tax_amount").alias("taxable_amount"), "line_tax").join(
         factors.select(

@@ -16,6 +16,7 @@ from ledgerloom.operators.categorize import HOME_COUNTRY
 from ledgerloom.operators.lines import amount_sums, class_range, set_service_flag
 from ledgerloom.operators.lookups import lookup_rows
 from ledgerloom.operators.rules import Rule, accumulate, apply_rules
+from ledgerloom.operators.spread import spread_nulls
 
 # Placeholders, code lengths, size limit and message texts
 NO_GSTIN = "GSTNOTAVAILABLE"
@@ -115,8 +116,9 @@ def original_document_flag(df: DataFrame, source: DataFrame, number: str, date:
     known = source.select(
         F.col(number).alias("_num"), F.col(date).alias("_day"), F.lit(True).alias("original_found")
     ).distinct()
-    on = (F.col("preceding_doc_num") == F.col("_num")) & (F.col("preceding_doc_date") == F.col("_day"))
-    return df.join(known, on, "left").drop("_num", "_day").withColumn(
+    on = (F.col("_preceding") == F.col("_num")) & (F.col("preceding_doc_date") == F.col("_day"))
+    keyed = spread_nulls(df, "preceding_doc_num", "_preceding")  # most documents refer to none
+    return keyed.join(known, on, "left").drop("_num", "_day", "_preceding").withColumn(
         "original_found", F.coalesce("original_found", F.lit(False))
     )
 
