@@ -32,12 +32,10 @@ def line_rows(i):
     return lines.line_rows(stage(i), run_headers(i))
 
 
-def tax_rows(i):
-    return lines.document_taxes(stage(i), run_headers(i))
-
-
 def categorized(i, mode, missing_type="null"):
-    facts = validate.document_facts(enriched(i, mode, missing_type), line_rows(i), tax_rows(i))
+    facts = validate.document_facts(
+        enriched(i, mode, missing_type), lines.document_lines(stage(i)), lines.document_taxes(stage(i)), key="document_num"
+    )
     return categorize.categorize(facts, i["fx_lookup"], i["fx_eligible"], RUN_TS)
 
 
@@ -337,8 +335,7 @@ SELECT hdr.transaction_id, CASE WHEN n > 1 THEN 'M' WHEN k = 'GOODS' THEN 'N' WH
 FROM hdr LEFT JOIN c ON c.transaction_id = hdr.transaction_id""",
 )
 def q_header_class(i):
-    hdr = run_headers(i)
-    return lines.header_class(hdr, line_rows(i)).select("transaction_id", "is_service")
+    return lines.header_class(run_headers(i), lines.document_lines(stage(i)), "document_num").select("transaction_id", "is_service")
 
 
 @query(
@@ -350,8 +347,7 @@ SELECT hdr.transaction_id, cast((SELECT sum(base_amount) FROM ln0 WHERE ln0.tran
   cast((SELECT sum(gross_amount) FROM ln0 WHERE ln0.transaction_id = hdr.transaction_id) AS double) AS gross_amount FROM hdr""",
 )
 def q_rollup_amounts(i):
-    hdr = run_headers(i)
-    out = lines.rollup_amounts(hdr, line_rows(i))
+    out = lines.rollup_amounts(run_headers(i), lines.document_lines(stage(i)), "document_num")
     names = list(lines.AMOUNTS.values())
     return doubles(out, *names).select("transaction_id", *names)
 

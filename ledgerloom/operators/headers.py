@@ -96,7 +96,8 @@ ROLES = {
 
 
 def party_addresses(df: DataFrame, mode: str) -> DataFrame:
-    """Names and addresses of the four parties from the role attributes, per document kind."""
+    """Names and addresses of the four parties from the role attributes, per document kind. The attributes
+    used up here are dropped: beyond 100 columns Spark gives up whole-stage code generation."""
     kind = F.col("invoice_process")
     first = lambda role: F.col(f"{role}_address1")
     second = lambda role: F.col(f"{role}_address2")
@@ -122,7 +123,7 @@ def party_addresses(df: DataFrame, mode: str) -> DataFrame:
             "ship_to_address": ship_address,
             "dispatch_from_address": second("dispatch_from"),
         }
-    )
+    ).drop(*[f"{role}_{a}" for role in ROLES for a in ("address1", "address2", "description")])
 
 
 def place_of_supply(df: DataFrame, mode: str) -> DataFrame:

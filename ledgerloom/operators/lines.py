@@ -26,15 +26,16 @@ def header_keys(headers: DataFrame, key: str = "document_num") -> DataFrame:
     return headers.select("transaction_id", key)
 
 
+def document_lines(stage: DataFrame, key: str = "document_num") -> DataFrame:
+    """Distinct line-grain rows with their class, still under the document number. Totals and flags of a
+    document are grouped from these directly, without joining every line to its header."""
+    return stage.select(key, *LINE_COLUMNS).distinct().withColumn("item_class", classify_code(F.col("hsn_code")))
+
+
 def line_rows(stage: DataFrame, headers: DataFrame, key: str = "document_num") -> DataFrame:
-    """Distinct line-grain rows of each header, not yet numbered. The tax fan-out is undone before the join;
-    as a header has one document number, the joined rows are distinct again without another shuffle."""
-    lines = stage.select(key, *LINE_COLUMNS).distinct()
-    return (
-        lines.join(header_keys(headers, key), key)
-        .select("transaction_id", *LINE_COLUMNS)
-        .withColumn("item_class", classify_code(F.col("hsn_code")))
-    )
+    """Lines of each header, not yet numbered. The tax fan-out is undone before the join; as a header has one
+    document number, the joined rows are distinct again without another shuffle."""
+    return document_lines(stage, key).join(header_keys(headers, key), key).drop(key)
 
 
 def build_lines(stage: DataFrame, headers: DataFrame, key: str = "document_num", group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -65,14 +66,13 @@ def set_service_flag(headers: DataFrame) -> DataFrame:
     return flagged.drop("low_class", "high_class")
 
 
-def header_class(headers: DataFrame, lines: DataFrame) -> DataFrame:
-    classes = lines.groupBy("transaction_id").agg(*class_range())
-    return set_service_flag(headers.join(classes, "transaction_id", "left"))
+def header_class(headers: DataFrame, lines: DataFrame, key: str = "transaction_id") -> DataFrame:
+    return set_service_flag(headers.join(lines.groupBy(key).agg(*class_range()), key, "left"))
 
 
-def rollup_amounts(headers: DataFrame, lines: DataFrame) -> DataFrame:
+def rollup_amounts(headers: DataFrame, lines: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Three sums of the lines on their header, from one grouping."""
-    return headers.join(lines.groupBy("transaction_id").agg(*amount_sums()), "transaction_id", "left")
+    return headers.join(lines.groupBy(key).agg(*amount_sums()), key, "left")
 
 
 def build_taxes(stage: DataFrame, headers: DataFrame, lines: DataFrame, key: str = "document_num") -> DataFrame:
@@ -91,15 +91,10 @@ def build_taxes(stage: DataFrame, headers: DataFrame, lines: DataFrame, key: str
     )
 
 
-def document_taxes(stage: DataFrame, headers: DataFrame, key: str = "document_num") -> DataFrame:
-    """Distinct tax rows per document without their line numbers: all that document-level rules need."""
-    return (
-        stage.where(F.col("tax_trx_id").isNotNull())
-        .select(key, "tax_trx_line_id", "tax_name", "taxable_amount")
-        .distinct()
-        .join(header_keys(headers, key), key)
-        .select("transaction_id", "tax_name", "taxable_amount")
-    )
+def document_taxes(stage: DataFrame, key: str = "document_num") -> DataFrame:
+    """Distinct tax rows per document number: all that document-level rules need."""
+    rows = stage.where(F.col("tax_trx_id").isNotNull()).select(key, "tax_trx_line_id", "tax_name", "taxable_amount")
+    return rows.distinct()
 
 
 def without_duplicates(headers: DataFrame, keys: Sequence[str] = ("document_num",)) -> DataFrame:

@@ -74,18 +74,21 @@ def line_facts(strict: bool = False) -> list[Column]:
 
 
 def document_facts(
-    headers: DataFrame, lines: DataFrame, taxes: DataFrame, strict: bool = False
+    headers: DataFrame, lines: DataFrame, taxes: DataFrame, strict: bool = False, key: str = "transaction_id"
 ) -> DataFrame:
     """Everything the rules and totals need to know about lines and taxes, joined to the header: one grouping
-    of the lines (amounts, classes, code checks, count) and one of the taxes."""
-    summary = lines.groupBy("transaction_id").agg(*amount_sums(), *class_range(), *line_facts(strict))
-    joined = headers.join(summary, "transaction_id", "left").join(tax_facts(taxes), "transaction_id", "left")
+    of the lines (amounts, classes, code checks, count) and one of the taxes. Both combine before the shuffle,
+    so the size of a document does not matter."""
+    summary = lines.groupBy(key).agg(*amount_sums(), *class_range(), *line_facts(strict))
+    joined = headers.join(summary, key, "left").join(tax_facts(taxes, key=key), key, "left")
     return set_service_flag(joined)
 
 
-def tax_facts(taxes: DataFrame, pattern: Mapping[str, Mapping[str, Sequence[str]]] = TAX_PATTERN) -> DataFrame:
+def tax_facts(
+    taxes: DataFrame, pattern: Mapping[str, Mapping[str, Sequence[str]]] = TAX_PATTERN, key: str = "transaction_id"
+) -> DataFrame:
     names = sorted({n for p in pattern.values() for part in p.values() for n in part})
-    return taxes.groupBy("transaction_id").agg(
+    return taxes.groupBy(key).agg(
         F.bool_or(F.col("taxable_amount") != 0).alias("any_tax_amount"),
         F.bool_or(F.col("taxable_amount") == 0).alias("any_zero_tax"),
         *[F.coalesce(F.bool_or(F.col("tax_name") == n), F.lit(False)).alias(f"has_{n}") for n in names],

@@ -20,6 +20,13 @@ from ledgerloom.session import RunContext, cut_lineage
 from ledgerloom.sources.sinks import write_delimited
 
 
+# facts only the rules and messages read; not part of the header table
+RULE_FLAGS = [
+    *categorize.TYPE_FLAGS, *categorize.ENTITY_FLAGS, "is_known_type", "is_enabled_type", "is_note", "original_found",
+    "any_bad_code", "any_unclassed", "any_tax_amount", "any_zero_tax", "has_CGST", "has_SGST", "has_IGST",
+]
+
+
 @dataclass
 class ExtractRun:
     headers: DataFrame
@@ -117,7 +124,8 @@ def run_extract(
         result = validate.validate_receivable(result, t["lookup"], source, note_codes, max_lines)
     else:
         result = validate.validate_transfer(result, max_lines)
-    result = cut_lineage(writeback.source_message(staging.with_audit(result, run), t["lookup"], partial=receivable))
+    result = writeback.source_message(result, t["lookup"], partial=receivable).drop(*RULE_FLAGS)
+    result = cut_lineage(staging.with_audit(result, run))
     payments = writeback.payment_payload(result, t["payment_addresses"], t["lookup"], run.run_ts)
     final = writeback.apply_payment(result, payments)
     return ExtractRun(final, line_table, tax_table, payments, history, reconcile.run_summary(final), found)
