@@ -17,15 +17,21 @@ def stage(i):
     return i.once("stage", lambda: i["fx_stage"])
 
 
+def unique_headers(source):
+    """Headers of all staging rows as one run; repeated document numbers are left out, ids are the document
+    ids so that results can be compared by value."""
+    built = headers.build_headers(source, 2).withColumn("transaction_id", F.col("document_id"))
+    return lines.without_duplicates(built)
+
+
 def run_headers(i):
-    """Headers of the whole staging view as one run; repeated document numbers are left out, ids are the
-    document ids so that results can be compared by value. A table in a run, so it is written once here too."""
-    built = headers.build_headers(stage(i), 2).withColumn("transaction_id", F.col("document_id"))
-    return i.once("headers", lambda: lines.without_duplicates(built))
+    """The header table for queries that join it more than once."""
+    return i.once("headers", lambda: unique_headers(stage(i)))
 
 
-def enriched(i, mode, missing_type="null"):
-    return headers.enrich_headers(run_headers(i), i["fx_loc"], i["fx_lookup"], mode, missing_type)
+def enriched(i, mode, missing_type="null", hdr=None):
+    hdr = unique_headers(i["fx_stage"]) if hdr is None else hdr
+    return headers.enrich_headers(hdr, i["fx_loc"], i["fx_lookup"], mode, missing_type)
 
 
 def line_rows(i):
@@ -34,7 +40,8 @@ def line_rows(i):
 
 def categorized(i, mode, missing_type="null"):
     facts = validate.document_facts(
-        enriched(i, mode, missing_type), lines.document_lines(stage(i)), lines.document_taxes(stage(i)), key="document_num"
+        enriched(i, mode, missing_type, unique_headers(stage(i))), lines.document_lines(stage(i)),
+        lines.document_taxes(stage(i)), key="document_num",
     )
     return categorize.categorize(facts, i["fx_lookup"], i["fx_eligible"], RUN_TS)
 
@@ -209,7 +216,7 @@ HEADER_OUT = (
 SELECT {', '.join(HEADER_OUT)}, 'PENDING' AS status_code, 'N' AS mail_sent, 2 AS request_id FROM hdr""",
 )
 def q_headers(i):
-    return run_headers(i).select(*HEADER_OUT, "status_code", "mail_sent", "request_id")
+    return unique_headers(i["fx_stage"]).select(*HEADER_OUT, "status_code", "mail_sent", "request_id")
 
 
 @query(
@@ -335,7 +342,7 @@ SELECT hdr.transaction_id, CASE WHEN n > 1 THEN 'M' WHEN k = 'GOODS' THEN 'N' WH
 FROM hdr LEFT JOIN c ON c.transaction_id = hdr.transaction_id""",
 )
 def q_header_class(i):
-    return lines.header_class(run_headers(i), lines.document_lines(stage(i)), "document_num").select("transaction_id", "is_service")
+    return lines.header_class(unique_headers(stage(i)), lines.document_lines(stage(i)), "document_num").select("transaction_id", "is_service")
 
 
 @query(
@@ -347,7 +354,7 @@ SELECT hdr.transaction_id, cast((SELECT sum(base_amount) FROM ln0 WHERE ln0.tran
   cast((SELECT sum(gross_amount) FROM ln0 WHERE ln0.transaction_id = hdr.transaction_id) AS double) AS gross_amount FROM hdr""",
 )
 def q_rollup_amounts(i):
-    out = lines.rollup_amounts(run_headers(i), lines.document_lines(stage(i)), "document_num")
+    out = lines.rollup_amounts(unique_headers(stage(i)), lines.document_lines(stage(i)), "document_num")
     names = list(lines.AMOUNTS.values())
     return doubles(out, *names).select("transaction_id", *names)
 
@@ -705,5 +712,5 @@ SELECT transaction_id, preceding_doc_num, EXISTS (SELECT 1 FROM fx_hdr s WHERE s
   AND strftime(s.document_date, '%Y-%m-%d') = hdr.preceding_doc_date) AS original_found FROM hdr""",
 )
 def q_validate_original_doc(i):
-    out = validate.original_document_flag(run_headers(i), source_documents(i), "document_num", "document_date")
+    out = validate.original_document_flag(unique_headers(i["fx_stage"]), source_documents(i), "document_num", "document_date")
     return out.select("transaction_id", "preceding_doc_num", "original_found")

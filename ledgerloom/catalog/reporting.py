@@ -188,7 +188,7 @@ FROM sel h JOIN ln l ON l.transaction_id = h.transaction_id JOIN tx t ON t.trans
 )
 def q_print_detail(i):
     hdr, base = printable(i), run_headers(i)
-    built = lines.build_lines(stage(i), base)
+    built = i.once("lines", lambda: lines.build_lines(stage(i), base))
     taxes = lines.build_taxes(stage(i), base, built)
     selected = reports.select_documents(hdr, number_list(i), "Multiple Invoices", i["fx_lookup"], "TRANSFER")
     out = reports.print_detail(hdr, built, taxes, selected, footer="No sale")

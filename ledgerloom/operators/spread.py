@@ -28,7 +28,8 @@ def number_rows(
     frame and keys whose groups are at least as large. If all are small one window does the work.
     Otherwise, and always for a global numbering, rows are range-partitioned by the order itself, so a
     large group is cut over many tasks; each slice numbers its own rows and gets the count of the rows
-    before it from a table of at most one row per slice. Runs a job to measure and to fix the slices.
+    before it from a table of a few rows per slice. The order has to tell rows apart (equal rows stay in one
+    slice). Runs a job to measure and to fix the slices.
     """
     keys = list(within)
     if keys and not _has_large_group(*(sizes_from or (df, keys)), group_rows):
@@ -89,7 +90,9 @@ def first_rows(
     level two sees at most salts * k rows of a group. Exact: a row outside the first k of its own salt
     cannot be among the first k of the group.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(salts)))
+    # content and partition together: copies of one row are spread as well, and a retried task salts alike
+    content = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    salted = df.withColumn("_salt", F.pmod(content + F.spark_partition_id(), F.lit(salts)))
     inner = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order_by))
     outer = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
     return (

@@ -92,7 +92,7 @@ def run_extract(
     _handle(found, on_violation)
     for rows in found.values():
         built = built.join(rows.select("document_num"), "document_num", "left_anti")
-    keyed = cut_lineage(headers.assign_ids(built, first_id, ["document_num"]))
+    keyed = headers.assign_ids(built, first_id, ["document_num"])  # already written by the numbering
     if history is not None:
         keys = {"document_num": None, "batch_id": 1}
         if "document_id" in keyed.columns and "document_id" in history.columns:
