@@ -342,7 +342,7 @@ SELECT hdr.transaction_id, CASE WHEN n > 1 THEN 'M' WHEN k = 'GOODS' THEN 'N' WH
 FROM hdr LEFT JOIN c ON c.transaction_id = hdr.transaction_id""",
 )
 def q_header_class(i):
-    return lines.header_class(unique_headers(stage(i)), lines.document_lines(stage(i)), "document_num").select("transaction_id", "is_service")
+    return lines.header_class(unique_headers(i["fx_stage"]), lines.document_lines(i["fx_stage"]), "document_num").select("transaction_id", "is_service")
 
 
 @query(
@@ -354,7 +354,7 @@ SELECT hdr.transaction_id, cast((SELECT sum(base_amount) FROM ln0 WHERE ln0.tran
   cast((SELECT sum(gross_amount) FROM ln0 WHERE ln0.transaction_id = hdr.transaction_id) AS double) AS gross_amount FROM hdr""",
 )
 def q_rollup_amounts(i):
-    out = lines.rollup_amounts(unique_headers(stage(i)), lines.document_lines(stage(i)), "document_num")
+    out = lines.rollup_amounts(unique_headers(i["fx_stage"]), lines.document_lines(i["fx_stage"]), "document_num")
     names = list(lines.AMOUNTS.values())
     return doubles(out, *names).select("transaction_id", *names)
 
