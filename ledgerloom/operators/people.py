@@ -67,6 +67,11 @@ def resolve_number(stage: DataFrame, people: DataFrame, suffix: str = "-1") -> D
 RESIDENT = "Resident and ordinarily resident"
 
 
+def _code_of(lookup: DataFrame, lookup_type: str, meaning: str) -> Column:
+    rows = lookup_rows(lookup, lookup_type, enabled_only=False).where(F.col("meaning") == meaning)
+    return rows.agg(F.min("lookup_code")).scalar()
+
+
 def standardise(stage: DataFrame, lookup: DataFrame, run_year: int, resident_meaning: str = RESIDENT) -> DataFrame:
     """Gender and title by case-insensitive lookup, mail type and residency with defaults, birth date parsed.
 
@@ -74,13 +79,13 @@ def standardise(stage: DataFrame, lookup: DataFrame, run_year: int, resident_mea
     """
     df = translate(stage, "gender", lookup, "SEX", "gender_code", match_on="meaning", give="lookup_code", ignore_case=True, enabled_only=False)
     df = translate(df, "title", lookup, "TITLE", "title_code", match_on="lookup_code", give="lookup_code", ignore_case=True, enabled_only=False)
-    df = df.withColumns({"_office": F.lit("Office"), "_resident": F.lit(resident_meaning)})
-    df = translate(df, "_office", lookup, "HOME_OFFICE", "mail_code", match_on="meaning", give="lookup_code", enabled_only=False)
-    df = translate(df, "_resident", lookup, "RESIDENTIAL_STATUS", "residency_code", match_on="meaning", give="lookup_code", enabled_only=False)
+    # one answer for all rows: scalar subqueries, no join
+    office = _code_of(lookup, "HOME_OFFICE", "Office")
+    resident = _code_of(lookup, "RESIDENTIAL_STATUS", resident_meaning)
     return df.withColumns(
         {
-            "mail_code": F.coalesce("mail_code", F.lit("O")),
-            "residency_code": F.coalesce("residency_code", F.lit("RO")),
+            "mail_code": F.coalesce(office, F.lit("O")),
+            "residency_code": F.coalesce(resident, F.lit("RO")),
             "birth_date": two_digit_year_date(F.col("dob"), run_year),
         }
-    ).drop("_office", "_resident")
+    )

@@ -31,17 +31,19 @@ def reporting_code(df: DataFrame, pan: str, lookup: DataFrame, codes: DataFrame)
         .groupBy("_type")
         .agg(F.min("_c").alias("_c"))
     )
-    default = types.where(F.col("_type") == DEFAULT_PAN_TYPE).select(F.lit(DEFAULT_PAN_TYPE).alias("_default"), F.col("_c").alias("_d"))
+    default = types.where(F.col("_type") == DEFAULT_PAN_TYPE).agg(F.min("_c")).scalar()
     letter = F.coalesce(F.nullif(F.substring(pan, 4, 1), F.lit("")), F.lit(DEFAULT_PAN_TYPE))
-    joined = (
-        df.withColumns({"_letter": letter, "_default": F.lit(DEFAULT_PAN_TYPE)})
-        .join(types, F.col("_letter") == F.col("_type"), "left")
-        .join(default, "_default", "left")
+    joined = df.withColumn("_letter", letter).join(types, F.col("_letter") == F.col("_type"), "left")
+    return (
+        joined.withColumn("_found", F.coalesce(F.col("_c"), default))
+        .withColumns(
+            {
+                "reporting_code_id": F.col("_found.reporting_code_id"),
+                "reporting_code": F.col("_found.reporting_code"),
+            }
+        )
+        .drop("_letter", "_type", "_c", "_found")
     )
-    found = F.coalesce("_c", "_d")
-    return joined.withColumns(
-        {"reporting_code_id": found["reporting_code_id"], "reporting_code": found["reporting_code"]}
-    ).drop("_letter", "_default", "_type", "_c", "_d")
 
 
 def missing_registrations(
