@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 BUCKETS = 128
 #: Points of a digest pair that differs everywhere: buckets at 6, length code at 128, ratio codes at 8 each.
@@ -89,7 +90,7 @@ def fingerprints(docs: DataFrame, text: str = "text", into: str = "fingerprint")
             yield frame.assign(**{into: [digest(x) for x in data]})
 
     kept = docs.drop(into)
-    return kept.mapInPandas(run, kept.schema.add(into, "string"))
+    return kept.mapInPandas(run, StructType([*kept.schema, StructField(into, StringType())]))
 
 
 def followed(docs: DataFrame, order: str = "doc_id", text: str = "text", slices: int | None = None) -> DataFrame:

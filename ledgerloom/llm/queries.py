@@ -85,7 +85,7 @@ WITH payloads AS (
 ), known AS (
   SELECT page_id, octet_length(payload) AS payload_bytes, digits, min(page_id) OVER (PARTITION BY payload) AS first_id FROM payloads
 ), spelt AS (
-  SELECT *, array_to_string(list_transform(range(32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+  SELECT *, array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
     ((16 * (strpos('0123456789abcdef', substr(digits, 1 + (5 * k) // 4, 1)) - 1)
       + greatest(strpos('0123456789abcdef', substr(digits || '0', 2 + (5 * k) // 4, 1)) - 1, 0)) >> (3 - (5 * k) % 4)) & 31)::BIGINT, 1)), '') AS payload_digest
   FROM known
