@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.spread import GROUP_ROWS, number_rows
+from ledgerloom.operators.spread import number_rows
 
 LINE_COLUMNS = (
     "item_name item_code item_id quantity price hsn_code base_amount tax_amount gross_amount tax_trx_id "
@@ -38,13 +39,10 @@ def line_rows(stage: DataFrame, headers: DataFrame, key: str = "document_num") -
     return document_lines(stage, key).join(header_keys(headers, key), key).drop(key)
 
 
-def build_lines(stage: DataFrame, headers: DataFrame, key: str = "document_num", group_rows: int = GROUP_ROWS) -> DataFrame:
+def build_lines(stage: DataFrame, headers: DataFrame, key: str = "document_num") -> DataFrame:
     """Lines numbered 1..n within their document, in the order of all their columns; a missing price is 0.
-    A document of any size is numbered in parallel; its size is read off the staging rows (one column)."""
-    numbered = number_rows(
-        line_rows(stage, headers, key), LINE_COLUMNS, "line_number", within=["transaction_id"], group_rows=group_rows,
-        sizes_from=(stage, [key]),
-    )
+    A document of any size is numbered in parallel."""
+    numbered = number_rows(line_rows(stage, headers, key), LINE_COLUMNS, "line_number", within=["transaction_id"])
     return numbered.withColumn("price", F.coalesce(F.col("price"), F.lit(0).cast("decimal(12,2)")))
 
 
@@ -101,3 +99,9 @@ def without_duplicates(headers: DataFrame, keys: Sequence[str] = ("document_num"
     """Headers whose key occurs once; a repeated document number would multiply its lines."""
     once = headers.groupBy(*keys).count().where(F.col("count") == 1).drop("count")
     return headers.join(once, list(keys), "left_semi")
+
+
+def quarantined(stage: DataFrame, *refused: DataFrame, key: str = "document_num") -> DataFrame:
+    """Staging rows of the documents that a run leaves out, for the numbers in any of `refused`."""
+    numbers = reduce(lambda a, b: a.union(b), [r.select(key) for r in refused])
+    return stage.join(numbers.distinct(), key, "left_semi").select(*stage.columns)

@@ -9,33 +9,19 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import cut_lineage
 
-GROUP_ROWS = 1_000_000
 SALTS = 64
 
 
 def number_rows(
-    df: DataFrame,
-    order_by: Sequence[str],
-    into: str,
-    within: Sequence[str] = (),
-    start: int = 1,
-    group_rows: int = GROUP_ROWS,
-    sizes_from: tuple[DataFrame, Sequence[str]] | None = None,
+    df: DataFrame, order_by: Sequence[str], into: str, within: Sequence[str] = (), start: int = 1
 ) -> DataFrame:
     """Consecutive numbers in the given total order, over the whole frame or within groups.
 
-    Groups are measured first (a map-side combined count), in the frame itself or in `sizes_from`: a cheaper
-    frame and keys whose groups are at least as large. If all are small one window does the work.
-    Otherwise, and always for a global numbering, rows are range-partitioned by the order itself, so a
-    large group is cut over many tasks; each slice numbers its own rows and gets the count of the rows
-    before it from a table of a few rows per slice. The order has to tell rows apart (equal rows stay in one
-    slice). Runs a job to measure and to fix the slices.
+    Rows are range-partitioned by the order itself, so a large group is cut over many tasks; each slice numbers
+    its own rows and gets the count of the rows before it from a table of a few rows per slice. The order has
+    to tell rows apart (equal rows stay in one slice). Runs a job to fix the slices.
     """
     keys = list(within)
-    if keys and not _has_large_group(*(sizes_from or (df, keys)), group_rows):
-        window = Window.partitionBy(*keys).orderBy(*order_by)
-        return df.withColumn(into, (F.row_number().over(window) + F.lit(start - 1)).cast("long"))
-
     sort_columns = keys + [c for c in order_by if c not in keys]
     # the checkpoint fixes which row lies in which slice before the two branches below read it
     placed = cut_lineage(
@@ -69,11 +55,6 @@ def number_rows(
     return placed.join(F.broadcast(carried), on, "left").select(*df.columns, number.cast("long").alias(into))
 
 
-def _has_large_group(df: DataFrame, keys: Sequence[str], group_rows: int) -> bool:
-    large = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > group_rows)
-    return not large.isEmpty()
-
-
 def spread_nulls(df: DataFrame, column: str, into: str, slots: int = SALTS) -> DataFrame:
     """String join key whose NULLs are replaced by `slots` values that match nothing, so that a left join
     does not send all rows without a key to one task."""
@@ -82,14 +63,16 @@ def spread_nulls(df: DataFrame, column: str, into: str, slots: int = SALTS) -> D
 
 
 def first_rows(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str], k: int, salts: int = SALTS
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str], k: int, salts: int | None = None
 ) -> DataFrame:
     """The first k rows of each group in the given order, selected in two levels.
 
-    Level one keeps k rows of each (group, salt), so a dominant group is worked on by `salts` tasks;
+    Level one keeps k rows of each (group, salt), so a dominant group is worked on by `salts` tasks (as many as
+    there are shuffle partitions, unless given);
     level two sees at most salts * k rows of a group. Exact: a row outside the first k of its own salt
     cannot be among the first k of the group.
     """
+    salts = salts or max(SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # content and partition together: copies of one row are spread as well, and a retried task salts alike
     content = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
     salted = df.withColumn("_salt", F.pmod(content + F.spark_partition_id(), F.lit(salts)))
