@@ -257,18 +257,22 @@ def q_missing_registrations(i):
 
 @query(
     "q_scd2_change",
-    ["fx_reg", "fx_reg_in"],
-    f"""
-WITH cur AS (SELECT party_id, min(registration_number) AS old, min(reg_id) AS reg_id FROM fx_reg WHERE effective_to IS NULL AND registration_number IS NOT NULL
-   GROUP BY party_id HAVING count(*) = 1),
-ch AS (SELECT c.party_id, c.old, c.reg_id, coalesce(i.registration_number, 'PANNOTAVBL') AS new FROM cur c JOIN fx_reg_in i ON i.party_id = c.party_id
-   WHERE coalesce(i.registration_number, 'PANNOTAVBL') <> c.old)
-SELECT r.party_id, r.reg_id, r.registration_number, strftime(r.effective_from, '%Y-%m-%d') AS effective_from,
-  strftime(CASE WHEN r.effective_to IS NULL AND upper(trim(r.registration_number)) = upper(trim(ch.old)) THEN timestamp '2001-07-31 00:00:00' ELSE r.effective_to END, '%Y-%m-%d') AS effective_to
-FROM fx_reg r LEFT JOIN ch ON ch.party_id = r.party_id
-UNION ALL SELECT party_id, reg_id, new, '2001-08-01', NULL FROM ch
+    ["fx_reg_all", "fx_reg_both"],
+    """
+WITH held AS (SELECT *, count(*) FILTER (WHERE effective_to IS NULL AND registration_number IS NOT NULL AND registration_type_code LIKE 'PAN%')
+    OVER (PARTITION BY party_id, party_site_id, org_id) AS open_rows FROM fx_reg_all),
+ch AS (SELECT h.*, coalesce(i.registration_number, 'PANNOTAVBL') AS new FROM held h JOIN fx_reg_both i ON i.party_id = h.party_id
+    AND i.party_site_id IS NOT DISTINCT FROM h.party_site_id AND i.org_id IS NOT DISTINCT FROM h.org_id
+  WHERE h.open_rows = 1 AND h.effective_to IS NULL AND h.registration_number IS NOT NULL AND h.registration_type_code LIKE 'PAN%'
+    AND coalesce(i.registration_number, 'PANNOTAVBL') <> h.registration_number)
+SELECT r.party_id, r.party_site_id, r.org_id, r.reg_id, r.registration_type_code, r.registration_number,
+  strftime(r.effective_from, '%Y-%m-%d') AS effective_from,
+  strftime(CASE WHEN r.effective_to IS NULL AND r.registration_type_code = 'PAN' AND EXISTS (SELECT 1 FROM ch WHERE ch.reg_id = r.reg_id
+    AND upper(trim(ch.registration_number)) = upper(trim(r.registration_number))) THEN timestamp '2001-07-31 00:00:00' ELSE r.effective_to END, '%Y-%m-%d') AS effective_to
+FROM fx_reg_all r
+UNION ALL SELECT party_id, party_site_id, org_id, reg_id, 'PAN', new, '2001-08-01', NULL FROM ch
 """,
 )
 def q_scd2_change(i):
-    out = registrations.scd2_change(i["fx_reg"], i["fx_reg_in"], RUN_TS)
+    out = registrations.scd2_change(i["fx_reg_all"], i["fx_reg_both"], RUN_TS)
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("effective_from", "effective_to")})

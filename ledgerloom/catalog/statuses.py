@@ -89,11 +89,11 @@ _OUTCOME = """SELECT DISTINCT request_id, document_type_code, CASE WHEN request_
 SELECT document_id, request_id, document_type_code,
   CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND o.document_type_code = c.document_type_code AND o.sent AND o.status_code = 'PENDING')
        THEN 'RUNNING' ELSE status_code END AS status_code,
-  CASE WHEN status_code = 'SUCCESS' AND EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND o.document_type_code = c.document_type_code AND o.sent AND o.status_code = 'SUCCESS') THEN 'Y'
-       WHEN EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND NOT o.sent AND o.status_code = 'SUCCESS') THEN 'N' END AS mail_sent_flag,
+  CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND NOT o.sent AND o.status_code = 'SUCCESS') THEN 'N'
+       WHEN status_code = 'SUCCESS' AND EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND o.document_type_code = c.document_type_code AND o.sent AND o.status_code = 'SUCCESS') THEN 'Y' END AS mail_sent_flag,
   CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND o.document_type_code = c.document_type_code AND o.sent AND o.status_code = 'PENDING') THEN 'Updating the status'
-       WHEN status_code = 'SUCCESS' AND EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND o.document_type_code = c.document_type_code AND o.sent AND o.status_code = 'SUCCESS') THEN 'Mail successfully sent'
-       WHEN EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND NOT o.sent AND o.status_code = 'SUCCESS') THEN 'Mail not sent' END AS status_message
+       WHEN EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND NOT o.sent AND o.status_code = 'SUCCESS') THEN 'Mail not sent'
+       WHEN status_code = 'SUCCESS' AND EXISTS (SELECT 1 FROM o WHERE o.request_id = c.request_id AND o.document_type_code = c.document_type_code AND o.sent AND o.status_code = 'SUCCESS') THEN 'Mail successfully sent' END AS status_message
 FROM fx_closure c""",
 )
 def q_closure_transition(i):

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from ledgerloom.operators.spread import number_rows
 NO_NUMBER = "PANNOTAVBL"
 DEFAULT_PAN_TYPE = "P"
 FIRST_DAY = datetime(2017, 7, 1)
+REGISTRATION_KEYS = ("party_id", "party_site_id", "org_id")
 
 
 def reporting_code(df: DataFrame, pan: str, lookup: DataFrame, codes: DataFrame) -> DataFrame:
@@ -83,34 +85,49 @@ def missing_registrations(
     return {"header": header, "line": line, "association": association}
 
 
-def scd2_change(registrations: DataFrame, incoming: DataFrame, run_ts: datetime, key: str = "party_id") -> DataFrame:
-    """Type-2 history after new numbers came in: where the one open number differs, it is closed the day
-    before and a new row opens today; a party with no or several open numbers is left alone."""
+def scd2_change(
+    registrations: DataFrame, incoming: DataFrame, run_ts: datetime, keys: Sequence[str] = REGISTRATION_KEYS,
+    type_code: str = "PAN",
+) -> DataFrame:
+    """Type-2 history after new numbers came in, registration by registration.
+
+    A registration is told apart by `keys`, of which those that both tables have are used (party, site,
+    organisation; NULL at party level). Where its one open number of the type differs from the incoming one,
+    that line is closed the day before and a line opens today with the old one's other columns. Registrations
+    with no or several open numbers of the type, and lines of other types or registration ids, stay as they are.
+    """
     today, yesterday = at(midnight(run_ts)), at(midnight(run_ts) - timedelta(days=1))
-    number = F.col("registration_number")
-    is_open = F.col("effective_to").isNull() & number.isNotNull()
+    keys = [k for k in keys if k in registrations.columns and k in incoming.columns]
+    columns, number = registrations.columns, F.col("registration_number")
+    typed = "registration_type_code" in columns
+    of_type = F.col("registration_type_code").startswith(type_code) if typed else F.lit(True)
+    exact_type = F.coalesce(F.col("registration_type_code") == type_code, F.lit(False)) if typed else F.lit(True)
     current = (
-        registrations.where(is_open)
-        .groupBy(key)
-        .agg(F.count("*").alias("_open_rows"), F.min(number).alias("_old"), F.min("reg_id").alias("_reg_id"))
+        registrations.where(F.col("effective_to").isNull() & number.isNotNull() & of_type)
+        .groupBy(*keys)
+        .agg(F.count("*").alias("_open_rows"), F.min(F.struct(*columns)).alias("_old"))
         .where(F.col("_open_rows") == 1)
     )
-    arriving = incoming.groupBy(key).agg(F.min("registration_number").alias("_in"))
+    arriving = incoming.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.min("registration_number").alias("_in"))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
     changed = (
-        current.join(arriving, key)
+        current.join(arriving, on)
         .withColumn("_new", F.coalesce("_in", F.lit(NO_NUMBER)))
-        .where(F.col("_new") != F.col("_old"))
-        .select(key, "_old", "_new", "_reg_id")
-    )
-    same = F.upper(F.trim(number)) == F.upper(F.trim(F.col("_old")))
-    closed = registrations.join(changed, key, "left").withColumn(
-        "effective_to", F.when(F.col("effective_to").isNull() & same, yesterday).otherwise(F.col("effective_to"))
+        .where(F.col("_new") != F.col("_old.registration_number"))
+        .select("_old", "_new")
     )
-    opened = changed.select(
-        key,
-        F.col("_reg_id").alias("reg_id"),
-        F.col("_new").alias("registration_number"),
-        today.alias("effective_from"),
-        F.lit(None).cast("timestamp_ntz").alias("effective_to"),
+    # the lines to close: same registration id and number
+    closing = changed.select(
+        F.col("_old.reg_id").alias("_reg_id"), F.upper(F.trim("_old.registration_number")).alias("_number")
+    ).distinct()
+    same = (F.col("reg_id") == F.col("_reg_id")) & (F.upper(F.trim(number)) == F.col("_number"))
+    open_line = F.col("effective_to").isNull() & exact_type & F.col("_reg_id").isNotNull()
+    closed = registrations.join(closing, same, "left").withColumn(
+        "effective_to", F.when(open_line, yesterday).otherwise(F.col("effective_to"))
     )
-    return closed.select(*registrations.columns).unionByName(opened)
+    news = {
+        "registration_number": F.col("_new"), "effective_from": today, "effective_to": F.lit(None).cast("timestamp_ntz"),
+        "registration_type_code": F.lit(type_code),
+    }
+    opened = changed.select(*[news.get(c, F.col(f"_old.{c}")).alias(c) for c in columns])
+    return closed.select(*columns).unionByName(opened)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.moments import at
 from ledgerloom.functions.text import cat, strip_breaks
 from ledgerloom.operators.lookups import translate
+from ledgerloom.operators.reconcile import require_empty
 from ledgerloom.operators.rules import Rule, apply_rules
 
 
@@ -57,8 +58,10 @@ def closure_transition(df: DataFrame, outcome: DataFrame) -> DataFrame:
 
     `outcome`: request_id, document_type_code, status_code (what was announced), sent. Announced PENDING and
     sent: the documents of that request and type run; announced SUCCESS and sent: flagged sent; announced
-    SUCCESS and failed: every row of the request is flagged not sent.
+    SUCCESS and failed: every row of the request is flagged not sent, whatever was sent before. An announced
+    PENDING that failed stops the run.
     """
+    require_empty(outcome.where(~F.col("sent") & (F.col("status_code") == "PENDING")), "notifications not sent")
     by_type = outcome.groupBy("request_id", "document_type_code").agg(
         F.bool_or(F.col("sent") & (F.col("status_code") == "PENDING")).alias("_running"),
         F.bool_or(F.col("sent") & (F.col("status_code") == "SUCCESS")).alias("_sent"),
@@ -70,11 +73,11 @@ def closure_transition(df: DataFrame, outcome: DataFrame) -> DataFrame:
     state = apply_rules(
         joined,
         [
-            Rule("failed", F.col("_failed"), {"mail_sent_flag": "N", "status_message": "Mail not sent"}),
             Rule(
                 "sent", F.col("_sent") & (F.col("status_code") == "SUCCESS"),
                 {"mail_sent_flag": "Y", "status_message": "Mail successfully sent"},
             ),
+            Rule("failed", F.col("_failed"), {"mail_sent_flag": "N", "status_message": "Mail not sent"}),
             Rule("running", F.col("_running"), {"status_code": "RUNNING", "status_message": "Updating the status"}),
         ],
     )

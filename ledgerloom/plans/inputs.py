@@ -332,6 +332,24 @@ SELECT s_suppkey AS party_id,
 FROM {supplier}
 """
 
+# the registrations of a party and of its site, and lines of another type, which a change must leave alone
+VIEWS["fx_reg_all"] = """
+SELECT party_id, cast(NULL AS bigint) AS party_site_id, cast(NULL AS int) AS org_id, reg_id, 'PAN' AS registration_type_code,
+       registration_number, effective_from, effective_to FROM {fx_reg}
+UNION ALL
+SELECT party_id, 10 * party_id AS party_site_id, cast(party_id % 3 AS int) AS org_id, 500000 + reg_id AS reg_id,
+       (CASE WHEN party_id % 8 = 5 THEN 'PAN-OLD' ELSE 'PAN' END) AS registration_type_code, registration_number, effective_from, effective_to FROM {fx_reg}
+UNION ALL
+SELECT party_id, 10 * party_id AS party_site_id, cast(party_id % 3 AS int) AS org_id, 500000 + reg_id AS reg_id,
+       'TAN' AS registration_type_code, registration_number, effective_from, effective_to FROM {fx_reg} WHERE party_id % 2 = 0
+"""
+
+VIEWS["fx_reg_both"] = """
+SELECT party_id, cast(NULL AS bigint) AS party_site_id, cast(NULL AS int) AS org_id, registration_number FROM {fx_reg_in}
+UNION ALL
+SELECT party_id, 10 * party_id AS party_site_id, cast(party_id % 3 AS int) AS org_id, registration_number FROM {fx_reg_in}
+"""
+
 
 # --- the same documents in the shape of the source system's transaction tables -------------------------
 

@@ -25,7 +25,7 @@ def write_delimited(df: DataFrame, columns: Mapping[str, str], path: str, sep: s
     # one column holding the finished line: quoting is off, the header row is the column name
     body.write.mode("overwrite").option("header", True).option("quote", "").option("sep", "\u0001").option(
         "emptyValue", ""
-    ).csv(path)
+    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_run(df: DataFrame, path: str, partition: str = "request_id") -> None:
