@@ -17,11 +17,14 @@ def stage(i):
     return i.once("stage", lambda: i["fx_stage"])
 
 
+def all_headers(source):
+    """Headers of all staging rows as one run; ids are the document ids so that results can be compared by value."""
+    return headers.build_headers(source, 2).withColumn("transaction_id", F.col("document_id"))
+
+
 def unique_headers(source):
-    """Headers of all staging rows as one run; repeated document numbers are left out, ids are the document
-    ids so that results can be compared by value."""
-    built = headers.build_headers(source, 2).withColumn("transaction_id", F.col("document_id"))
-    return lines.without_duplicates(built)
+    """Those whose number occurs once: lines and taxes are tied to headers by number."""
+    return lines.without_duplicates(all_headers(source))
 
 
 def run_headers(i):
@@ -30,7 +33,7 @@ def run_headers(i):
 
 
 def enriched(i, mode, missing_type="null", hdr=None):
-    hdr = unique_headers(i["fx_stage"]) if hdr is None else hdr
+    hdr = all_headers(i["fx_stage"]) if hdr is None else hdr
     return headers.enrich_headers(hdr, i["fx_loc"], i["fx_lookup"], mode, missing_type)
 
 
@@ -80,6 +83,8 @@ tx AS (SELECT DISTINCT l.transaction_id, l.line_number, s.tax_name, s.tax_rate,
     JOIN ln l ON l.transaction_id = h.transaction_id AND l.tax_trx_id = s.tax_trx_id AND l.tax_trx_line_id = s.tax_trx_line_id
     WHERE s.tax_trx_id IS NOT NULL)"""
 
+ALL_HDR_SQL = HDR_SQL.replace(" WHERE document_num IN (SELECT document_num FROM hdr0 GROUP BY document_num HAVING count(*) = 1)", "")
+
 _ROLE = """{a}.address1 AS {r}_address1, {a}.address2 AS {r}_address2, {a}.place AS {r}_place, {a}.state_number AS {r}_state_number,
     {a}.state_code AS {r}_state_code, {a}.state_name AS {r}_state_name, {a}.pincode AS {r}_pincode, {a}.country_code AS {r}_country_code,
     {a}.description AS {r}_description"""
@@ -88,7 +93,7 @@ ROLE_SQL = ",\n    ".join(
 )
 
 
-def enriched_sql(mode: str, keep_type: bool = False) -> str:
+def enriched_sql(mode: str, keep_type: bool = False, hdr: str = HDR_SQL) -> str:
     """CTEs hdr .. enr."""
     if mode == "receivable":
         pick = """recipient_poc_name AS recipient_legal_name, coalesce(recipient_address2, recipient_address1) AS recipient_address,
@@ -110,7 +115,7 @@ def enriched_sql(mode: str, keep_type: bool = False) -> str:
          WHEN 'DTP Inter-state' THEN coalesce(ship_to_state_code, recipient_state_code) END AS pos_state_code"""
         kind = "r.document_type_code"
         same = "'INTRA'"
-    return f"""{HDR_SQL},
+    return f"""{hdr},
 rol AS (SELECT hdr.*, {ROLE_SQL}
     FROM hdr LEFT JOIN fx_loc ls ON ls.location_id = supplier_location_id LEFT JOIN fx_loc lr ON lr.location_id = recipient_location_id
     LEFT JOIN fx_loc lp ON lp.location_id = ship_to_location_id LEFT JOIN fx_loc ld ON ld.location_id = dispatch_location_id),
@@ -212,11 +217,11 @@ HEADER_OUT = (
 @query(
     "q_headers",
     ["fx_stage"],
-    f"""WITH {HDR_SQL}
+    f"""WITH {ALL_HDR_SQL}
 SELECT {', '.join(HEADER_OUT)}, 'PENDING' AS status_code, 'N' AS mail_sent, 2 AS request_id FROM hdr""",
 )
 def q_headers(i):
-    return unique_headers(i["fx_stage"]).select(*HEADER_OUT, "status_code", "mail_sent", "request_id")
+    return all_headers(i["fx_stage"]).select(*HEADER_OUT, "status_code", "mail_sent", "request_id")
 
 
 @query(
@@ -261,7 +266,7 @@ POS_OUT = ["transaction_id", "invoice_process", "supplier_state_code", "pos_stat
 MOVE_OUT = ["transaction_id", "invoice_process", "customer_type_code", "shipment_type"]
 
 for _mode in ("receivable", "transfer"):
-    _sql = enriched_sql(_mode)
+    _sql = enriched_sql(_mode, hdr=ALL_HDR_SQL)
     _suffix = "" if _mode == "receivable" else "_transfer"
     for _name, _out in (("q_enrich_roles", ENRICHED_OUT), ("q_place_of_supply", POS_OUT), ("q_movement_type", MOVE_OUT)):
         query(f"{_name}{_suffix}", STAGE_VIEWS, f"WITH {_sql}\nSELECT {', '.join(_out)} FROM enr")(

@@ -220,12 +220,13 @@ def print_detail(
             F.lit(footer).cast("string").alias("footer"),
         )
     )
-    detail = lines.select(
+    ids = header.select("transaction_id")
+    detail = lines.join(ids, "transaction_id", "left_semi").select(
         "transaction_id", "line_number", "item_code", "item_name", F.col("hsn_code").alias("hsn"), "quantity",
         rounded("base_amount").alias("line_base_amount"), rounded("tax_amount").alias("line_tax_amount"),
         rounded("gross_amount").alias("line_total_amount"),
     ).join(
-        taxes.select("transaction_id", "line_number", cat(F.col("tax_name"), "-", F.col("tax_rate").cast("string")).alias("tax_code")),
+        taxes.join(ids, "transaction_id", "left_semi").select("transaction_id", "line_number", cat(F.col("tax_name"), "-", F.col("tax_rate").cast("string")).alias("tax_code")),
         ["transaction_id", "line_number"],
     )
     return header.join(detail, "transaction_id")

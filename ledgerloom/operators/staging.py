@@ -13,7 +13,7 @@ from ledgerloom.functions.moments import at, midnight
 from ledgerloom.functions.text import as_col
 from ledgerloom.operators.lookups import attach_attributes, lookup_rows
 from ledgerloom.operators.spread import spread_nulls
-from ledgerloom.session import RunContext
+from ledgerloom.session import RunContext, cut_lineage
 
 TRANSFER_ENTITY, ORDER_ENTITY, INVOICE_ENTITY = "MTL_TRANSACTION", "OE_ORDER_HEADERS", "TRANSACTIONS"
 
@@ -73,14 +73,23 @@ def _staged(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in STAGE_COLUMNS if c in df.columns])
 
 
-def _transfer_rows(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Open transfers x stock moves x tax rows, shared by the two taxed transfer extracts."""
+def transfer_rows(t: Mapping[str, DataFrame]) -> DataFrame:
+    """Open transfers x stock moves x tax rows, shared by the two taxed transfer extracts.
+
+    The open transfers name the documents, these the tax lines, and their keys reduce moves, tax totals and
+    determination rows before any of the histories is grouped or joined."""
+    documents = t["transfers"].select(F.col("tax_invoice_no").alias("tax_invoice_num")).where("tax_invoice_num IS NOT NULL").distinct()
+    history = t["tax_lines"].where(F.col("entity_code") == TRANSFER_ENTITY)
+    taxes = cut_lineage(history.join(documents, "tax_invoice_num", "left_semi"))  # few rows, read four times below
+    line_keys = taxes.select("trx_id", "trx_line_id", "organization_id").distinct()
+    move_keys = line_keys.select(F.col("trx_id").alias("tax_group_id"), F.col("trx_line_id").alias("move_line_id"), "organization_id")
     moves = t["stock_moves"].withColumn(
         "tax_group_id", F.coalesce("transaction_batch_id", "transaction_set_id")
+    ).join(move_keys, move_keys.columns, "left_semi")
+    factors = t["tax_factors"].where(F.col("entity_code") == TRANSFER_ENTITY).join(
+        taxes.select("det_factor_id").distinct(), "det_factor_id", "left_semi"
     )
-    taxes = t["tax_lines"].where(F.col("entity_code") == TRANSFER_ENTITY)
-    factors = t["tax_factors"].where(F.col("entity_code") == TRANSFER_ENTITY)
-    totals = line_tax_total(taxes, ["trx_id", "trx_line_id", "organization_id"])
+    totals = line_tax_total(history.join(line_keys, line_keys.columns, "left_semi"), line_keys.columns)
     taxed = (
         taxes.select(
             F.col("trx_id").alias("tax_group_id"),
@@ -152,9 +161,9 @@ def _transfer_rows(t: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def extract_transit(t: Mapping[str, DataFrame], recipient_email: str) -> DataFrame:
-    """Physical transfers: no project and no move order behind them."""
-    rows = _transfer_rows(t).where(F.col("project").isNull() & F.col("mo_header_id").isNull())
+def extract_transit(t: Mapping[str, DataFrame], recipient_email: str, rows: DataFrame | None = None) -> DataFrame:
+    """Physical transfers: no project and no move order behind them. `rows`: the shared transfer rows."""
+    rows = (transfer_rows(t) if rows is None else rows).where(F.col("project").isNull() & F.col("mo_header_id").isNull())
     return _staged(
         rows.withColumns(
             {
@@ -168,8 +177,9 @@ def extract_transit(t: Mapping[str, DataFrame], recipient_email: str) -> DataFra
     )
 
 
-def extract_inter(t: Mapping[str, DataFrame], recipient_email: str) -> DataFrame:
-    """Transfers ordered through a move order, distinct; contact and ship-to come from its header."""
+def extract_inter(t: Mapping[str, DataFrame], recipient_email: str, rows: DataFrame | None = None) -> DataFrame:
+    """Transfers ordered through a move order, distinct; contact and ship-to come from its header. `rows`: the
+    shared transfer rows."""
     orders = t["move_orders"].select(
         F.col("header_id").alias("mo_header_id"),
         F.col("phone").alias("recipient_phone_num"),
@@ -177,7 +187,7 @@ def extract_inter(t: Mapping[str, DataFrame], recipient_email: str) -> DataFrame
         F.col("location_id").alias("ship_to_location_id"),
         F.col("shipment_id").alias("order_shipment_id"),
     )
-    rows = _transfer_rows(t).drop("poc_name").join(orders, "mo_header_id")
+    rows = (transfer_rows(t) if rows is None else rows).drop("poc_name").join(orders, "mo_header_id")
     return _staged(
         rows.withColumns(
             {
@@ -232,7 +242,7 @@ def extract_challan(t: Mapping[str, DataFrame], recipient_email: str) -> DataFra
     ).distinct()
 
 
-def _invoice_rows(t: Mapping[str, DataFrame], ship_to_name: str) -> DataFrame:
+def invoice_rows(t: Mapping[str, DataFrame], ship_to_name: str) -> DataFrame:
     """Complete invoices of an enabled document type with customer, ship-to and location attributes."""
     enabled = lookup_rows(t["lookup"], "DOCUMENT_TYPES", "Document Type Code").select(
         F.col("lookup_code").alias("document_type_code")
@@ -256,11 +266,13 @@ def _invoice_rows(t: Mapping[str, DataFrame], ship_to_name: str) -> DataFrame:
         )
     )
     ship_to = t["customers"].select(
-        F.col("cust_id").alias("ship_to_cust_id"),
+        F.col("cust_id").cast("string").alias("_ship_to"),
         F.col("cust_name").alias("_ship_name"),
         F.col("location_id").alias("_ship_location"),
     )
-    invoices = invoices.join(ship_to, "ship_to_cust_id", "left")
+    # most invoices have no ship-to customer of their own
+    keyed = spread_nulls(invoices.withColumn("_ship_to", F.col("ship_to_cust_id").cast("string")), "_ship_to", "_ship_to")
+    invoices = keyed.join(ship_to, "_ship_to", "left").drop("_ship_to")
     name = F.col("_ship_name")
     if ship_to_name == "as_is":  # the source query shows the bill-to name whenever a ship-to customer exists
         name = F.when(name.isNotNull(), F.col("recipient_poc_name"))
@@ -273,18 +285,21 @@ def _invoice_rows(t: Mapping[str, DataFrame], ship_to_name: str) -> DataFrame:
     ).drop("_ship_name", "_ship_location")
 
 
-def _tax_rows(t: Mapping[str, DataFrame], entity: str) -> DataFrame:
-    """Every tax row of a line with its type, beside every determination row of the same line.
+def _tax_rows(t: Mapping[str, DataFrame], entity: str, wanted: DataFrame) -> DataFrame:
+    """Every tax row of a line with its type, beside every determination row of the same line, for the lines
+    in `wanted` (trx_id, trx_line_id).
 
     Both sides hang on the line key only (the source joins them to the line, not to each other).
     """
-    taxes = t["tax_lines"].where(F.col("entity_code") == entity)
     keys = ["trx_id", "trx_line_id"]
+    wanted = cut_lineage(wanted.distinct())
+    taxes = t["tax_lines"].where(F.col("entity_code") == entity).join(wanted, keys, "left_semi")
     rows = taxes.join(t["tax_types"].select("tax_type_id", "tax_name"), "tax_type_id").join(
         line_tax_total(taxes, keys), keys
     )
-    factors = t["tax_factors"].where(F.col("entity_code") == entity)
-    prior = t["all_invoices"].groupBy("document_num").agg(F.min("document_id").alias("preceding_doc_id"))
+    factors = t["tax_factors"].where(F.col("entity_code") == entity).join(wanted, keys, "left_semi")
+    referenced = factors.select(F.col("original_invoice_num").alias("document_num")).where("document_num IS NOT NULL").distinct()
+    prior = t["all_invoices"].join(referenced, "document_num", "left_semi").groupBy("document_num").agg(F.min("document_id").alias("preceding_doc_id"))
     factors = spread_nulls(factors, "original_invoice_num", "_original").join(
         prior.withColumnRenamed("document_num", "_original"), "_original", "left"
     )
@@ -302,20 +317,23 @@ def _tax_rows(t: Mapping[str, DataFrame], entity: str) -> DataFrame:
     )
 
 
-def extract_order_invoices(t: Mapping[str, DataFrame], ship_to_name: str = "real") -> DataFrame:
-    """Invoices raised from sales orders: amounts, item and taxes are those of the order line."""
-    invoices = _invoice_rows(t, ship_to_name).where(F.col("context") == "ORDER ENTRY")
+def extract_order_invoices(t: Mapping[str, DataFrame], ship_to_name: str = "real", invoices: DataFrame | None = None) -> DataFrame:
+    """Invoices raised from sales orders: amounts, item and taxes are those of the order line. `invoices`: the
+    shared invoice rows."""
+    invoices = (invoice_rows(t, ship_to_name) if invoices is None else invoices).where(F.col("context") == "ORDER ENTRY")
     lines = t["invoice_lines"].where(F.col("line_context") == "ORDER ENTRY")
-    order_lines = t["order_lines"].join(t["orders"], "order_id")
     rows = (
         invoices.join(lines.select("document_id", "order_number", "order_line_id"), "document_id")
-        .join(order_lines, ["order_number", "order_line_id"])
+        .join(t["orders"], "order_number")
+        .join(t["order_lines"], ["order_id", "order_line_id"])
         .join(
             t["items"].select("item_id", F.col("organization_id").alias("line_org_id"), "item_code", "item_name"),
             ["item_id", "line_org_id"],
         )
     )
-    taxes = _tax_rows(t, ORDER_ENTITY).withColumnsRenamed({"trx_id": "order_id", "trx_line_id": "order_line_id"})
+    rows = cut_lineage(rows)  # the gated lines, read for their keys and for themselves
+    wanted = rows.select(F.col("order_id").alias("trx_id"), F.col("order_line_id").alias("trx_line_id"))
+    taxes = _tax_rows(t, ORDER_ENTITY, wanted).withColumnsRenamed({"trx_id": "order_id", "trx_line_id": "order_line_id"})
     rows = rows.join(taxes, ["order_id", "order_line_id"])
     rows = _organisation(rows, t["organizations"], "ship_from_org_id", "own", ["gstin", "legal_name", "location_id", "line_of_business"])
     net = F.col("unit_price") * F.col("ordered_quantity")
@@ -341,18 +359,20 @@ def extract_order_invoices(t: Mapping[str, DataFrame], ship_to_name: str = "real
     )
 
 
-def extract_direct_invoices(t: Mapping[str, DataFrame], ship_to_name: str = "real") -> DataFrame:
-    """Invoices entered by hand: quantity invoiced or credited, item optional."""
+def extract_direct_invoices(t: Mapping[str, DataFrame], ship_to_name: str = "real", invoices: DataFrame | None = None) -> DataFrame:
+    """Invoices entered by hand: quantity invoiced or credited, item optional. `invoices`: the shared invoice rows."""
     lines = t["invoice_lines"].where(
         (F.coalesce("line_context", F.lit("XXXXXX")) != "ORDER ENTRY") & (F.col("line_type") == "LINE")
     )
     items = t["items"].select("item_id", F.col("organization_id").alias("warehouse_id"), "item_code", F.col("item_name").alias("_item"))
     rows = (
-        _invoice_rows(t, ship_to_name)
+        (invoice_rows(t, ship_to_name) if invoices is None else invoices)
         .join(lines.drop("order_number", "order_line_id"), "document_id")
         .join(items, ["item_id", "warehouse_id"], "left")
     )
-    taxes = _tax_rows(t, INVOICE_ENTITY).withColumnsRenamed({"trx_id": "document_id", "trx_line_id": "invoice_line_id"})
+    rows = cut_lineage(rows)  # the gated lines, read for their keys and for themselves
+    wanted = rows.select(F.col("document_id").alias("trx_id"), F.col("invoice_line_id").alias("trx_line_id"))
+    taxes = _tax_rows(t, INVOICE_ENTITY, wanted).withColumnsRenamed({"trx_id": "document_id", "trx_line_id": "invoice_line_id"})
     rows = rows.join(taxes, ["document_id", "invoice_line_id"]).where(F.col("factor_org_id") == F.col("org_id"))
     rows = _organisation(rows, t["organizations"], "factor_organization_id", "own", ["gstin", "location_id", "line_of_business"])
     rows = attach_attributes(rows, t["legal_entities"], "legal_entity_id", {"legal_name": "supplier_legal_name"}, "legal_entity_id")

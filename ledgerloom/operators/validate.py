@@ -116,9 +116,16 @@ def count_out_of_range(max_lines: int = MAX_LINES, include_empty: bool = False)
 
 def original_document_flag(df: DataFrame, source: DataFrame, number: str, date: str) -> DataFrame:
     """Does a source document with the preceding number and date exist? `date` is an ISO day string."""
-    known = source.select(
-        F.col(number).alias("_num"), F.col(date).alias("_day"), F.lit(True).alias("original_found")
+    # only the few referenced documents are looked up, so the history is reduced before it is made distinct
+    wanted = df.where(F.col("preceding_doc_num").isNotNull() & F.col("preceding_doc_date").isNotNull()).select(
+        F.col("preceding_doc_num").alias("_num"), F.col("preceding_doc_date").alias("_day")
     ).distinct()
+    known = (
+        source.select(F.col(number).alias("_num"), F.col(date).alias("_day"))
+        .join(wanted, ["_num", "_day"], "left_semi")
+        .distinct()
+        .withColumn("original_found", F.lit(True))
+    )
     on = (F.col("_preceding") == F.col("_num")) & (F.col("preceding_doc_date") == F.col("_day"))
     keyed = spread_nulls(df, "preceding_doc_num", "_preceding")  # most documents refer to none
     return keyed.join(known, on, "left").drop("_num", "_day", "_preceding").withColumn(

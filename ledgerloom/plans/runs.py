@@ -35,6 +35,8 @@ class ExtractRun:
     payments: DataFrame
     history: DataFrame | None
     summary: DataFrame
+    source: DataFrame  # source documents with the outcome written back
+    quarantine: DataFrame  # staging rows of the documents that were left out
     violations: dict[str, DataFrame] = field(default_factory=dict)
 
 
@@ -42,8 +44,9 @@ def stage_transfers(t: Mapping[str, DataFrame], run: RunContext, days: int, floo
     gated = dict(t) | {
         "transfers": staging.recent_window(t["transfers"], "creation_date", days, floor, "reprocess_flag", run.run_ts)
     }
+    rows = cut_lineage(staging.transfer_rows(gated))
     return staging.stage_union(
-        staging.extract_transit(gated, mail), staging.extract_inter(gated, mail), staging.extract_challan(gated, mail)
+        staging.extract_transit(gated, mail, rows), staging.extract_inter(gated, mail, rows), staging.extract_challan(gated, mail)
     )
 
 
@@ -54,7 +57,10 @@ def stage_receivables(t: Mapping[str, DataFrame], run: RunContext, days: int, fl
             t["invoices"], "creation_date", days, floor, "reprocess_flag", run.run_ts, whole_days=False
         ),
     }
-    return staging.stage_union(staging.extract_order_invoices(gated), staging.extract_direct_invoices(gated))
+    rows = cut_lineage(staging.invoice_rows(gated, "real"))
+    return staging.stage_union(
+        staging.extract_order_invoices(gated, invoices=rows), staging.extract_direct_invoices(gated, invoices=rows)
+    )
 
 
 def _handle(found: dict[str, DataFrame], on_violation: str) -> None:
@@ -79,7 +85,8 @@ def run_extract(
     """Extract -> headers -> lines and taxes -> categorize -> validate -> payments -> summary.
 
     `on_violation='raise'` stops at the first failed check, as the source job does; `'exclude'` leaves out
-    documents with repeated or already processed numbers and reports the checks.
+    documents with repeated or already processed numbers, returns their rows as `quarantine` and reports the
+    checks. The outcome is written back to the source documents (`source`), so that a rerun finds them done.
     """
     receivable = mode == "receivable"
     stage = cut_lineage(
@@ -90,6 +97,7 @@ def run_extract(
     if history is not None:
         found["documents already processed"] = reconcile.already_processed(built, history).select("document_num")
     _handle(found, on_violation)
+    quarantine = lines.quarantined(stage, *found.values())
     for rows in found.values():
         built = built.join(rows.select("document_num"), "document_num", "left_anti")
     keyed = headers.assign_ids(built, first_id, ["document_num"])  # already written by the numbering
@@ -128,13 +136,24 @@ def run_extract(
     result = cut_lineage(staging.with_audit(result, run))
     payments = writeback.payment_payload(result, t["payment_addresses"], t["lookup"], run.run_ts)
     final = writeback.apply_payment(result, payments)
-    return ExtractRun(final, line_table, tax_table, payments, history, reconcile.run_summary(final), found)
+    back = write_back_invoices(t["invoices"], final, run) if receivable else write_back_transfers(t["transfers"], final, run)
+    return ExtractRun(final, line_table, tax_table, payments, history, reconcile.run_summary(final), back, quarantine, found)
+
+
+RESULT_COLUMNS = {
+    "result_request": "int", "result_type": "string", "result_message": "string", "result_eligible": "string", "result_id": "long",
+}
+
+
+def _with_results(source: DataFrame) -> DataFrame:
+    """Source documents with the columns of the outcome; absent ones are empty."""
+    return source.withColumns({c: F.lit(None).cast(kind) for c, kind in RESULT_COLUMNS.items() if c not in source.columns})
 
 
 def write_back_transfers(transfers: DataFrame, result: DataFrame, run: RunContext) -> DataFrame:
     """Source transfers with type, message, eligibility and id of their document (key: number and batch)."""
     return writeback.write_back(
-        transfers, result,
+        _with_results(transfers), result,
         {"document_num": F.coalesce("tax_invoice_no", "del_challan_num"), "batch_id": F.col("batch_id")},
         _result_columns(run),
     )
@@ -142,7 +161,7 @@ def write_back_transfers(transfers: DataFrame, result: DataFrame, run: RunContex
 
 def write_back_invoices(invoices: DataFrame, result: DataFrame, run: RunContext) -> DataFrame:
     return writeback.write_back(
-        invoices, result, {"document_num": F.col("document_num"), "document_id": F.col("document_id")}, _result_columns(run)
+        _with_results(invoices), result, {"document_num": F.col("document_num"), "document_id": F.col("document_id")}, _result_columns(run)
     )
 
 
@@ -244,7 +263,11 @@ def run_registrations(
     party = registrations.missing_registrations(coded, party_regs, "party", first_id, reporting_type_id)
     next_id = first_id + party["header"].count()
     site = registrations.missing_registrations(coded, party_regs, "site", next_id, reporting_type_id)
-    incoming = coded.select("party_id", F.col("pan").alias("registration_number"))
+    # a vendor's number holds for its registration and for those of its sites
+    number = F.col("pan").alias("registration_number")
+    incoming = coded.select("party_id", "party_site_id", "org_id", number).union(
+        coded.select("party_id", F.lit(None).cast("long"), F.lit(None).cast("int"), number)
+    )
     return {
         **{name: party[name].unionByName(site[name]) for name in party},
         "history": registrations.scd2_change(reg_lines, incoming, run.run_ts),

@@ -61,8 +61,6 @@ def test_missing_price_becomes_zero_and_lines_are_distinct(spark, inputs):
     hdr = lines.without_duplicates(headers.build_headers(stage, 2)).withColumn("transaction_id", F.col("document_id"))
     built = lines.build_lines(stage, hdr)
     assert built.where("price IS NULL").isEmpty() and not built.where("price = 0").isEmpty()
-    # any group size gives the same numbers
-    assert built.exceptAll(lines.build_lines(stage, hdr, group_rows=1)).isEmpty()
     assert reconcile.duplicates(built, ["transaction_id", "line_number"]).isEmpty()
     rolled = lines.rollup_amounts(hdr, built)
     assert reconcile.amount_mismatch(rolled, built, ["transaction_id"], "gross_amount", "gross_amount").isEmpty()
@@ -120,6 +118,43 @@ def test_scd2_cases(spark):
     assert once.exceptAll(registrations.scd2_change(once, incoming, run)).isEmpty()
 
 
+def test_number_change_of_each_registration(spark):
+    """Party and site level of one vendor change apart; other types and other registrations stay."""
+    d0 = datetime(1998, 7, 1)
+    schema = f"party_id long, party_site_id long, org_id int, reg_id long, registration_type_code string, registration_number string, effective_from {NTZ}, effective_to {NTZ}"
+    regs = spark.createDataFrame(
+        [(1, None, None, 10, "PAN", "OLD", d0, None), (1, 7, 2, 11, "PAN", "OLD", d0, None), (1, 7, 2, 11, "TAN", "OLD", d0, None),
+         (1, 8, 2, 12, "PAN", "OLD", d0, None)], schema)
+    incoming = spark.createDataFrame(
+        [(1, None, None, "NEW"), (1, 7, 2, "NEW")], "party_id long, party_site_id long, org_id int, registration_number string")
+    out = registrations.scd2_change(regs, incoming, RUN_TS)
+    got = sorted((r.reg_id, r.registration_type_code, r.registration_number, r.effective_to is None) for r in out.collect())
+    assert got == [(10, "PAN", "NEW", True), (10, "PAN", "OLD", False), (11, "PAN", "NEW", True), (11, "PAN", "OLD", False),
+                   (11, "TAN", "OLD", True), (12, "PAN", "OLD", True)]
+    assert out.exceptAll(registrations.scd2_change(out, incoming, RUN_TS)).isEmpty()
+
+
+def test_failed_action_mail_flags_the_whole_request(spark):
+    log = spark.createDataFrame(
+        [(1, 5, "PO", "SUCCESS"), (2, 5, "REQUISITION", "SUCCESS"), (3, 6, "PO", "SUCCESS")],
+        "document_id int, request_id int, document_type_code string, status_code string").withColumns(
+        {"mail_sent_flag": F.lit(None).cast("string"), "status_message": F.lit(None).cast("string")})
+    outcome = spark.createDataFrame(
+        [(5, "PO", "SUCCESS", False), (5, "REQUISITION", "SUCCESS", True), (6, "PO", "SUCCESS", True)],
+        "request_id int, document_type_code string, status_code string, sent boolean")
+    got = {r.document_id: r.mail_sent_flag for r in writeback.closure_transition(log, outcome).collect()}
+    assert got == {1: "N", 2: "N", 3: "Y"}
+    with pytest.raises(reconcile.ReconciliationError):
+        writeback.closure_transition(log, spark.createDataFrame([(5, "PO", "PENDING", False)], outcome.schema))
+
+
+def test_report_file_keeps_outer_blanks(spark, tmp_path):
+    rows = spark.createDataFrame([("  lead", "mid", "trail  ")], "a string, b string, c string")
+    write_delimited(rows, {"a": " A", "b": "B", "c": "Z "}, str(tmp_path / "report"))
+    written = [l for p in (tmp_path / "report").glob("part-*") for l in p.read_text().splitlines()]
+    assert set(written) == {" A~B~Z ", "  lead~mid~trail  "} and written.count("  lead~mid~trail  ") == 1
+
+
 def test_vendor_plan_orders_requests(spark):
     schema = "employee_id int, vendor_code string, vendor_name string, org_id int, vendor_site_code string, process_flag string, request_id int, vendor_id long, vendor_site_id long"
     queue = spark.createDataFrame(
@@ -200,6 +235,10 @@ def test_extract_run_is_consistent(receivable_run):
     assert not r.violations["documents already processed"].isEmpty()
     assert not r.history.where("status_code = 'RE-EXTRACTED'").isEmpty()
     assert r.headers.join(r.violations["documents already processed"], "document_num", "left_semi").isEmpty()
+    # what was left out is kept apart, with all its rows; what was done is written back
+    left_out = r.violations["documents already processed"].union(r.violations["duplicate document numbers"].select("document_num")).distinct()
+    assert r.quarantine.select("document_num").distinct().exceptAll(left_out).isEmpty() and not r.quarantine.isEmpty()
+    assert r.source.where("result_request IS NOT NULL").count() == n
 
 
 def test_extract_run_raises_when_told(spark, inputs):
