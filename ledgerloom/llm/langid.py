@@ -194,11 +194,17 @@ def fitted(docs: DataFrame, fold: Column, text: str = "text", lang: str = "lang"
     """Model learned from rows outside the held-out fold (`fold` is true there) that have a language."""
     known = docs.select(F.col(lang).alias("_lang"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), fold.alias("_held"))
     ids = known.where(F.col("_lang").isNotNull() & F.col("_text").isNotNull() & ~F.col("_held")).select("_lang", "_key")
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_key"), "_key")
-    # a rank of at most 1,000 is cut off before the shuffle, so a language of any size is a few rows here
-    chosen = written(ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= min(per_language, 1000)).drop("_rank").distinct())
-    if chosen.select("_lang").distinct().count() > MOST_LANGUAGES:
+    # a language's rows of small hash, about four times as many as wanted, stand for it: what reaches the task that
+    # ranks them does not grow with the corpus
+    sizes = ids.groupBy("_lang").agg(F.count("*").alias("_rows"))
+    if sizes.count() > MOST_LANGUAGES:
         raise ValueError(f"over {MOST_LANGUAGES} languages")
+    few = ids.join(F.broadcast(sizes), "_lang").where(
+        F.pmod(F.xxhash64("_key"), F.lit(1 << 40)) <= F.lit(4.0 * per_language) / F.col("_rows") * F.lit(float(1 << 40))
+    )
+    order = Window.partitionBy("_lang").orderBy(F.pmod(F.xxhash64("_key"), F.lit(1 << 40)), "_key")
+    ranked = few.select("_lang", "_key").distinct().withColumn("_rank", F.row_number().over(order))
+    chosen = written(ranked.where(F.col("_rank") <= per_language).drop("_rank"))
 
     def count(batches: Iterator[pd.DataFrame]):
         for frame in batches:
