@@ -114,19 +114,15 @@ def viterbi(score: np.ndarray, text: np.ndarray, texts: int, switch: float = SWI
     order = np.argsort(-length, kind="stable")
     first, length = first[order], length[order]
     lasting = np.array([np.count_nonzero(length > t) for t in range(CHUNK)])
-    # best from language a at the first word of a chunk to language b at its latest word, and where b came from
+    # best from language a at the first word of a chunk to language b at its latest word
     gain = np.full((total, size, size), -1e9, dtype=np.float32)
     gain[:, np.arange(size), np.arange(size)] = score[first]
-    came = np.zeros((CHUNK, total, size, size), dtype=np.int8 if size < 128 else np.int16)
     for t in range(1, CHUNK):
         k = lasting[t]
         if not k:
             break
         now = gain[:k]
-        top = now.argmax(axis=2)
-        jump = np.take_along_axis(now, top[:, :, None], axis=2) - switch
-        came[t, :k] = np.where(now >= jump, np.arange(size), top[:, :, None])
-        gain[:k] = np.maximum(now, jump) + score[first[:k] + t][:, None, :]
+        gain[:k] = np.maximum(now, now.max(axis=2, keepdims=True) - switch) + score[first[:k] + t][:, None, :]
     place = np.empty(total, dtype=np.int64)
     place[order] = np.arange(total)
     # chain the chunks of each text: best score that ends in each language
@@ -158,14 +154,28 @@ def viterbi(score: np.ndarray, text: np.ndarray, texts: int, switch: float = SWI
         end_state[chunk] = state[some]
         start_state[chunk] = entered[chunk, state[some]]
         state[some] = left_from[chunk, start_state[chunk]]
+    # where each language came from, now that the language at a chunk's first word is known
+    row = np.arange(total)
+    walk = np.full((total, size), -1e9, dtype=np.float32)
+    walk[row, start_state] = score[first, start_state]
+    came = np.zeros((CHUNK, total, size), dtype=np.int16)
+    for t in range(1, CHUNK):
+        k = lasting[t]
+        if not k:
+            break
+        now = walk[:k]
+        top = now.argmax(axis=1)[:, None]
+        jump = np.take_along_axis(now, top, axis=1) - switch
+        came[t, :k] = np.where(now >= jump, np.arange(size), top)
+        walk[:k] = np.maximum(now, jump) + score[first[:k] + t]
     label = np.empty(n, dtype=np.int64)
-    current, row = end_state.copy(), np.arange(total)
+    current = end_state.copy()
     for t in range(CHUNK - 1, -1, -1):
         k = lasting[t]
         if k:
             label[first[:k] + t] = current[:k]
             if t:
-                current[:k] = came[t, row[:k], start_state[:k], current[:k]]
+                current[:k] = came[t, row[:k], current[:k]]
     return label
 
 
@@ -238,7 +248,8 @@ def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         model_ = Model.__new__(Model)
         model_.languages, model_.table, model_.open = shared.value
         texts, names, scores = [t or "" for t in column], [], []
-        for a, b in pieces(texts, PIECE):
+        # a chunk's table grows with the square of the languages
+        for a, b in pieces(texts, PIECE // max(1, len(model_.languages) ** 2 // 1024)):
             name, score, _ = labelled(model_, texts[a:b])
             names += name
             scores += score
