@@ -388,6 +388,19 @@ def q_duplicates(i):
     return reconcile.duplicates(i["fx_hdr"], ["request_id", "document_num"])
 
 
+@query(
+    "q_quarantine",
+    ["fx_stage"],
+    f"""WITH {HDR_SQL}
+SELECT s.document_id, s.document_num, s.batch_id, s.item_id, s.item_code, s.tax_name, cast(s.gross_amount AS double) AS gross_amount
+FROM fx_stage s WHERE s.document_num IN (SELECT document_num FROM hdr0 GROUP BY document_num HAVING count(*) > 1)""",
+)
+def q_quarantine(i):
+    rows = stage(i)
+    out = lines.quarantined(rows, reconcile.duplicates(all_headers(rows), ["document_num"]))
+    return doubles(out.select("document_id", "document_num", "batch_id", "item_id", "item_code", "tax_name", "gross_amount"), "gross_amount")
+
+
 @query(
     "q_already_processed",
     ["fx_hdr"],

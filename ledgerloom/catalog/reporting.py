@@ -101,14 +101,32 @@ def q_status_report_alert(i):
 WITH ee AS (SELECT DISTINCT CASE WHEN document_id % 3 = 0 THEN 0 ELSE document_id % 50 END AS transaction_id, phase, error_message, error_type FROM fx_err)
 SELECT transaction_id, count(*) AS entries, substr(string_agg(coalesce(phase, '') || ' - ' || coalesce(CASE WHEN error_type LIKE 'Unexpected Error%'
      THEN 'Unexpected Error - Contact tech support' ELSE substr(error_message, 1, 100) END, ''), '####'
-     ORDER BY phase NULLS FIRST, error_message NULLS FIRST, error_type NULLS FIRST), 1, 4000) AS error_texts FROM ee GROUP BY transaction_id
+     ORDER BY phase NULLS FIRST, error_message NULLS FIRST, error_type NULLS FIRST), 1, 4000) AS error_texts,
+  count(*) FILTER (WHERE before_it < 4000) AS entries_shown
+FROM (SELECT *, coalesce(sum(length(coalesce(phase, '') || ' - ' || coalesce(CASE WHEN error_type LIKE 'Unexpected Error%'
+     THEN 'Unexpected Error - Contact tech support' ELSE substr(error_message, 1, 100) END, '')) + 4) OVER (PARTITION BY transaction_id
+     ORDER BY phase NULLS FIRST, error_message NULLS FIRST, error_type NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_it FROM ee)
+GROUP BY transaction_id
 """,
 )
 def q_error_texts_hot(i):
     """Few documents share the whole log, one holds a third of it: long texts that meet the cap."""
     key = F.when(F.col("document_id") % 3 == 0, 0).otherwise(F.col("document_id") % 50)
     texts = reports.error_texts(i["fx_err"].withColumn("transaction_id", key))
-    return texts.select("transaction_id", F.col("_entries").alias("entries"), F.col("_texts").alias("error_texts"))
+    return texts.select(
+        "transaction_id", F.col("_entries").alias("entries"), F.col("_texts").alias("error_texts"), F.col("_shown").alias("entries_shown")
+    )
+
+
+@query(
+    "q_error_rows",
+    REPORT_VIEWS,
+    f"""WITH {REPORT_HEAD_SQL}
+SELECT DISTINCT r.transaction_id, r.document_num, e.phase, e.error_message, e.error_type FROM rh r JOIN fx_err e ON e.document_id = r.transaction_id
+WHERE r.status_code IN ('RUNNING', 'ERROR')""",
+)
+def q_error_rows(i):
+    return reports.error_rows(report_headers(i), i["fx_err"].withColumnRenamed("document_id", "transaction_id"))
 
 
 # ---------------------------------------------------------------- print
@@ -271,6 +289,19 @@ def q_pack_recipients_old(i):
     return recipients.pack_recipients(who, ["status_code", "document_type_code"], "requestor_email", 3900, 3)
 
 
+@query(
+    "q_recipient_overflow",
+    ["fx_closure"],
+    packing_sql("SUCCESS", 300, 2) + """
+SELECT a.status_code, a.document_type_code, a.email AS requestor_email FROM adr a JOIN fin f ON f.document_type_code = a.document_type_code
+WHERE a.n > f.placed""",
+)
+def q_recipient_overflow(i):
+    """Short batches, so that some addresses do not fit."""
+    who = recipients.closure_recipients(i["fx_closure"], "SUCCESS")
+    return recipients.overflow(who, ["status_code", "document_type_code"], "requestor_email", 300, 2)
+
+
 @query(
     "q_notification_batches",
     ["fx_closure"],

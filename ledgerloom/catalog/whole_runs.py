@@ -10,6 +10,7 @@ from ledgerloom.catalog.extracts import (
     receivable_tables, transfer_tables,
 )
 from ledgerloom.catalog.registry import RUN, doubles, query
+from ledgerloom.catalog.statuses import _MESSAGE, _message_code
 from ledgerloom.plans.runs import run_extract
 
 SHARED_VIEWS = ["fx_loc", "fx_lookup", "fx_eligible", "fx_hdr"]
@@ -20,7 +21,7 @@ RUN_OUT = (
 _AMOUNTS = ("total_base_amount", "total_tax_amount", "gross_amount")
 
 
-def _run_sql(mode: str, stage: str) -> str:
+def _steps_sql(mode: str, stage: str) -> str:
     """The steps of the document queries over a staging relation built by the extracts; ids are dense in
     the order of the document number. Documents waiting for a payment code get it at the end."""
     chain = validated_sql(mode)
@@ -31,8 +32,11 @@ def _run_sql(mode: str, stage: str) -> str:
         "AND k.enabled_flag = 'Y'), r.document_type_code)", "AND k.enabled_flag = 'Y'))"
     )
     chain = chain.replace("FROM fx_hdr s WHERE s.document_num = p.preceding_doc_num", "FROM fx_invoice s WHERE s.document_num = p.preceding_doc_num")
-    return f"""WITH fx_stage AS ({stage}),
-{chain},
+    return f"WITH fx_stage AS ({stage}),\n{chain}"
+
+
+def _run_sql(mode: str, stage: str) -> str:
+    return f"""{_steps_sql(mode, stage)},
 cls AS (SELECT transaction_id, count(*) AS line_count, count(DISTINCT item_class) AS n, min(item_class) AS k FROM ln0 GROUP BY transaction_id),
 pay AS (SELECT v.transaction_id FROM val v WHERE v.eligible_flag = 'N' AND v.status_code = 'PENDING' AND v.supply_type_code = 'B2C' AND EXISTS
   (SELECT 1 FROM fx_vpa a WHERE a.legal_entity_name = v.supplier_legal_name AND a.org_id = v.org_id
@@ -44,6 +48,16 @@ SELECT v.transaction_id, v.document_num, v.invoice_process, CASE WHEN p.transact
 FROM val v LEFT JOIN cls c ON c.transaction_id = v.transaction_id LEFT JOIN pay p ON p.transaction_id = v.transaction_id"""
 
 
+def _source_sql(mode: str, stage: str, source: str, columns: str, keys: str) -> str:
+    """Source documents after the run."""
+    return f"""{_steps_sql(mode, stage)},
+r AS (SELECT *, {_message_code(mode == 'receivable')} AS code FROM val)
+SELECT {columns}, r.supply_type_code AS result_type, {_MESSAGE.format(code='r.code')} AS result_message, r.eligible_flag AS result_eligible,
+  r.transaction_id AS result_id, CASE WHEN r.transaction_id IS NOT NULL THEN 2 END AS result_request,
+  CASE WHEN r.transaction_id IS NOT NULL THEN 'N' ELSE s.reprocess_flag END AS reprocess_flag
+FROM {source} s LEFT JOIN r ON {keys}"""
+
+
 _STAGE_OUT = (
     "query_type, document_id, document_num, document_date, document_type_code, supplier_gstin, supplier_legal_name, supplier_location_id, org_id, "
     "owning_organization_id, line_of_business, sez_unit, recipient_gstin, recipient_location_id, recipient_phone_num, recipient_email, recipient_poc_name, "
@@ -62,24 +76,47 @@ def _tables(i, tables):
     }
 
 
+TRANSFER_STAGE, RECEIVABLE_STAGE = _stage_sql(TRANSIT_SQL, INTER_SQL, CHALLAN_SQL), _stage_sql(ORDER_SQL, DIRECT_SQL)
+TRANSFER_RUN, RECEIVABLE_RUN = [*TRANSFER_VIEWS, *SHARED_VIEWS, "fx_vpa"], [*INVOICE_VIEWS, "fx_le", *SHARED_VIEWS, "fx_vpa"]
+RESULT_OUT = ["result_type", "result_message", "result_eligible", "result_id", "result_request", "reprocess_flag"]
+
+
+def _transfer_run(i):
+    tables = _tables(i, transfer_tables(i) | {"transfers": i["fx_transfer"]})
+    return run_extract(tables, "transfer", RUN, 1000, DAYS, FLOOR, MAIL, on_violation="exclude")
+
+
+def _receivable_run(i):
+    return run_extract(
+        _tables(i, receivable_tables(i)), "receivable", RUN, 1000, DAYS, FLOOR, on_violation="exclude", note_codes=("O",)
+    )
+
+
+@query("q_extract_run_transfer", TRANSFER_RUN, _run_sql("transfer", TRANSFER_STAGE))
+def q_extract_run_transfer(i):
+    return doubles(_transfer_run(i).headers.select(*RUN_OUT), *_AMOUNTS)
+
+
+@query("q_extract_run_receivable", RECEIVABLE_RUN, _run_sql("receivable", RECEIVABLE_STAGE))
+def q_extract_run_receivable(i):
+    return doubles(_receivable_run(i).headers.select(*RUN_OUT), *_AMOUNTS)
+
+
 @query(
-    "q_extract_run_transfer",
-    [*TRANSFER_VIEWS, *SHARED_VIEWS, "fx_vpa"],
-    _run_sql("transfer", _stage_sql(TRANSIT_SQL, INTER_SQL, CHALLAN_SQL)),
+    "q_run_source_transfer",
+    TRANSFER_RUN,
+    _source_sql("transfer", TRANSFER_STAGE, "fx_transfer", "s.document_id, s.item_id, s.batch_id",
+                "r.document_num = coalesce(s.tax_invoice_no, s.del_challan_num) AND r.batch_id = s.batch_id"),
 )
-def q_extract_run_transfer(i):
-    tables = _tables(i, transfer_tables(i) | {"transfers": i["fx_transfer"]})
-    done = run_extract(tables, "transfer", RUN, 1000, DAYS, FLOOR, MAIL, on_violation="exclude")
-    return doubles(done.headers.select(*RUN_OUT), *_AMOUNTS)
+def q_run_source_transfer(i):
+    return _transfer_run(i).source.select("document_id", "item_id", "batch_id", *RESULT_OUT)
 
 
 @query(
-    "q_extract_run_receivable",
-    [*INVOICE_VIEWS, "fx_le", *SHARED_VIEWS, "fx_vpa"],
-    _run_sql("receivable", _stage_sql(ORDER_SQL, DIRECT_SQL)),
+    "q_run_source_receivable",
+    RECEIVABLE_RUN,
+    _source_sql("receivable", RECEIVABLE_STAGE, "fx_invoice", "s.document_id, s.document_num",
+                "r.document_num = s.document_num AND r.document_id = s.document_id"),
 )
-def q_extract_run_receivable(i):
-    done = run_extract(
-        _tables(i, receivable_tables(i)), "receivable", RUN, 1000, DAYS, FLOOR, on_violation="exclude", note_codes=("O",)
-    )
-    return doubles(done.headers.select(*RUN_OUT), *_AMOUNTS)
+def q_run_source_receivable(i):
+    return _receivable_run(i).source.select("document_id", "document_num", *RESULT_OUT)

@@ -42,17 +42,13 @@ def _place(state: Column, address: Column, max_length: int) -> Column:
     )
 
 
-def pack_recipients(
-    df: DataFrame, group: Sequence[str], address: str, max_length: int = 2500, max_batches: int = 5
-) -> DataFrame:
-    """Distinct addresses of a group in order, filled into batches one after the other; those that no batch
-    can take any more are counted in `dropped_count`.
+def _filled(df: DataFrame, group: Sequence[str], address: str, max_length: int, max_batches: int) -> tuple[DataFrame, DataFrame]:
+    """(distinct addresses, per group the state of its batches and the list the placed ones lead).
 
     Placing is sequential, but a batch takes at most ceil(max_length / 2) addresses (each adds a blank and
     at least one character), so only that many times `max_batches` addresses of a group can be placed at all.
     They are selected in parallel; the fold then runs over an array of bounded length.
     """
-    group = list(group)
     addresses = df.select(*group, blank_to_null(F.col(address)).alias("_address")).where(
         F.col("_address").isNotNull()
     ).distinct()
@@ -61,7 +57,16 @@ def pack_recipients(
         F.array_sort(F.collect_list("_address")).alias("_list")
     )
     start = F.struct(F.array_repeat(F.lit(""), max_batches).alias("batches"), F.lit(0).alias("placed"))
-    folded = lists.withColumn("_state", F.aggregate("_list", start, lambda s, a: _place(s, a, max_length)))
+    return addresses, lists.withColumn("_state", F.aggregate("_list", start, lambda s, a: _place(s, a, max_length)))
+
+
+def pack_recipients(
+    df: DataFrame, group: Sequence[str], address: str, max_length: int = 2500, max_batches: int = 5
+) -> DataFrame:
+    """Distinct addresses of a group in order, filled into batches one after the other; those that no batch
+    can take any more are counted in `dropped_count` and returned by `overflow`."""
+    group = list(group)
+    addresses, folded = _filled(df, group, address, max_length, max_batches)
     totals = addresses.groupBy(*group).agg(F.count("*").alias("address_count"))
     return (
         folded.join(totals, group)
@@ -82,6 +87,17 @@ def pack_recipients(
     )
 
 
+def overflow(
+    df: DataFrame, group: Sequence[str], address: str, max_length: int = 2500, max_batches: int = 5
+) -> DataFrame:
+    """The addresses that no batch can take. Batches fill in the order of the addresses, so these are the ones
+    after the last that was placed."""
+    group = list(group)
+    addresses, folded = _filled(df, group, address, max_length, max_batches)
+    last = folded.select(*group, F.element_at("_list", F.col("_state.placed")).alias("_last"))
+    return addresses.join(last, group).where(F.col("_address") > F.col("_last")).select(*group, F.col("_address").alias(address))
+
+
 def notification_batches(packed: DataFrame) -> DataFrame:
     """One row per message to send: the mail process of the status and type, and its address list."""
     name = F.lit(None).cast("string")

@@ -97,7 +97,8 @@ def report_filter(
 
 
 def error_texts(errors: DataFrame, key: str = "transaction_id", cap: int = TEXT_CAP) -> DataFrame:
-    """Error log of each document as one text, capped, and the number of its distinct entries.
+    """Error log of each document as one text, capped, the number of its distinct entries, and of those that the text
+    shows at least in part. `error_rows` has all of them in full.
 
     An entry adds at least its mark and the separator, so no more than `k` entries can touch the capped text;
     only those are gathered, whatever the size of a document's log.
@@ -113,11 +114,25 @@ def error_texts(errors: DataFrame, key: str = "transaction_id", cap: int = TEXT_
     )
     texts = leading.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, "_text"))).alias("_list"))
     joined = F.array_join(F.transform("_list", lambda e: e["_text"]), BETWEEN_ERRORS)
-    texts = texts.select(key, F.substring(joined, 1, cap).alias("_texts"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"))
+    begun = F.aggregate(
+        "_list", start,
+        lambda s, e: F.struct(
+            (s["at"] + F.length(e["_text"]) + len(BETWEEN_ERRORS)).alias("at"), (s["n"] + (s["at"] < cap).cast("int")).alias("n")
+        ),
+    )
+    texts = texts.select(key, F.substring(joined, 1, cap).alias("_texts"), begun["n"].cast("long").alias("_shown"))
     counts = entries.groupBy(key).agg(F.count("*").alias("_entries"))
     return texts.join(counts, key)
 
 
+def error_rows(headers: DataFrame, errors: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """All distinct entries of the documents whose errors a report shows, one row each, messages in full."""
+    shown = headers.where(F.col("status_code").isin("RUNNING", "ERROR")).select(key, "document_num").distinct()
+    entries = errors.select(key, "phase", "error_message", "error_type").distinct()
+    return shown.join(entries, key)
+
+
 def status_report(
     headers: DataFrame,
     errors: DataFrame,
@@ -148,8 +163,10 @@ def status_report(
             "creation_date": stamp(F.col(created_at)),
             "error_dates": F.when(quiet, "-").when(loud, dates),
             "error_texts": F.when(quiet, "-").when(loud, F.coalesce(F.col("_texts"), F.lit(PHASE_MARK))),
+            "entries_total": F.when(loud, F.coalesce("_entries", F.lit(0).cast("long"))),
+            "entries_shown": F.when(loud, F.coalesce("_shown", F.lit(0).cast("long"))),
         }
-    ).drop("_texts", "_entries")
+    ).drop("_texts", "_entries", "_shown")
 
 
 LIST_PATTERN = "(?i)[^0-9a-z, ]"

@@ -3,7 +3,7 @@ decides where they are written (`sources.sinks`). Tables that several later step
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -63,10 +63,26 @@ def stage_receivables(t: Mapping[str, DataFrame], run: RunContext, days: int, fl
     )
 
 
-def _handle(found: dict[str, DataFrame], on_violation: str) -> None:
+def open_transfers(transfers: DataFrame, run: RunContext, days: int, floor: datetime) -> DataFrame:
+    """Source rows of the window that a transfer run has to find: not failed, in a batch, with a number."""
+    rows = staging.recent_window(transfers, "creation_date", days, floor, "reprocess_flag", run.run_ts)
+    numbered = F.col("tax_invoice_no").isNotNull() | F.col("del_challan_num").isNotNull()
+    return rows.where((F.col("process_flag") != "E") & F.col("batch_id").isNotNull() & numbered)
+
+
+Report = Callable[[DataFrame], object]
+
+
+def _handle(found: dict[str, DataFrame], on_violation: str, headers_so_far: DataFrame, on_failure: Report | None) -> None:
+    """Stop at the first check that found anything; the report on the headers goes out before."""
     if on_violation == "raise":
         for name, rows in found.items():
-            reconcile.require_empty(rows, name)
+            try:
+                reconcile.require_empty(rows, name)
+            except reconcile.ReconciliationError:
+                if on_failure is not None:
+                    on_failure(headers_so_far)
+                raise
 
 
 def run_extract(
@@ -81,12 +97,15 @@ def run_extract(
     on_violation: str = "raise",
     note_codes: tuple[str, ...] = ("CM", "DM"),
     max_lines: int = validate.MAX_LINES,
+    on_failure: Report | None = None,
 ) -> ExtractRun:
     """Extract -> headers -> lines and taxes -> categorize -> validate -> payments -> summary.
 
     `on_violation='raise'` stops at the first failed check, as the source job does; `'exclude'` leaves out
     documents with repeated or already processed numbers, returns their rows as `quarantine` and reports the
     checks. The outcome is written back to the source documents (`source`), so that a rerun finds them done.
+    A failed check calls `on_failure` with the headers so far, once, before it stops the run. Source rows of a
+    transfer run without a header do not stop it: they are listed and the summary returns a failure.
     """
     receivable = mode == "receivable"
     stage = cut_lineage(
@@ -96,7 +115,7 @@ def run_extract(
     found = {"duplicate document numbers": reconcile.duplicates(built, ["document_num"])}
     if history is not None:
         found["documents already processed"] = reconcile.already_processed(built, history).select("document_num")
-    _handle(found, on_violation)
+    _handle(found, on_violation, built, on_failure)
     quarantine = lines.quarantined(stage, *found.values())
     for rows in found.values():
         built = built.join(rows.select("document_num"), "document_num", "left_anti")
@@ -123,8 +142,13 @@ def run_extract(
             "line and tax amounts": reconcile.amount_mismatch(
                 line_table, tax_table, ["transaction_id", "line_number"], "tax_amount", "taxable_amount"
             ),
+            "source and line counts": reconcile.count_mismatch(
+                t["transfers"].select(F.col("tax_invoice_no").alias("document_num"), "batch_id"),
+                line_table.join(keyed.select("transaction_id", "document_num", "batch_id"), "transaction_id"),
+                ["document_num", "batch_id"],
+            ),
         }
-        _handle(checks, on_violation)
+        _handle(checks, on_violation, enriched, on_failure)
         found |= checks
     result = categorize.categorize(facts, t["lookup"], t["eligible"], run.run_ts)
     if receivable:
@@ -137,7 +161,19 @@ def run_extract(
     payments = writeback.payment_payload(result, t["payment_addresses"], t["lookup"], run.run_ts)
     final = writeback.apply_payment(result, payments)
     back = write_back_invoices(t["invoices"], final, run) if receivable else write_back_transfers(t["transfers"], final, run)
-    return ExtractRun(final, line_table, tax_table, payments, history, reconcile.run_summary(final), back, quarantine, found)
+    reconciled = True
+    if not receivable:
+        lost = reconcile.missing_in_target(
+            open_transfers(t["transfers"], run, days, floor), final, {True: "del_challan_num", False: "tax_invoice_no"},
+            F.col("invoice_process") == headers.CHALLAN,
+        )
+        reconciled = lost.isEmpty()
+        marked = back.where((F.col("result_request") == run.request_id) & F.col("result_type").isNotNull())
+        rows = {"written-back rows and lines": reconcile.row_count_check(marked, line_table).where(~F.col("agrees"))}
+        _handle(rows, on_violation, final, on_failure)
+        found |= {"source rows without header": lost} | rows
+    summary = reconcile.run_summary(final, reconciled=reconciled)
+    return ExtractRun(final, line_table, tax_table, payments, history, summary, back, quarantine, found)
 
 
 RESULT_COLUMNS = {

@@ -248,6 +248,42 @@ def test_extract_run_raises_when_told(spark, inputs):
             history=inputs["fx_hdr"].select("document_num", F.lit(9).alias("request_id"), F.lit("SUCCESS").alias("status_code"), "batch_id"))
 
 
+def test_failed_check_reports_once_before_it_stops(spark, inputs):
+    reported = []
+    with pytest.raises(reconcile.ReconciliationError):
+        runs.run_extract(
+            _tables(inputs, extracts.receivable_tables(inputs)), "receivable", RUN, 1, extracts.DAYS, extracts.FLOOR,
+            history=inputs["fx_hdr"].select("document_num", F.lit(9).alias("request_id"), F.lit("SUCCESS").alias("status_code"), "batch_id"),
+            on_failure=lambda rows: reported.append(rows.count()))
+    assert len(reported) == 1 and reported[0] > 0
+
+
+def test_transfer_run_lists_what_it_did_not_find(spark, inputs):
+    tables = _tables(inputs, extracts.transfer_tables(inputs) | {"transfers": inputs["fx_transfer"]})
+    r = runs.run_extract(tables, "transfer", RUN, 1000, extracts.DAYS, extracts.FLOOR, extracts.MAIL, on_violation="exclude")
+    lost = r.violations["source rows without header"]
+    plain = {(h.document_num, h.batch_id, h.invoice_process == "DTP Intra-state") for h in r.headers.select("document_num", "batch_id", "invoice_process").collect()}
+    wanted = runs.open_transfers(inputs["fx_transfer"], RUN, extracts.DAYS, extracts.FLOOR).collect()
+    expected = sorted(s.document_id for s in wanted if (s.tax_invoice_no, s.batch_id, False) not in plain and (s.del_challan_num, s.batch_id, True) not in plain)
+    assert sorted(x.document_id for x in lost.collect()) == expected
+    assert {x.return_code for x in r.summary.collect()} == {1} or not expected
+    mismatch = r.violations["source and line counts"]
+    assert mismatch.where("source_rows = target_rows").isEmpty()
+    rows = r.violations["written-back rows and lines"].collect()
+    marked = r.source.where("result_request = 2 AND result_type IS NOT NULL").count()
+    assert bool(rows) == (marked != r.lines.count())
+
+
+def test_placed_and_overflow_make_up_all_addresses(spark):
+    from ledgerloom.operators import recipients
+
+    df = spark.range(400).select(F.lit("S").alias("g"), F.concat(F.lit("user"), F.col("id") % 300, F.lit("@example.com")).alias("a"))
+    packed = recipients.pack_recipients(df, ["g"], "a", 100, 2)
+    placed = [x for r in packed.collect() for x in r.recipients.split(" ")]
+    left = [r.a for r in recipients.overflow(df, ["g"], "a", 100, 2).collect()]
+    assert sorted(placed + left) == sorted({r.a for r in df.collect()}) and left
+
+
 def test_write_back_then_nothing_is_open(spark, inputs, receivable_run):
     source = inputs["fx_invoice"].withColumns(
         {"result_request": F.lit(None).cast("int"), "result_type": F.lit(None).cast("string"), "result_message": F.lit(None).cast("string"),
