@@ -9,7 +9,8 @@ import time
 from pyspark.sql import SparkSession
 
 HEADLINE = (
-    "q_recent_window q_extract_transit q_extract_orders q_headers q_build_lines q_build_taxes q_rollup_amounts q_categorize "
+    "q_recent_window q_extract_transit q_extract_inter q_extract_orders q_extract_direct q_stage_union "
+    "q_headers q_build_lines q_build_taxes q_rollup_amounts q_categorize "
     "q_validate_ar q_validate_mat q_amount_mismatch q_already_processed q_status_report q_error_texts_hot q_print_detail "
     "q_pack_recipients q_find_orphans q_purge_kept q_vendor_requests q_scd2_change q_assign_ids q_write_back "
     "q_extract_run_transfer q_extract_run_receivable"
