@@ -28,6 +28,8 @@ from ledgerloom.llm.common import written
 CURVES, DIRECTIONS, BITS = 6, 5, 8
 #: Rows in one block of an order.
 BLOCK_ROWS = 4096
+#: Steps from a query's own block that one group covers: a group holds at most that many blocks' queries, at any reach.
+STEPS_TOGETHER = 64
 #: Probe queries, and the share of their neighbours that the reach has to find.
 PROBES, WANTED = 256, 0.96
 SEED = 11
@@ -116,6 +118,7 @@ def best(query: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.nda
 def search(
     rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20,
     curves: int = CURVES, directions: int = DIRECTIONS, block_rows: int = BLOCK_ROWS, wanted: float = WANTED,
+    steps_together: int = STEPS_TOGETHER,
 ) -> DataFrame:
     """Columns query_id, rank, vec_id, score: the k rows of largest inner product found for every query."""
     spark = rows.sparkSession
@@ -160,19 +163,24 @@ def search(
                 ids = frame["id"].to_numpy()
                 for c in range(curves):
                     home = block_of(keys[:, c], ids, c)
-                    for step in range(-reach, reach + 1) if query else (0,):
+                    # a query lists its steps; a row of a block is met by every bundle of steps
+                    steps = [(n - reach, n // steps_together) for n in range(2 * reach + 1)] if query else [(0, b) for b in range(bundles)]
+                    for step, bundle in steps:
                         inside = (home + step >= 0) & (home + step < blocks)
-                        yield pd.DataFrame({"spot": (c * blocks + home + step)[inside], "id": ids[inside], "vec": list(vectors[inside])})
+                        spot = (c * blocks + home + step)[inside] * bundles + bundle
+                        yield pd.DataFrame({"spot": spot, "id": ids[inside], "vec": list(vectors[inside])})
 
         return run
 
+    bundles = math.ceil((2 * reach + 1) / steps_together)
     spots = "spot long, id long, vec array<double>"
     filed = placed.mapInPandas(deal(False), spots)
     visits = asked.mapInPandas(deal(True), spots)
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "hits": []})
+            # a block that no query visits, or the steps past the outermost block
+            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "hits": pd.Series(dtype=object)})
         right = right.sort_values("id", kind="stable")
         found = best(np.stack(left["vec"].to_numpy()), left["id"].to_numpy(), np.stack(right["vec"].to_numpy()), right["id"].to_numpy(), k)
         return pd.DataFrame({"query_id": left["id"].to_numpy(), "hits": [[{"less": -s, "vec_id": i} for i, s in zip(*x)] for x in found]})

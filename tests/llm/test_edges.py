@@ -203,6 +203,13 @@ def test_nearest_over_many_blocks(spark):
         score[query] = -np.inf
         hit += (group["score"] >= np.sort(score)[-10] - 1e-9).sum()
     assert hit >= 0.9 * len(found)
+    # one step in a group or all of them: the same blocks meet
+    apart = ann.search(rows, rows.where("vec_id % 20 = 0"), k=10, block_rows=200, steps_together=1).toPandas()
+    order = ["query_id", "rank"]
+    assert apart.sort_values(order).to_numpy().tolist() == found.sort_values(order).to_numpy().tolist()
+    # a single query leaves most blocks unvisited
+    one = ann.search(rows, rows.where("vec_id = 40"), k=10, block_rows=100, wanted=0.1).toPandas()
+    assert one["rank"].tolist() == list(range(1, 11)) and set(one["query_id"]) == {40}
 
 
 def test_hilbert_curve_visits_neighbours():
