@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from ledgerloom.llm.common import written
 
@@ -83,15 +84,24 @@ def curve_keys(vectors: np.ndarray, length: int, curves: int, directions: int, b
     return np.stack(found, axis=1)
 
 
-def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """Columns id, vec (doubles) of the rows that take part."""
-    typed = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")).where(
+def element(rows: DataFrame, vector: str) -> str:
+    """Type in which the numbers of a vector move: single precision as it is, all else as doubles."""
+    return "float" if isinstance(getattr(rows.schema[vector].dataType, "elementType", None), FloatType) else "double"
+
+
+def usable(rows: DataFrame, key: str, vector: str, kind: str) -> DataFrame:
+    """Columns id, vec (numbers of the type `kind`) of the rows that take part."""
+    typed = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("vec")).where(
         F.col("id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0)
     )
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return typed.where(finite & F.exists("vec", lambda x: x != 0))
 
 
+def doubles(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.float64)
+
+
 def best(query: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int):
     """The k nearest rows of each query among `data` (sorted by id): lists of ids and scores.
 
@@ -122,7 +132,8 @@ def search(
 ) -> DataFrame:
     """Columns query_id, rank, vec_id, score: the k rows of largest inner product found for every query."""
     spark = rows.sparkSession
-    data, asked = usable(rows, key, vector), usable(queries, key, vector)
+    kind = "float" if element(rows, vector) == element(queries, vector) == "float" else "double"
+    data, asked = usable(rows, key, vector, kind), usable(queries, key, vector, kind)
     first = data.select(F.size("vec")).limit(1).collect()
     empty = "query_id long, rank int, vec_id long, score double"
     if not first:
@@ -133,11 +144,11 @@ def search(
 
     def keyed(batches):
         for frame in batches:
-            vectors = np.stack(frame["vec"].to_numpy()).astype(np.float64)
+            vectors = doubles(frame["vec"])
             frame["keys"] = list(curve_keys(vectors, length, curves, directions, BITS))
             yield frame
 
-    schema = "id long, vec array<double>, keys array<long>"
+    schema = f"id long, vec array<{kind}>, keys array<long>"
     placed = written(data.mapInPandas(keyed, schema))
     count = placed.count()
     blocks = max(1, math.ceil(count / block_rows))
@@ -173,7 +184,7 @@ def search(
         return run
 
     bundles = math.ceil((2 * reach + 1) / steps_together)
-    spots = "spot long, id long, vec array<double>"
+    spots = f"spot long, id long, vec array<{kind}>"
     filed = placed.mapInPandas(deal(False), spots)
     visits = asked.mapInPandas(deal(True), spots)
 
@@ -182,7 +193,7 @@ def search(
             # a block that no query visits, or the steps past the outermost block
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "hits": pd.Series(dtype=object)})
         right = right.sort_values("id", kind="stable")
-        found = best(np.stack(left["vec"].to_numpy()), left["id"].to_numpy(), np.stack(right["vec"].to_numpy()), right["id"].to_numpy(), k)
+        found = best(doubles(left["vec"]), left["id"].to_numpy(), doubles(right["vec"]), right["id"].to_numpy(), k)
         return pd.DataFrame({"query_id": left["id"].to_numpy(), "hits": [[{"less": -s, "vec_id": i} for i, s in zip(*x)] for x in found]})
 
     hits = visits.groupBy("spot").cogroup(filed.groupBy("spot")).applyInPandas(meet, "query_id long, hits array<struct<less: double, vec_id: long>>")
@@ -202,7 +213,7 @@ def measured_reach(placed, asked, length, k, curves, directions, blocks, block_o
     probes = asked.orderBy(F.xxhash64("id"), "id").limit(PROBES).toPandas()
     if not len(probes):
         return 0
-    vectors, probe_ids = np.stack(probes["vec"].to_numpy()), probes["id"].to_numpy()
+    vectors, probe_ids = doubles(probes["vec"]), probes["id"].to_numpy()
 
     def scan(batches):
         kept = None
@@ -216,12 +227,12 @@ def measured_reach(placed, asked, length, k, curves, directions, blocks, block_o
             kept = shrink(kept).sort_values("id", kind="stable")
             ids, keys = kept["id"].to_numpy(), kept["keys"].to_numpy()
             where = dict(zip(ids.tolist(), keys))
-            for probe, (near, score) in enumerate(best(vectors, probe_ids, np.stack(kept["vec"].to_numpy()), ids, k)):
+            for probe, (near, score) in enumerate(best(vectors, probe_ids, doubles(kept["vec"]), ids, k)):
                 yield pd.DataFrame({"probe": probe, "id": near, "less": -score, "keys": [where[i] for i in near.tolist()]})
 
     def shrink(frame):
         frame = frame.sort_values("id", kind="stable")
-        near = best(vectors, probe_ids, np.stack(frame["vec"].to_numpy()), frame["id"].to_numpy(), k)
+        near = best(vectors, probe_ids, doubles(frame["vec"]), frame["id"].to_numpy(), k)
         return frame[frame["id"].isin(np.unique(np.concatenate([i for i, _ in near])))]
 
     found = placed.mapInPandas(scan, "probe int, id long, less double, keys array<long>")
