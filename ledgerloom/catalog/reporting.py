@@ -134,7 +134,9 @@ def q_error_rows(i):
 
 _PRINTABLE = """
 ph AS (SELECT k.* REPLACE (CASE WHEN k.eligible_flag = 'Y' AND k.status_code = 'PENDING' THEN 'SUCCESS' ELSE k.status_code END AS status_code),
-   'data:image/png;base64,' || repeat('QR' || cast(k.transaction_id AS varchar), 700) AS signed_code FROM cat k),
+   'data:image/png;base64,' || repeat('QR' || cast(k.transaction_id AS varchar), 700) AS signed_code, 'IRN' || cast(k.transaction_id AS varchar) AS irn,
+   'ACK' || cast(k.transaction_id % 1000 AS varchar) AS ack_number, k.document_date AS ack_date, 'S' || k.document_num AS shipment_id,
+   CASE WHEN k.transaction_id % 3 <> 0 THEN 'EW' || cast(k.transaction_id AS varchar) END AS eway_bill_number FROM cat k),
 sel AS (SELECT * FROM ph WHERE status_code = 'SUCCESS' AND eligible_flag = 'Y' AND invoice_process IN
    (SELECT meaning FROM fx_lookup WHERE lookup_type = 'INVOICE_PROCESSES' AND description = '{p}') AND {match})"""
 _LIST_NUM = "document_num IN (SELECT 'INV' || cast(document_id AS varchar) FROM fx_hdr WHERE priority = '1-URGENT' OR priority = '2-HIGH')"
@@ -145,9 +147,14 @@ def printable(i):
     done = F.when((F.col("eligible_flag") == "Y") & (F.col("status_code") == "PENDING"), "SUCCESS").otherwise(F.col("status_code"))
     text = F.concat(F.lit("data:image/png;base64,"), F.repeat(F.concat(F.lit("QR"), F.col("transaction_id")), 700))
     code = F.when((F.col("eligible_flag") == "Y") & (F.col("status_code") == "PENDING"), text)
+    key = F.col("transaction_id")
+    answer = {
+        "irn": F.concat(F.lit("IRN"), key), "ack_number": F.concat(F.lit("ACK"), key % 1000), "ack_date": F.col("document_date"),
+        "shipment_id": F.concat(F.lit("S"), "document_num"), "eway_bill_number": F.when(key % 3 != 0, F.concat(F.lit("EW"), key)),
+    }
     # the header table of a finished run is a written table
     return i.once(
-        "printable", lambda: categorized(i, "receivable").withColumns({"status_code": done, "signed_code": code})
+        "printable", lambda: categorized(i, "receivable").withColumns({"status_code": done, "signed_code": code} | answer)
     )
 
 
@@ -179,7 +186,7 @@ _AMOUNTS = ["document_base_amount", "document_tax_amount", "document_total_amoun
 PRINT_OUT = (
     "transaction_id line_number code_1 code_2 document_num document_date invoice_type place_of_supply supply_type "
     "bill_from supplier_gstin bill_to recipient_gstin ship_from ship_to batch_id footer item_code item_name hsn tax_code"
-).split() + _AMOUNTS
+).split() + reports.PRINTED + reports.ANSWERED + _AMOUNTS
 
 
 def _commas(*columns):
@@ -197,6 +204,8 @@ SELECT h.transaction_id, l.line_number, substr(replace(h.signed_code, 'data:imag
   h.supplier_gstin, {_commas('recipient_legal_name', 'recipient_address', 'recipient_place', 'recipient_pincode_upd')} AS bill_to, h.recipient_gstin,
   {_commas('supplier_legal_name', 'dispatch_from_address', 'dispatch_from_place', 'dispatch_from_pincode')} AS ship_from,
   {_commas('ship_to_legal_name', 'ship_to_address', 'ship_to_place', 'ship_to_pincode')} AS ship_to, h.batch_id, 'No sale' AS footer,
+  h.supplier_state_code, h.recipient_state_code_upd, h.dispatch_from_state_code, h.ship_to_state_code, h.recipient_poc_name, h.recipient_phone_num,
+  h.recipient_email, h.irn, h.ack_number, h.ack_date, h.eway_bill_number, h.shipment_id, cast(NULL AS varchar) AS shipment_num,
   l.item_code, l.item_name, l.hsn_code AS hsn, t.tax_name || '-' || cast(t.tax_rate AS varchar) AS tax_code,
   cast(round(h.total_base_amount, 2) AS double) AS document_base_amount, cast(round(h.total_tax_amount, 2) AS double) AS document_tax_amount,
   cast(round(h.gross_amount, 2) AS double) AS document_total_amount, cast(l.quantity AS double) AS quantity,

@@ -76,7 +76,7 @@ def request_sql(number: str, name: str, flag: str) -> str:
             branches.append(f"""
 SELECT 3 AS request_id, p.person_id AS employee_id, {number} AS employee_number, p.full_name AS employee_name, a.legal_entity,
   coalesce(p.current_employee_flag, 'C') AS current_employee_flag, {unit} AS operating_unit, {org} AS org_id, {name} AS vendor_name,
-  p.full_name AS vendor_name_alt, 'E' || {number} AS vendor_code, '{site}' AS vendor_site_code, p.pan, 'N' AS process_flag
+  p.full_name AS vendor_name_alt, 'E' || {number} AS vendor_code, '{site}' AS vendor_site_code, p.email_address, p.pan, 'N' AS process_flag
 FROM fx_people p JOIN fx_assign a ON a.person_id = p.person_id JOIN fx_account_map m ON m.legal_entity = a.legal_entity
 WHERE m.enabled_flag = 'Y' AND coalesce(m.effective_end, {NOW} + INTERVAL 1 DAY) >= {NOW} AND {keep} AND m.{account} IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM fx_vendor v WHERE v.employee_id = p.person_id) AND NOT EXISTS (SELECT 1 FROM fx_vendor_queue q WHERE q.employee_id = p.person_id)
@@ -185,12 +185,13 @@ def q_account_string(i):
 # ---------------------------------------------------------------- registrations
 
 _CODE = """(SELECT min(c.{c}) FROM fx_lookup k JOIN fx_report_code c ON upper(c.reporting_code) = upper(k.meaning)
-  WHERE k.lookup_type = 'PAN_VENDOR_TYPE' AND k.enabled_flag = 'Y' AND k.lookup_code = {t})"""
+  WHERE k.lookup_type = 'PAN_VENDOR_TYPE' AND k.enabled_flag = 'Y' AND k.lookup_code = {t} AND c.reporting_type_id = 5
+  AND (c.effective_end IS NULL OR c.effective_end >= {now}) AND (k.effective_end IS NULL OR k.effective_end >= {now}))"""
 
 
 def _code_sql(column: str, pan: str) -> str:
-    own = _CODE.format(c=column, t=f"coalesce(nullif(substr({pan}, 4, 1), ''), 'P')")
-    return f"coalesce({own}, {_CODE.format(c=column, t=chr(39) + 'P' + chr(39))})"
+    own = _CODE.format(c=column, now=NOW, t=f"coalesce(nullif(substr({pan}, 4, 1), ''), 'P')")
+    return f"coalesce({own}, {_CODE.format(c=column, now=NOW, t=chr(39) + 'P' + chr(39))})"
 
 
 REPORT_CODE_VIEWS = ["fx_person", "fx_lookup", "fx_report_code"]
@@ -206,7 +207,7 @@ SELECT person_id, pan, {_code_sql('reporting_code_id', 'pan')} AS reporting_code
 )
 def q_reporting_code(i):
     who = i["fx_person"].select("person_id", F.when(F.col("current_npw_flag").isNull(), F.col("pan")).alias("pan"))
-    out = registrations.reporting_code(who, "pan", i["fx_lookup"], i["fx_report_code"])
+    out = registrations.reporting_code(who, "pan", i["fx_lookup"], i["fx_report_code"], 5, RUN_TS)
     return out.select("person_id", "pan", "reporting_code_id", "reporting_code")
 
 
@@ -226,7 +227,7 @@ def _registration_requests(i):
         F.col("employee_id").alias("party_id"), (F.col("employee_id") * 10 + F.col("org_id") % 10).alias("party_site_id"), "org_id"
     )
     rows = queue.join(persons, F.col("party_id") == F.col("person_id"), "left").drop("person_id")
-    return registrations.reporting_code(rows, "pan", i["fx_lookup"], i["fx_report_code"])
+    return registrations.reporting_code(rows, "pan", i["fx_lookup"], i["fx_report_code"], 5, RUN_TS)
 
 
 @query(

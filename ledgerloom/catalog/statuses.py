@@ -244,13 +244,15 @@ def q_purge_check(i):
 
 _NOTIF = """SELECT DISTINCT notification_id, item_key, -priority AS priority,
   CASE WHEN more_info_role IS NULL THEN subject ELSE 'More Information Requested ' || subject END AS subject,
-  strftime(coalesce(sent_date, begin_date), '%Y-%m-%d %H:%M:%S') AS begin_date, status, message_type, recipient_role, more_info_role
+  strftime(coalesce(sent_date, begin_date), '%Y-%m-%d %H:%M:%S') AS begin_date, status, message_type, recipient_role, more_info_role,
+  language, strftime(due_date, '%Y-%m-%d %H:%M:%S') AS due_date, strftime(end_date, '%Y-%m-%d %H:%M:%S') AS end_date, message_name, mail_status,
+  from_user, from_role, CASE WHEN more_info_role IS NULL THEN to_user ELSE more_info_role END AS to_user, original_recipient
 FROM fx_notif WHERE status = 'OPEN' AND message_type = '{kind}' AND recipient_role = 'USER3' AND {match}"""
 
 
 def _notifications(i, kind, key):
     out = reassign.select_notifications(i["fx_notif"], kind, key, "USER3")
-    return out.withColumn("begin_date", F.date_format("begin_date", "yyyy-MM-dd HH:mm:ss"))
+    return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("begin_date", "due_date", "end_date")})
 
 
 @query("q_notifications_pr", ["fx_notif"], _NOTIF.format(kind="REQAPPRV", match="item_key LIKE '%13%'"))

@@ -14,7 +14,8 @@ MORE_INFO_TEXT = "More Information Requested"
 
 def select_notifications(df: DataFrame, kind: str, key: str | None, user: str, more_info_text: str = MORE_INFO_TEXT) -> DataFrame:
     """Open notifications of a user and document kind. PR and PO match the part of the key before its first
-    dash anywhere in the item key, AP matches the start of the item key; no key matches all."""
+    dash anywhere in the item key, AP matches the start of the item key; no key matches all. Where more information
+    was requested, the one asked stands as addressee, by role name (the directory of display names is another system)."""
     rows = df.where(
         (F.col("status") == "OPEN")
         & (F.col("recipient_role") == user)
@@ -33,11 +34,20 @@ def select_notifications(df: DataFrame, kind: str, key: str | None, user: str, m
         "item_key",
         (-F.col("priority")).alias("priority"),
         subject.alias("subject"),
+        "language",
         F.coalesce("sent_date", "begin_date").alias("begin_date"),
+        "due_date",
+        "end_date",
         "status",
         "message_type",
+        "message_name",
+        "mail_status",
+        "from_user",
+        "from_role",
+        F.coalesce("more_info_role", "to_user").alias("to_user"),
         "recipient_role",
         "more_info_role",
+        "original_recipient",
     ).distinct()
 
 

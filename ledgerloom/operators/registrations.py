@@ -20,11 +20,16 @@ FIRST_DAY = datetime(2017, 7, 1)
 REGISTRATION_KEYS = ("party_id", "party_site_id", "org_id")
 
 
-def reporting_code(df: DataFrame, pan: str, lookup: DataFrame, codes: DataFrame) -> DataFrame:
+def reporting_code(
+    df: DataFrame, pan: str, lookup: DataFrame, codes: DataFrame, reporting_type_id: int | None, run_ts: datetime
+) -> DataFrame:
     """Reporting code of the fourth PAN character through the type list; one without an entry uses that of
-    the default type."""
+    the default type. Entries and codes that have ended by the run, and codes of other reporting types, do not count."""
+    in_force = F.coalesce("effective_end", at(run_ts)) >= at(run_ts)
+    codes = codes.where(in_force & (F.col("reporting_type_id") == reporting_type_id))
     types = (
         lookup_rows(lookup, "PAN_VENDOR_TYPE")
+        .where(in_force)
         .select(F.col("lookup_code").alias("_type"), F.upper("meaning").alias("_name"))
         .join(
             codes.select(F.upper("reporting_code").alias("_name"), F.struct("reporting_code_id", "reporting_code").alias("_c")),

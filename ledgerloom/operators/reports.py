@@ -197,6 +197,14 @@ def select_documents(headers: DataFrame, values: DataFrame, mode: str, lookup: D
     )
 
 
+# Header columns printed as they are, and those the tax portal answers later (absent until then)
+PRINTED = (
+    "supplier_state_code recipient_state_code_upd dispatch_from_state_code ship_to_state_code recipient_poc_name recipient_phone_num "
+    "recipient_email"
+).split()
+ANSWERED = "irn ack_number ack_date eway_bill_number shipment_id shipment_num".split()
+
+
 def print_detail(
     headers: DataFrame, lines: DataFrame, taxes: DataFrame, selected: DataFrame, footer: str | None = None,
     code_prefix: str = "data:image/png;base64,",
@@ -233,6 +241,8 @@ def print_detail(
             rounded("total_base_amount").alias("document_base_amount"),
             rounded("total_tax_amount").alias("document_tax_amount"),
             rounded("gross_amount").alias("document_total_amount"),
+            *PRINTED,
+            *[F.col(c) if c in headers.columns else F.lit(None).cast("string").alias(c) for c in ANSWERED],
             "batch_id",
             F.lit(footer).cast("string").alias("footer"),
         )

@@ -87,6 +87,7 @@ def vendor_requests(
             F.col("full_name").alias("vendor_name_alt"),
             cat("E", number).alias("vendor_code"),
             "vendor_site_code",
+            "email_address",
             "pan",
             F.lit("N").alias("process_flag"),
         )

@@ -8,16 +8,18 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ledgerloom.functions.moments import at
 from ledgerloom.functions.text import cat, strip_breaks
 from ledgerloom.operators.lookups import translate
 from ledgerloom.operators.reconcile import require_empty
 from ledgerloom.operators.rules import Rule, apply_rules
+from ledgerloom.operators.spread import spread_nulls
 
 
 def write_back(source: DataFrame, result: DataFrame, on: Mapping[str, Column], sets: Mapping[str, Column]) -> DataFrame:
-    """Set columns of the source rows that have a result row.
+    """Set columns of the source rows that have a result row. Source rows without a key do not meet in one task.
 
     `on` maps result column -> expression over the source, `sets` maps source column -> expression over the
     result. The result is unique on its key (a repeated document stops the run before this point).
@@ -27,14 +29,20 @@ def write_back(source: DataFrame, result: DataFrame, on: Mapping[str, Column], s
         *[e.alias(f"_v_{c}") for c, e in sets.items()],
         F.lit(True).alias("_matched"),
     )
+    # a text key is compared once more in a form whose NULLs are spread
+    first, expression = next(iter(on.items()))
+    columns = source.columns
     condition = None
+    if isinstance(result.schema[first].dataType, StringType):
+        source = spread_nulls(source.withColumn("_first", expression), "_first", "_spread")
+        condition = F.col("_spread") == F.col(f"_k_{first}")
     for k, expression in on.items():
         part = expression == F.col(f"_k_{k}")
         condition = part if condition is None else condition & part
     joined = source.join(side, condition, "left")
     return joined.withColumns(
         {c: F.when(F.col("_matched"), F.col(f"_v_{c}")).otherwise(F.col(c)) for c in sets}
-    ).select(*source.columns)
+    ).select(*columns)
 
 
 def source_message(headers: DataFrame, lookup: DataFrame, partial: bool, into: str = "source_message") -> DataFrame:

@@ -66,7 +66,9 @@ FROM {customer}
 """
 
 VIEWS["fx_lookup"] = """
-SELECT * FROM (VALUES
+SELECT v.*, (CASE WHEN lookup_type = 'PAN_VENDOR_TYPE' AND lookup_code = 'H' THEN cast('1999-03-31 00:00:00' AS {ts})
+                  WHEN lookup_type = 'PAN_VENDOR_TYPE' AND lookup_code = 'C' THEN cast('2030-12-31 00:00:00' AS {ts}) END) AS effective_end
+FROM (VALUES
  ('CUSTOMER_TYPES','REG','Regular','Regular','Y'), ('CUSTOMER_TYPES','UNR','Unregistered','Unregistered','Y'),
  ('CUSTOMER_TYPES','SEZ','Sez','SEZ Type','Y'), ('CUSTOMER_TYPES','EXP','Export','Export Type','Y'),
  ('CUSTOMER_TYPES','OLD','Mystery','Regular','N'),
@@ -208,7 +210,12 @@ SELECT event_id AS notification_id, cast(user_id AS string) || '-' || cast(event
        'USER' || cast(user_id % 10 AS string) AS recipient_role,
        (CASE WHEN event_id % 4 = 0 THEN 'ROLE' || cast(user_id % 3 AS string) ELSE NULL END) AS more_info_role,
        'Subject ' || cast(event_id AS string) AS subject, cast(event_id % 100 AS int) AS priority,
-       (CASE WHEN event_id % 6 = 0 THEN NULL ELSE cast(ts AS {ts}) END) AS sent_date, cast(ts AS {ts}) AS begin_date
+       (CASE WHEN event_id % 6 = 0 THEN NULL ELSE cast(ts AS {ts}) END) AS sent_date, cast(ts AS {ts}) AS begin_date,
+       (CASE WHEN event_id % 3 = 0 THEN cast(ts AS {ts}) END) AS due_date, cast(NULL AS {ts}) AS end_date,
+       'FROM' || cast(event_id % 4 AS string) AS from_user, 'ROLE' || cast(event_id % 5 AS string) AS from_role,
+       (CASE WHEN event_id % 7 = 0 THEN NULL ELSE 'User ' || cast(user_id % 10 AS string) END) AS to_user, 'APPROVE' AS message_name, 'EN' AS language,
+       (CASE event_id % 3 WHEN 0 THEN 'SENT' WHEN 1 THEN 'MAIL' ELSE NULL END) AS mail_status,
+       'USER' || cast(event_id % 10 AS string) AS original_recipient
 FROM {events}
 """
 
@@ -230,7 +237,8 @@ SELECT c_custkey AS person_id, (CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE 'E' |
        c_name AS full_name, (CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE 'Y' END) AS current_employee_flag,
        (CASE WHEN c_custkey % 8 = 0 THEN 'Y' ELSE NULL END) AS current_npw_flag,
        'CUS' || (CASE c_custkey % 5 WHEN 0 THEN 'P' WHEN 1 THEN 'C' WHEN 2 THEN 'H' ELSE 'Q' END) || 'E'
-             || lpad(cast(c_custkey % 10000 AS string), 4, '0') || 'K' AS pan
+             || lpad(cast(c_custkey % 10000 AS string), 4, '0') || 'K' AS pan,
+       (CASE WHEN c_custkey % 9 = 4 THEN NULL ELSE 'p' || cast(c_custkey AS string) || '@example.com' END) AS email_address
 FROM {customer} WHERE c_acctbal > -500
 """
 
@@ -470,7 +478,9 @@ FROM {region}
 """
 
 VIEWS["fx_report_code"] = """
-SELECT * FROM (VALUES (11, 'INDIVIDUAL'), (12, 'company')) AS v(reporting_code_id, reporting_code)
+SELECT reporting_code_id, reporting_code, reporting_type_id, cast(ended AS {ts}) AS effective_end
+FROM (VALUES (11, 'INDIVIDUAL', 5, NULL), (12, 'company', 5, '2002-03-31 00:00:00'), (7, 'Company', 5, '2000-03-31 00:00:00'),
+             (8, 'Individual', 6, NULL), (13, 'HUF', 5, NULL)) AS v(reporting_code_id, reporting_code, reporting_type_id, ended)
 """
 
 # registrations with levels: party rows have no site

@@ -295,7 +295,7 @@ def run_registrations(
     reporting_type_id: int | None, run: RunContext
 ) -> dict[str, DataFrame]:
     """Registrations missing at party and site level, and the type-2 history after number changes."""
-    coded = cut_lineage(registrations.reporting_code(requests, "pan", lookup, codes))
+    coded = cut_lineage(registrations.reporting_code(requests, "pan", lookup, codes, reporting_type_id, run.run_ts))
     party = registrations.missing_registrations(coded, party_regs, "party", first_id, reporting_type_id)
     next_id = first_id + party["header"].count()
     site = registrations.missing_registrations(coded, party_regs, "site", next_id, reporting_type_id)
