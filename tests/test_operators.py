@@ -102,6 +102,23 @@ def test_notification_key_prefix(spark, inputs):
     assert some.where(~F.col("item_key").contains("13")).isEmpty()
 
 
+def test_write_back_with_rows_without_a_key(spark):
+    source = spark.createDataFrame([("A", 1, "old"), ("A", 2, "old"), (None, 1, "old"), (None, None, "old"), ("B", None, "old")], "num string, batch int, state string")
+    result = spark.createDataFrame([("A", 1, "new"), ("B", 3, "new"), (None, 1, "new")], "document_num string, batch_id int, outcome string")
+    out = writeback.write_back(source, result, {"document_num": F.col("num"), "batch_id": F.col("batch")}, {"state": F.col("outcome")})
+    assert out.columns == source.columns
+    rows = {(r.num, r.batch): r.state for r in out.collect()}
+    assert rows == {("A", 1): "new", ("A", 2): "old", (None, 1): "old", (None, None): "old", ("B", None): "old"}
+
+
+def test_reporting_code_in_force_and_of_its_type(spark, inputs):
+    who = spark.createDataFrame([(1, "AAAPA"), (2, "AAACA"), (3, "AAAHA"), (4, None)], "id int, pan string")
+    found = lambda kind: {r.id: r.reporting_code_id for r in registrations.reporting_code(who, "pan", inputs["fx_lookup"], inputs["fx_report_code"], kind, RUN_TS).collect()}
+    # the list's entry for H has ended, so its code is not reached
+    assert found(5) == {1: 11, 2: 12, 3: 11, 4: 11}
+    assert found(6) == {1: 8, 2: 8, 3: 8, 4: 8} and set(found(9).values()) == {None}
+
+
 def test_scd2_cases(spark):
     d0, run = datetime(1998, 7, 1), RUN_TS
     regs = spark.createDataFrame(
