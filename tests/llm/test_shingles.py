@@ -1,0 +1,93 @@
+"""Near duplicates by shingles against brute force."""
+
+import random
+
+import numpy as np
+
+import corpus_pipeline
+from ledgerloom.llm import shingles, simhash
+from ledgerloom.llm.common import prepared
+
+
+def plain_sets(text: str | None) -> set:
+    tokens = (text or "").encode().lower().split()
+    return {tuple(tokens[k : k + 5]) for k in range(max(1, len(tokens) - 4))} if tokens else set()
+
+
+def plain_kept(rows: list[tuple[int, str]]) -> set[int]:
+    """Smallest id of every group over pairs of similarity 0.8 or more, by comparing all pairs."""
+    sets, least = [plain_sets(t) for _, t in rows], list(range(len(rows)))
+
+    def top(k):
+        while least[k] != k:
+            k = least[k]
+        return k
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                x, y = sorted((top(i), top(j)))
+                least[y] = x
+    best = {}
+    for k, (key, _) in enumerate(rows):
+        best[top(k)] = min(key, best.get(top(k), key))
+    return set(best.values())
+
+
+def edited_rows() -> list[tuple[int, str]]:
+    """Texts and copies with a growing number of changed words, to both sides of 0.8."""
+    draw = random.Random(11)
+    words = ["".join(draw.choice("etaoinshr") for _ in range(5)) for _ in range(400)]
+    rows = []
+    for _ in range(12):
+        base = [draw.choice(words) for _ in range(draw.choice((6, 40, 120, 300)))]
+        for edits in range(9):
+            copy = base[:]
+            for at in draw.sample(range(len(base)), min(edits, len(base) // 4)):
+                copy[at] = draw.choice(words)
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+def test_stage_matches_brute_force(spark):
+    prepared(spark)
+    rows = edited_rows() + [(1000, "a b a b a b a"), (1001, "a b a b a b a b a b"), (1002, ""), (1003, " \n"), (1004, "one two"), (1005, "ONE  two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_distinct(spark, docs, "").collect()}
+    assert kept == plain_kept(rows)
+    # blocks of a cluster meet in pairs
+    found = {r["doc_id"]: r["component"] for r in shingles.near_duplicates(docs, block=200).collect()}
+    assert len(set(found.values())) == len(kept)
+
+
+def test_texts_of_close_fingerprints_and_other_shingles_stay(spark):
+    prepared(spark)
+    draw = random.Random(2)
+    base = [str(draw.randrange(10**6)) for _ in range(300)]
+    rows = [(0, " ".join(base))]
+    for seed in range(40):
+        # 17 words apart: similarity about 0.6
+        other = random.Random(seed)
+        copy = base[:]
+        for at in other.sample(range(len(base)), 17):
+            copy[at] = str(other.randrange(10**6))
+        rows.append((seed + 1, " ".join(copy)))
+    prints = [simhash.simhash(t, 5, simhash.SEEDS) for _, t in rows]
+    assert any(sum((a ^ b).bit_count() for a, b in zip(prints[0], p)) <= 25 for p in prints[1:])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.keep_distinct(spark, docs, "").collect()} == plain_kept(rows) == set(range(41))
+
+
+def test_similar_least_matches_all_pairs():
+    draw = np.random.default_rng(3)
+    for _ in range(40):
+        base = draw.choice(60, 30, replace=False)
+        sets = sorted((np.unique(np.where(draw.random(30) < 0.12, draw.integers(0, 60, 30), base)[: draw.integers(5, 31)]).astype(np.uint64) for _ in range(12)), key=len)
+        least = list(range(12))
+        for _ in sets:
+            for i, a in enumerate(sets):
+                for j, b in enumerate(sets):
+                    both = len(np.intersect1d(a, b))
+                    if 5 * both >= 4 * (len(a) + len(b) - both):
+                        least[i] = least[j] = min(least[i], least[j])
+        assert shingles.similar_least(sets).tolist() == least
