@@ -1,9 +1,10 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 Merge-type models join, again and again, the pair of neighbours whose joined piece has the best score. Here every
-candidate merge is first put to a keyed hash of (seed, variant, word, its three bounds): below the dropout rate it is
-skipped. The variant of a word follows from the row's id and the word's place, one of VARIANTS, so copies of a word get
-different segmentations, a repeated run gets the same ones, and each (word, variant) is worked out once per batch.
+candidate merge is first put to a keyed hash of (seed, row id, the word's place in the row, its three bounds): below the
+dropout rate it is skipped. So every occurrence of a word gets a segmentation of its own, and a repeated run the same ones.
+A worker remembers the undropped segmentation of a word and the merges that were candidates on the way; an occurrence that
+skips none of those takes it, the others are merged anew.
 
 No piece holds a space behind another character, so text falls into independent words, each with the spaces before it.
 The words of a batch are merged side by side in rounds, one merge per word and round; words of over LONG characters go
@@ -19,7 +20,6 @@ from __future__ import annotations
 import heapq
 import itertools
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import per_process, pieces
 
-DROPOUT, VARIANTS, SEED = 0.1, 4, 1
+DROPOUT, SEED = 0.1, 1
 LONG = 96
 #: Words that a worker remembers at most, but for those of one batch.
 MEMORY = 600_000
 SPACE = "▁"
 WORDS = re.compile(" +[^ ]*")
 NONE = np.int64(1) << 60
+#: Characters of words that are merged side by side at once, and candidate merges that are hashed at once.
+TOGETHER = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -151,8 +153,9 @@ def queued(m: Model, symbols: np.ndarray, key: int, limit: int) -> tuple[list[in
     return [sym[k] for k in alive], [start[k] for k in alive]
 
 
-def side_by_side(m: Model, symbols: np.ndarray, counts: np.ndarray, key: np.ndarray, limit: int):
-    """Merges of many words in rounds. Returns word, start and symbol of all that is left, ordered by word and start."""
+def side_by_side(m: Model, symbols: np.ndarray, counts: np.ndarray, key: np.ndarray, limit: int, seen: list | None = None):
+    """Merges of many words in rounds. Returns word, start and symbol of all that is left, ordered by word and start.
+    `seen` gets word and bounds of every candidate merge that was not skipped."""
     word = np.repeat(np.arange(len(counts)), counts)
     first = np.cumsum(counts) - counts
     start = np.arange(len(symbols)) - first[word]
@@ -164,7 +167,10 @@ def side_by_side(m: Model, symbols: np.ndarray, counts: np.ndarray, key: np.ndar
         inside = (at + 1 < len(sym)) & (word[nxt] == word[at])
         out = np.full(len(at), NONE, dtype=np.int64)
         i, j = at[inside], nxt[inside]
-        out[inside] = m.candidates(sym[i], sym[j], start[i], start[j], end[j], key[word[i]], limit)
+        out[inside] = found = m.candidates(sym[i], sym[j], start[i], start[j], end[j], key[word[i]], limit)
+        if seen is not None:
+            i, j = i[found < NONE], j[found < NONE]
+            seen.append((word[i], bounds_key(start[i], start[j], end[j])))
         return out
 
     rank = ranks(np.arange(len(sym))) if len(sym) else np.empty(0, dtype=np.int64)
@@ -198,16 +204,18 @@ def side_by_side(m: Model, symbols: np.ndarray, counts: np.ndarray, key: np.ndar
     return word[order], start[order], sym[order]
 
 
-def segment(m: Model, words: list[str], key: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words, joined, and how many each has."""
+def segment(m: Model, words: list[str], key: np.ndarray, limit: int, seen: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words, joined, and how many each has. `seen` gets the candidate merges of words of up to LONG characters."""
     counts = np.array([len(w) for w in words], dtype=np.int64)
     chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
     first = np.cumsum(counts) - counts
     long = counts > LONG
     symbols = m.of_char[chars].astype(np.int64)
     short = ~np.repeat(long, counts)
-    word, start, sym = side_by_side(m, symbols[short], counts[~long], key[~long], limit)
+    word, start, sym = side_by_side(m, symbols[short], counts[~long], key[~long], limit, seen)
     word = np.flatnonzero(~long)[word]
+    if seen is not None:
+        seen[:] = [(np.flatnonzero(~long)[w], bounds) for w, bounds in seen]
     for w in np.flatnonzero(long).tolist():
         s, at = queued(m, symbols[first[w] : first[w] + counts[w]], int(key[w]), limit)
         word, start, sym = (np.concatenate(p) for p in ((word, np.full(len(s), w)), (start, at), (sym, s)))
@@ -234,32 +242,76 @@ class Numbers(dict):
         return number
 
 
+def spread(place: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers place, place + 1, ... of every entry, joined."""
+    total = np.cumsum(count)
+    return np.arange(int(total[-1]) if len(total) else 0) + np.repeat(place - total + count, count)
+
+
+def slices(amount: np.ndarray, most: int):
+    """Ranges of entries of about `most` in all."""
+    total = np.cumsum(amount)
+    start = 0
+    while start < len(amount):
+        end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + most, "right")))
+        yield start, end
+        start = end
+
+
+class Pool:
+    """Growing array of which entries are named by place and count."""
+
+    def __init__(self, kind):
+        self.rows, self.filled = np.empty(1 << 16, dtype=kind), 0
+        self.place, self.count = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        self.put(values)
+        self.place = np.concatenate((self.place, self.filled + np.cumsum(counts) - counts))
+        self.count = np.concatenate((self.count, counts))
+        self.filled += len(values)
+
+    def put(self, values: np.ndarray) -> None:
+        """Values behind the filled part, where the next ones overwrite them."""
+        if self.filled + len(values) > len(self.rows):
+            self.rows = np.concatenate((self.rows[: self.filled], np.empty(self.filled + 2 * len(values), dtype=self.rows.dtype)))
+        self.rows[self.filled : self.filled + len(values)] = values
+
+
 class Segmenter:
-    """Segments texts; remembers the ids of words, by variant, until MEMORY words are known."""
+    """Segments texts; remembers the undropped ids and candidate merges of words until MEMORY words are known."""
 
-    def __init__(self, m: Model, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
-        self.model, self.variants = m, variants if dropout else 1
+    def __init__(self, m: Model, dropout: float = DROPOUT, seed: int = SEED):
+        self.model = m
         self.limit = min(int(dropout * 2.0**64), (1 << 64) - 1)
         self.salt = mixed(np.array([seed & (1 << 64) - 1], dtype=np.uint64))
         self.forget()
 
     def forget(self) -> None:
         self.numbers, self.names = Numbers(), []
-        self.place, self.count = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int32)
-        self.pool, self.filled = np.empty(1 << 16, dtype=np.int32), 0
-
-    def learn(self, needed: np.ndarray) -> None:
-        """Work out words, given as number * variants + variant."""
-        which, variant = needed // self.variants, needed % self.variants
-        words = [self.names[i] for i in which.tolist()]
-        crc = np.array([zlib.crc32(w.encode()) for w in words], dtype=np.uint64)
-        key = mixed((crc << np.uint64(32) | variant.astype(np.uint64)) ^ self.salt)
-        ids, counts = segment(self.model, words, key, self.limit)
-        if self.filled + len(ids) > len(self.pool):
-            self.pool = np.concatenate((self.pool[: self.filled], np.empty(self.filled + 2 * len(ids), dtype=np.int32)))
-        self.pool[self.filled : self.filled + len(ids)] = ids
-        self.place[needed], self.count[needed] = self.filled + np.cumsum(counts) - counts, counts
-        self.filled += len(ids)
+        self.ids, self.merges = Pool(np.int32), Pool(np.uint64)
+
+    def learn(self, words: list[str]) -> None:
+        """Undropped segmentations of new words, and the hashed bounds of their candidate merges."""
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        for a, b in slices(lengths, TOGETHER):
+            seen: list = []
+            ids, counts = segment(self.model, words[a:b], np.zeros(b - a, dtype=np.uint64), 0, seen)
+            self.ids.add(ids, counts)
+            if self.limit:
+                word, bounds = (np.concatenate(c) for c in zip(*seen)) if seen else (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64))
+                order = np.argsort(word, kind="stable")
+                self.merges.add(mixed(bounds[order]), np.bincount(word, minlength=b - a))
+
+    def dropped(self, every: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Whether an occurrence (word number, key) skips a merge; words of over LONG characters count as if they did."""
+        out = np.zeros(len(every), dtype=bool)
+        count = self.merges.count[every]
+        for a, b in slices(count, TOGETHER):
+            own = count[a:b]
+            drop = mixed(np.repeat(key[a:b], own) ^ self.merges.rows[spread(self.merges.place[every[a:b]], own)]) < np.uint64(self.limit)
+            out[a:b][np.repeat(np.arange(b - a), own)[drop]] = True
+        return out
 
     def encode(self, texts: list[str], row_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, joined, and how many each has."""
@@ -269,29 +321,32 @@ class Segmenter:
         cut = [WORDS.findall(" " + text) if text else [] for text in texts]
         for words in cut:
             found += map(number, words)
-        fresh = len(self.numbers) - known
-        self.names += itertools.islice(self.numbers, known, None)
-        self.place = np.concatenate((self.place, np.full(fresh * self.variants, -1)))
-        self.count = np.concatenate((self.count, np.zeros(fresh * self.variants, dtype=np.int32)))
+        fresh = list(itertools.islice(self.numbers, known, None))
+        self.names += fresh
+        self.learn(fresh)
         sizes = np.array([len(c) for c in cut], dtype=np.int64)
-        every = np.array(found, dtype=np.int64) * self.variants
+        every = np.array(found, dtype=np.int64)
+        place, amount = self.ids.place[every], self.ids.count[every]
         if self.limit:
             rows = mixed(self.salt ^ np.array([r & (1 << 64) - 1 for r in row_ids], dtype=np.uint64))
             at = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            every += (mixed(np.repeat(rows, sizes) + at.astype(np.uint64)) % np.uint64(self.variants)).astype(np.int64)
-        unknown = every[self.place[every] < 0]
-        if len(unknown):
-            self.learn(np.unique(unknown))
-        amount = self.count[every].astype(np.int64)
-        total = np.cumsum(amount)
-        flat = np.arange(int(total[-1]) if len(total) else 0) + np.repeat(self.place[every] - total + amount, amount)
-        ends = np.concatenate(([0], total))[np.cumsum(sizes)] if len(texts) else np.empty(0, dtype=np.int64)
-        return self.pool[flat], np.diff(np.concatenate(([0], ends)))
-
-
-def encode(m: Model, texts: list[str], row_ids: list[int], dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
+            key = mixed(np.repeat(rows, sizes) + at.astype(np.uint64))
+            lengths = np.array([len(w) for words in cut for w in words], dtype=np.int64)
+            anew = np.flatnonzero(self.dropped(every, key) | (lengths > LONG))
+            parts = [np.empty(0, dtype=np.int64)]
+            for a, b in slices(lengths[anew], TOGETHER):
+                which = anew[a:b]
+                ids, amount[which] = segment(self.model, [self.names[i] for i in every[which].tolist()], key[which], self.limit)
+                parts.append(ids)
+            self.ids.put(np.concatenate(parts))
+            place[anew] = self.ids.filled + np.cumsum(amount[anew]) - amount[anew]
+        ends = np.concatenate(([0], np.cumsum(amount)))[np.cumsum(sizes)] if len(texts) else np.empty(0, dtype=np.int64)
+        return self.ids.rows[spread(place, amount)], np.diff(np.concatenate(([0], ends)))
+
+
+def encode(m: Model, texts: list[str], row_ids: list[int], dropout: float = DROPOUT, seed: int = SEED):
     """Ids of all texts, joined, and how many each has."""
-    return Segmenter(m, dropout, seed, variants).encode(texts, row_ids)
+    return Segmenter(m, dropout, seed).encode(texts, row_ids)
 
 
 def decode(m: Model, ids: list[int]) -> str:
@@ -302,13 +357,12 @@ def decode(m: Model, ids: list[int]) -> str:
 
 def encoded(
     docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", dropout: float = DROPOUT, seed: int = SEED,
-    variants: int = VARIANTS,
 ) -> DataFrame:
     """Columns key, ids, n_ids, lossless (the ids decode to the very text). A NULL key is encoded like id 0."""
 
     def run(batches):
         m = model(model_path)
-        worker = per_process(("segmenter", model_path, dropout, seed, variants), lambda: Segmenter(m, dropout, seed, variants))
+        worker = per_process(("segmenter", model_path, dropout, seed), lambda: Segmenter(m, dropout, seed))
         for batch in batches:
             keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             rows = [k or 0 for k in keys.to_pylist()]
