@@ -35,6 +35,10 @@ SIDE_WORDS = frozenset(
     "footer header masthead comment comments disqus replies respond responses discussion".split()
 )
 TALK_WORDS = frozenset("comment comments disqus reply replies respond responses".split())
+#: A name with one of these tells what a page or wrapper has, not what it is: has-sidebar, page-with-comments.
+LAYOUT_WORDS = frozenset("has with no without layout".split())
+#: So does one of these beside a word for content: content-sidebar-wrap.
+WRAP_WORDS = frozenset("wrap wrapper container".split())
 MAIN_WORDS = frozenset("article content main post entry story body text".split())
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 
@@ -44,47 +48,55 @@ TAG = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z)|</?\Z",
     re.S,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+ATTRIBUTES = frozenset("class id role hidden aria-hidden style itemprop".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SPACE = re.compile(r"\s+")
 
 #: Costs: of being under an element that is no content, under one that holds content, outside it where a page has one.
 SIDE, MAIN, OUTSIDE = 12.0, 5.0, 4.0
+#: Costs of a name that sounds like boilerplate, of one that sounds like readers' comments, and most that the first ones add up to.
+NAMED, TALK, MOST_NAMED = 6.0, 10.0, 9.0
 #: Edges: to the next block, to the next block under the same parent.
 NEXT, SIBLING = 0.8, 0.6
 
 
 def element_bias(name: str, rest: str, bias: float, inside: bool) -> tuple[float, bool]:
-    """Bias of what stands in an element, and whether it holds main content. A side element stays one all the way down."""
-    if name in MAIN_TAGS:
-        inside, own = True, MAIN
-    else:
-        own = -SIDE if name in SIDE_TAGS or name == "header" and not inside else 0.0
-    if "=" in rest or "hidden" in rest:
+    """Bias of what stands in an element, and whether it holds main content. A side element stays one all the way down;
+    names in class and id only cost, and the outermost main element below them starts anew."""
+    # 2: main content wherever it stands, 1: but not among comments
+    main = 1 if name == "article" else 2 if name in MAIN_TAGS else 0
+    side = name in SIDE_TAGS or name == "header" and not inside
+    words: list[set[str]] = []
+    if "=" in rest or "hidden" in rest.lower():
         for found in ATTRIBUTE.finditer(rest):
             attribute, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+            if attribute not in ATTRIBUTES:
+                continue
             if attribute == "hidden" or attribute == "aria-hidden" and value.lower() == "true":
-                own = -SIDE
+                side = True
             elif attribute == "style":
-                if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                    own = -SIDE
+                side = side or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
             elif attribute == "role":
-                if value.lower() == "main":
-                    inside, own = True, MAIN
-                elif value.lower() in SIDE_ROLES:
-                    own = -SIDE
+                main = 2 if value.lower() == "main" else main
+                side = side or value.lower() in SIDE_ROLES
             elif attribute == "itemprop":
-                if value == "articleBody":
-                    inside, own = True, MAIN
-            elif name not in ("html", "body"):
-                words = {w.lower() for w in WORD.findall(value)}
-                if words & (TALK_WORDS if name in MAIN_TAGS else SIDE_WORDS):
-                    own = -SIDE
-                elif own == 0 and words & MAIN_WORDS:
-                    own = 1.5
-    if bias <= -SIDE or own <= -SIDE:
+                main = 2 if value == "articleBody" else main
+            elif attribute in ("class", "id") and name not in ("html", "body"):
+                words += [{w.lower() for w in WORD.findall(token)} for token in value.split()]
+    if bias <= -SIDE or side:
         return -SIDE, inside
-    return max(bias, own), inside
+    words = [w for w in words if not (w & LAYOUT_WORDS or w & WRAP_WORDS and w & MAIN_WORDS)]
+    talk = any(w & TALK_WORDS for w in words)
+    if main and not inside and not talk and (main > 1 or bias > -TALK):
+        return MAIN, True
+    if talk:
+        return max(1 - SIDE, bias - TALK), inside
+    if not main and any(w & SIDE_WORDS for w in words):
+        return min(bias, max(-MOST_NAMED, bias - NAMED)), inside
+    if bias >= 0 and (main or any(w & MAIN_WORDS for w in words)):
+        return max(bias, MAIN if main else 1.5), inside
+    return bias, inside
 
 
 def blocks_of(page: str) -> list[tuple[str, str, float, bool, float, tuple[int, ...]]]:
