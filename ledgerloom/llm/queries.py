@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ann, extract, fingerprint, langid, merge_dropout, packing, quality, simhash, url_trie, warc
+from ledgerloom.llm import ann, extract, fingerprint, impact_search, importance, langid, log_bilinear, merge_dropout, packing, quality, simhash, url_trie, warc
 from ledgerloom.llm.common import fresh_folder, table
 
 BYTE_MODEL, MERGE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -70,11 +70,26 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identified(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_log_bilinear(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = log_bilinear.fitted(docs, log_bilinear.held_out())
+    found = log_bilinear.scored(docs, model).withColumn("train_tokens", F.lit(model.vocab.tokens).cast("long"))
+    return found.select("doc_id", log_bilinear.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op12_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return impact_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_nearest, op2_fingerprints, op3_archive, op4_packing, op5_merge_dropout, op6_main_text, op7_url_rules, op8_simhash, op9_quality,
-        op10_language,
+        op10_language, op11_log_bilinear, op12_ranked, op13_importance,
     )
 }
 
@@ -109,4 +124,63 @@ WITH split AS (
 )
 SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM split s LEFT JOIN fitting f ON f.page_id = s.page_id AND f.place = 1""",
+    "op12_ranked": r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms, row_number() OVER () AS place FROM documents
+), sized AS (
+  SELECT place, doc_id, terms, len(terms)::BIGINT AS n FROM texts WHERE len(terms) > 0
+), whole AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS all_terms FROM sized
+), held AS (
+  SELECT place, term, count(*)::BIGINT AS tf FROM (SELECT place, unnest(terms) AS term FROM sized) GROUP BY place, term
+), weighed AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM held, whole GROUP BY term
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), summed AS (
+  SELECT a.item_id, h.place, any_value(s.doc_id) AS doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // all_terms))))::BIGINT AS score
+  FROM asked a JOIN held h USING (term) JOIN weighed USING (term) JOIN sized s ON s.place = h.place, whole
+  GROUP BY a.item_id, h.place
+), ordered AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM summed WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ordered WHERE rank <= 10""",
+    "op13_importance": r"""
+WITH remainders AS (
+  SELECT list(list_reduce([n]::BIGINT[] || range(8), lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS steps
+  FROM range(256) t(n)
+), texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS place, doc_id, text FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark
+), words AS (
+  SELECT side, place, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts
+), hashed AS (
+  SELECT word, xor(list_reduce([4294967295]::BIGINT[] || list_transform(range(octet_length(encode(word))),
+      lambda k: ('0x' || substr(hex(encode(word)), 2 * k::INT + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM words), remainders
+), counted AS (
+  SELECT side, place, bucket, count(*)::BIGINT AS times FROM words JOIN hashed USING (word) GROUP BY side, place, bucket
+), shares AS (
+  SELECT bucket, coalesce(sum(times) FILTER (WHERE side = 'd'), 0)::BIGINT AS s, coalesce(sum(times) FILTER (WHERE side = 't'), 0)::BIGINT AS t
+  FROM counted GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM shares, (SELECT sum(s)::BIGINT AS s_all, sum(t)::BIGINT AS t_all FROM shares)
+), weights AS (
+  SELECT place, sum(times)::BIGINT AS n_features, floor(sum(times * gain)::DOUBLE / sum(times)::DOUBLE)::BIGINT AS weight
+  FROM counted JOIN gains USING (bucket) WHERE side = 'd' GROUP BY place
+), scored AS (
+  SELECT d.place, d.doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id::VARCHAR), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296)))::BIGINT AS score
+  FROM texts d LEFT JOIN weights w ON w.place = d.place WHERE d.side = 'd'
+), ordered AS (
+  SELECT place, row_number() OVER (ORDER BY score DESC, doc_id) AS pos, count(*) OVER () AS n FROM scored WHERE n_features >= 20 AND doc_id IS NOT NULL
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN pos <= (10 * n) // 100 THEN pos END::BIGINT AS rank
+FROM scored LEFT JOIN ordered USING (place)""",
 }
