@@ -86,7 +86,8 @@ class Model:
         self.languages = languages
         smooth = triplets.astype(np.float64) + 0.5
         share = np.log(smooth / smooth.sum(axis=1, keepdims=True))
-        self.table = np.ascontiguousarray((share - share.mean(axis=0)).T.astype(np.float32))
+        middle = share.mean(axis=0) if languages else 0.0
+        self.table = np.ascontiguousarray((share - middle).T.astype(np.float32))
         wide = scripts / np.maximum(1, scripts.sum(axis=1, keepdims=True)) >= 0.02
         # a script that no language was learned in leaves all open
         self.open = np.where(wide.any(axis=0), wide, True).T
@@ -192,8 +193,9 @@ def labelled(model: Model, texts: list[str]):
     best = weight.argmax(axis=1)
     rows = np.arange(n)
     share = weight[rows, best] / np.maximum(1, letters_)
-    # how far the words leave the second language behind, per text
-    total = np.stack([np.bincount(text, weights=score[:, k], minlength=n) for k in range(size)], axis=1)
+    # how far the words of the best language's spans leave the second language behind, per text
+    inside = label == best[text]
+    total = np.stack([np.bincount(text[inside], weights=score[inside, k], minlength=n) for k in range(size)], axis=1)
     lead = total[rows, best] - np.where(np.arange(size) == best[:, None], -np.inf, total).max(axis=1) if size > 1 else np.full(n, 30.0)
     sure = 1 / (1 + np.exp(-np.clip(lead, -30, 30)))
     names = [model.languages[b] if c else UNKNOWN for b, c in zip(best, letters_)]
@@ -240,7 +242,8 @@ def fitted(docs: DataFrame, fold: Column, text: str = "text", lang: str = "lang"
 
 
 def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of the rows with lang_pred and score."""
+    """All columns of the rows with lang_pred and score, the share of letters in spans of that language times the certainty
+    of those spans. Columns of these names are replaced; without a learned language every row is `und`, score 0."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.table, model.open))
 
     @F.pandas_udf("lang_pred string, score double")

@@ -13,6 +13,7 @@ Sequence ids carry the task's partition, so the result repeats as long as the in
 from __future__ import annotations
 
 import json
+import re
 import zlib
 
 import numpy as np
@@ -30,7 +31,7 @@ WINDOW = CAPACITY << 10
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 END_ID = 1
 #: Words whose ids a worker remembers.
-WORDS = 1_000_000
+WORDS = 400_000
 # fixed value: the pattern that cuts text before byte-level merges
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -47,13 +48,17 @@ class Encoder:
     """Ids of texts as little-endian 32-bit numbers, by the vocabulary of a byte-level BPE file.
 
     A single space between two other characters always opens a new piece, so words are encoded apart and remembered;
-    a text with other white space around its spaces is encoded whole."""
+    a text with other white space around its spaces is encoded whole. The added tokens of the file stand for their ids
+    wherever a text holds them; the texts between them are encoded apart."""
 
     def __init__(self, path: str, words: int = WORDS):
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            content = json.load(file)
+        vocabulary = content["model"]["vocab"]
+        self.added = {t["content"]: t["id"] for t in content.get("added_tokens", [])}
+        self.mark = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         letters = byte_letters()
-        ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if all(c in letters for c in t) and not t.startswith("<|")}
+        ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if all(c in letters for c in t) and t not in self.added}
         self.base = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, i in ranks.items():
@@ -61,7 +66,11 @@ class Encoder:
         self.words, self.most = {}, words
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.base.encode_ordinary(text), dtype="<u4").tobytes()
+        ids, at = [], 0
+        for found in self.mark.finditer(text) if self.mark else ():
+            ids += [*self.base.encode_ordinary(text[at : found.start()]), self.added[found[0]]]
+            at = found.end()
+        return np.array([*ids, *self.base.encode_ordinary(text[at:])] if ids else self.base.encode_ordinary(text), dtype="<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
         """Remember the ids of words, each opened by a space: one run over all of them, cut where their bytes end.
@@ -89,7 +98,7 @@ class Encoder:
         get, out = self.words.__getitem__, []
         for text, words in zip(texts, cut):
             known = [get(w) for w in words]
-            if None in known:
+            if None in known or self.mark and self.mark.search(text):
                 out.append(self.whole(text))
             else:
                 known[0] = self.whole(words[0])

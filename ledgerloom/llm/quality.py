@@ -157,7 +157,7 @@ def fitted(docs: DataFrame, labels: DataFrame, fold: Column, key: str = "doc_id"
 
 
 def scored(docs: DataFrame, machine: Machine, text: str = "text", accept: float = ACCEPT) -> DataFrame:
-    """All columns of the rows with score (0 to 1) and predicted (1 from `accept` on)."""
+    """All columns of the rows with score (0 to 1) and predicted (1 from `accept` on); columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.weight, machine.factor))
 
     @F.pandas_udf("double")

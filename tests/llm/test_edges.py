@@ -51,7 +51,6 @@ def test_fingerprint_edges(docs, none):
 def test_packing_edges(docs, none):
     rows = packing.pack(docs, BYTES).toPandas()
     tokenizer = Tokenizer.from_file(BYTES)
-    tokenizer.encode_special_tokens = True
     want = sum(len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for t in [*TEXTS, TEXTS[4]])
     assert rows["length"].sum() == want and rows["doc_id"].isna().sum() == 1
     assert packing.pack(none, BYTES).count() == 0
@@ -62,8 +61,7 @@ def test_packing_edges(docs, none):
 
 def test_word_encoder_equals_library():
     tokenizer = Tokenizer.from_file(BYTES)
-    tokenizer.encode_special_tokens = True
-    odd = ["a  b", " a", "a ", "a\n b", "don't it 's 12ab", "<|endoftext|> x", "tab\t x \x1c y", "é ü\u00a0 z", "ab\u3000 c", *[t or "" for t in TEXTS]]
+    odd = ["a  b", " a", "a ", "a\n b", "don't it 's 12ab", "<|endoftext|> x", "a <|endoftext|> b", "a  <|endoftext|><|endoftext|>", "<|endoftext| >", "tab\t x \x1c y", "é ü\u00a0 z", "ab\u3000 c", *[t or "" for t in TEXTS]]
     for text, ids in zip(odd, packing.Encoder(BYTES).encode(odd)):
         assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -335,4 +333,37 @@ def test_pipeline_stages_take_odd_rows(spark, docs, none, tmp_path):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, table, str(tmp_path)).columns == columns
     kept = corpus_pipeline.keep_distinct(spark, docs.select(*columns), str(tmp_path)).toPandas()
-    assert kept["doc_id"].isna().sum() == 1 and kept["doc_id"].dropna().is_unique
+    assert kept["doc_id"].dropna().is_unique
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark):
+    draw = random.Random(2)
+    a, b = (" ".join(str(draw.randrange(1000)) for _ in range(400)) for _ in range(2))
+    rows = [(7, a), (7, b), (8, b + " more"), (None, a), (None, "alone here"), (9, None), (3, "")]
+    texts = [simhash.simhash(t)[0] for _, t in rows]
+    assert (texts[1] ^ texts[2]).bit_count() <= 4 < (texts[0] ^ texts[1]).bit_count()
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.keep_distinct(spark, table, "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(7, a), (7, b), (0, "alone here"), (3, "")])
+
+
+def test_pipeline_leaves_columns_as_they_are(spark, docs, tmp_path):
+    docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(str(tmp_path / "labels.parquet"))
+    table = docs.select("doc_id", "text", "lang", F.lit(5.0).alias("score"), F.lit(8).alias("predicted"), F.lit("zz").alias("lang_pred"), F.lit(3).alias("_row"), F.lit(4).alias("w0"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, str(tmp_path))
+        assert out.columns == table.columns
+        assert {tuple(r)[3:] for r in out.collect()} == {(5.0, 8, "zz", 3, 4)}
+
+
+def test_halves_of_two_languages_score_as_half():
+    words = {"de": "der hund und die katze sind nicht hier gewesen", "en": "the dog and the cat have not been here"}
+    languages = sorted(words)
+    triplets, scripts = np.zeros((2, langid.BUCKETS)), np.zeros((2, len(langid.SCRIPT_NAMES)))
+    for k, name in enumerate(languages):
+        bucket, _, _, _, script, _ = langid.words_of([words[name] + " "] * 20)
+        np.add.at(triplets[k], bucket, 1)
+        np.add.at(scripts[k], script, 1)
+    model = langid.Model(languages, triplets, scripts)
+    names, scores, _ = langid.labelled(model, [" ".join([words["de"]] * 9 + [words["en"]] * 9), words["de"]])
+    assert scores[0] > 0.4 and scores[1] > 0.9 and names[1] == "de"
