@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import cat
 from ledgerloom.operators.lookups import effective_flags, membership
-from ledgerloom.operators.rules import Rule, apply_rules
+from ledgerloom.operators.rules import Rule, State, apply_rules
 
 # Stand-ins used for a recipient outside the tax territory, and message texts
 UNREGISTERED_RECIPIENT = {
@@ -78,46 +78,53 @@ def working_columns(df: DataFrame) -> DataFrame:
 
 def entity_rules() -> list[Rule]:
     """Not guarded by status: they may turn an ERROR into SUCCESS-INELIGIBLE, in this order."""
-    b2c = F.col("supply_type_code") == "B2C"
-    other = F.col("supply_type_code") != "B2C"
     closed = {"status_code": "SUCCESS-INELIGIBLE", "eligible_flag": "N"}
+
+    def consumer(state: State) -> Column:
+        return state("supply_type_code") == "B2C"
+
+    def other(state: State) -> Column:
+        return state("supply_type_code") != "B2C"
+
     return [
-        Rule("entity not eligible", other & ~F.col("le_b2b_any"), closed, SMALL_ENTITY_TEXT),
-        Rule("entity partly enabled", other & F.col("le_b2b_partial"), closed, PARTIAL_TEXT),
-        Rule("entity not eligible, consumer", b2c & ~F.col("le_b2c_any"), closed, SMALL_ENTITY_B2C_TEXT),
-        Rule("entity partly enabled, consumer", b2c & F.col("le_b2c_partial"), closed, PARTIAL_B2C_TEXT),
+        Rule("entity not eligible", lambda s: other(s) & ~F.col("le_b2b_any"), closed, SMALL_ENTITY_TEXT),
+        Rule("entity partly enabled", lambda s: other(s) & F.col("le_b2b_partial"), closed, PARTIAL_TEXT),
+        Rule("entity not eligible, consumer", lambda s: consumer(s) & ~F.col("le_b2c_any"), closed, SMALL_ENTITY_B2C_TEXT),
+        Rule("entity partly enabled, consumer", lambda s: consumer(s) & F.col("le_b2c_partial"), closed, PARTIAL_B2C_TEXT),
     ]
 
 
 def category_rules() -> list[Rule]:
-    eligible = F.col("eligible_flag") == "Y"
-    no_tax = F.col("total_tax_amount") == 0
+    no_tax, taxed = F.col("total_tax_amount") == 0, F.col("total_tax_amount") != 0
+    abroad = (F.col("recipient_country_code") != HOME_COUNTRY) & F.col("is_export")
     rejected = {"status_code": "ERROR", "supply_type_code": "NA", "eligible_flag": "N"}
     sez = UNREGISTERED_RECIPIENT | {"sez_unit": "true"}
+
+    def eligible(state: State) -> Column:
+        return state("eligible_flag") == "Y"
+
     return [
         Rule(
-            "challan", F.col("eligible_flag") == "N",
+            "challan", lambda s: s("eligible_flag") == "N",
             {"status_code": "SUCCESS-INELIGIBLE", "supply_type_code": "NA"}, CHALLAN_TEXT, True, PENDING,
         ),
         Rule(
-            "unregistered", eligible & F.col("is_unregistered"),
+            "unregistered", lambda s: eligible(s) & F.col("is_unregistered"),
             {"supply_type_code": "B2C", "eligible_flag": "N"}, statuses=PENDING,
         ),
         Rule(
-            "export without tax",
-            eligible & (F.col("recipient_country_code") != HOME_COUNTRY) & F.col("is_export") & no_tax,
+            "export without tax", lambda s: eligible(s) & abroad & no_tax,
             {"supply_type_code": "EXPWOP"} | UNREGISTERED_RECIPIENT, statuses=PENDING,
         ),
-        Rule("zone without tax", eligible & F.col("is_sez") & no_tax, {"supply_type_code": "SEZWOP"} | sez, statuses=PENDING),
         Rule(
-            "zone with tax", eligible & F.col("is_sez") & (F.col("total_tax_amount") != 0),
-            {"supply_type_code": "SEZWP"} | sez, statuses=PENDING,
+            "zone without tax", lambda s: eligible(s) & F.col("is_sez") & no_tax, {"supply_type_code": "SEZWOP"} | sez, statuses=PENDING
         ),
-        Rule("regular", eligible & F.col("is_regular"), {"supply_type_code": "B2B"}, statuses=PENDING),
+        Rule("zone with tax", lambda s: eligible(s) & F.col("is_sez") & taxed, {"supply_type_code": "SEZWP"} | sez, statuses=PENDING),
+        Rule("regular", lambda s: eligible(s) & F.col("is_regular"), {"supply_type_code": "B2B"}, statuses=PENDING),
         Rule(
             "same registration on both sides",
-            (F.col("supply_type_code") == "B2B")
-            & (F.col("recipient_gstin") == F.col("supplier_gstin"))
+            lambda s: (s("supply_type_code") == "B2B")
+            & (s("recipient_gstin") == F.col("supplier_gstin"))
             & F.coalesce(F.col("any_zero_tax"), F.lit(False)),
             {"supply_type_code": "B2C", "eligible_flag": "N"},
         ),
