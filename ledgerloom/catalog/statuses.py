@@ -8,7 +8,9 @@ from ledgerloom.catalog.documents import (
     CATEGORY_SQL, RECEIVABLE_SQL, STAGE_VIEWS, VALID_VIEWS, _LE, categorized, validated, validated_sql,
 )
 from ledgerloom.catalog.registry import NOW, RUN, RUN_TS, day_text, query
-from ledgerloom.operators import purge, reassign, writeback
+from ledgerloom.operators import headers, purge, reassign, writeback
+from ledgerloom.session import fresh_path
+from ledgerloom.sources.stored import StoredTable
 
 _MESSAGE = "(SELECT max(meaning) FROM fx_lookup WHERE lookup_type = 'MESSAGES' AND enabled_flag = 'Y' AND lookup_code = {code})"
 
@@ -52,6 +54,87 @@ def q_write_back(i):
     )
 
 
+def stored_invoices(i):
+    """Invoices by month of their creation, the results of a run, and how these are written back."""
+    source = i["fx_hdr"].select(
+        "document_id", "document_num", "reprocess_flag", F.date_format("document_date", "yyyy-MM").alias("month"),
+        *[F.lit(None).cast("string").alias(c) for c in ("result_type", "result_eligible")], F.lit(None).cast("long").alias("result_id"),
+    )
+    result = i.once("results of validation", lambda: validated(i, "receivable").select(
+        "document_num", "document_id", "supply_type_code", "eligible_flag", "transaction_id"))
+    on = {"document_num": F.col("document_num"), "document_id": F.col("document_id")}
+    sets = {
+        "result_type": F.col("supply_type_code"), "result_eligible": F.col("eligible_flag"), "reprocess_flag": F.lit("N"),
+        "result_id": F.col("transaction_id"),
+    }
+    return source, result, on, sets
+
+
+_STORED_SQL = """
+SELECT s.document_id, s.document_num, strftime(s.document_date, '%Y-%m') AS month, r.supply_type_code AS result_type, r.eligible_flag AS result_eligible,
+  CASE WHEN r.transaction_id IS NOT NULL THEN 'N' ELSE s.reprocess_flag END AS reprocess_flag, r.transaction_id AS result_id
+FROM fx_hdr s {join} JOIN val r ON r.document_num = s.document_num AND r.document_id = s.document_id"""
+
+
+@query("q_write_back_stored", VALID_VIEWS, f"WITH {RECEIVABLE_SQL}" + _STORED_SQL.format(join="LEFT"))
+def q_write_back_stored(i):
+    """The stored table after a write-back that rewrote only the months with changed rows."""
+    source, result, on, sets = stored_invoices(i)
+    table = StoredTable.create(source, fresh_path(i.spark), "month")
+    table.rewrite(writeback.changed_rows(table.read(), result, on, sets), lambda rows: writeback.write_back(rows, result, on, sets))
+    return table.read()
+
+
+@query("q_changed_rows", VALID_VIEWS, f"WITH {RECEIVABLE_SQL}" + _STORED_SQL.format(join=""))
+def q_changed_rows(i):
+    return writeback.changed_rows(*stored_invoices(i))
+
+
+@query(
+    "q_touched_partitions", VALID_VIEWS,
+    f"WITH {RECEIVABLE_SQL}" + """
+SELECT strftime(s.document_date, '%Y-%m') AS month, count(*) AS changed_rows
+FROM fx_hdr s JOIN val r ON r.document_num = s.document_num AND r.document_id = s.document_id GROUP BY 1""",
+)
+def q_touched_partitions(i):
+    return writeback.touched_partitions(writeback.changed_rows(*stored_invoices(i)), "month")
+
+
+_STATE_SQL = """st AS (SELECT document_id, document_num, batch_id, document_id % 12 AS request_id, CASE WHEN document_type = 'F' THEN 'ERROR' ELSE 'SUCCESS' END AS status_code FROM fx_hdr),
+cur AS (SELECT DISTINCT document_num, batch_id FROM st WHERE request_id IN (2, 5, 7))"""
+
+
+def stored_headers(i):
+    """Headers of twelve requests, and the keys that a later run extracted again."""
+    status = F.when(F.col("document_type") == "F", "ERROR").otherwise("SUCCESS")
+    state = i["fx_hdr"].select("document_id", "document_num", "batch_id", (F.col("document_id") % 12).cast("int").alias("request_id"), status.alias("status_code"))
+    return state, state.where(F.col("request_id").isin(2, 5, 7)).select("document_num", "batch_id"), {"document_num": None, "batch_id": 1}
+
+
+@query(
+    "q_supersede_stored", ["fx_hdr"],
+    f"""WITH {_STATE_SQL}
+SELECT document_id, document_num, batch_id, request_id, CASE WHEN status_code = 'ERROR' AND EXISTS (SELECT 1 FROM cur WHERE cur.document_num = st.document_num
+   AND coalesce(cur.batch_id, 1) = coalesce(st.batch_id, 1)) THEN 'RE-EXTRACTED' ELSE status_code END AS status_code FROM st""",
+)
+def q_supersede_stored(i):
+    """The stored headers after a run that rewrote only the requests with superseded rows."""
+    state, current, keys = stored_headers(i)
+    table = StoredTable.create(state, fresh_path(i.spark), "request_id")
+    table.rewrite(headers.superseded_rows(table.read(), current, keys), lambda rows: headers.supersede(rows, current, keys))
+    return table.read()
+
+
+@query(
+    "q_superseded_rows", ["fx_hdr"],
+    f"""WITH {_STATE_SQL}
+SELECT document_id, document_num, batch_id, request_id, 'RE-EXTRACTED' AS status_code FROM st WHERE status_code = 'ERROR'
+  AND EXISTS (SELECT 1 FROM cur WHERE cur.document_num = st.document_num AND coalesce(cur.batch_id, 1) = coalesce(st.batch_id, 1))""",
+)
+def q_superseded_rows(i):
+    return headers.superseded_rows(*stored_headers(i))
+
+
 @query(
     "q_write_back_transfer",
     [*VALID_VIEWS, "fx_transfer"],

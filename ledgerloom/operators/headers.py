@@ -58,23 +58,35 @@ def assign_ids(df: DataFrame, start: int, order_by: Sequence[str], into: str = "
 def supersede(history: DataFrame, current: DataFrame, keys: Mapping[str, object]) -> DataFrame:
     """Failed rows of earlier runs that the current run has extracted again become RE-EXTRACTED.
 
-    `keys` maps key column -> stand-in for NULL; a NULL key equals NULL and equals the stand-in.
+    `keys` maps key column -> stand-in for NULL; a NULL key equals NULL and equals the stand-in. The result is the full
+    new state; `superseded_rows` gives the changed rows alone.
     """
-    def key(name, default):
-        column = F.col(name)
-        return column if default is None else F.coalesce(column, F.lit(default))
-
-    again = current.select(
-        *[key(n, d).alias(f"_{n}") for n, d in keys.items()], F.lit(True).alias("_again")
-    ).distinct()
-    on = [key(n, d) == F.col(f"_{n}") for n, d in keys.items()]
-    marked = history.join(again, on, "left")
+    again, on = _extracted_again(current, keys)
+    marked = history.join(again.withColumn("_again", F.lit(True)), on, "left")
     return marked.withColumn(
         "status_code",
         F.when((F.col("status_code") == "ERROR") & F.col("_again"), "RE-EXTRACTED").otherwise(F.col("status_code")),
     ).select(*history.columns)
 
 
+def superseded_rows(history: DataFrame, current: DataFrame, keys: Mapping[str, object]) -> DataFrame:
+    """New state of the failed rows that the current run has extracted again, and of no others. The status is tested
+    before the join and reaches the scan, so of the history only failed rows move."""
+    again, on = _extracted_again(current, keys)
+    failed = history.where(F.col("status_code") == "ERROR").join(again, on, "left_semi")
+    return failed.withColumn("status_code", F.lit("RE-EXTRACTED"))
+
+
+def _extracted_again(current: DataFrame, keys: Mapping[str, object]):
+    """Distinct keys of the current rows, and the condition of the join to them."""
+    def key(name, default):
+        column = F.col(name)
+        return column if default is None else F.coalesce(column, F.lit(default))
+
+    again = current.select(*[key(n, d).alias(f"_{n}") for n, d in keys.items()]).distinct()
+    return again, [key(n, d) == F.col(f"_{n}") for n, d in keys.items()]
+
+
 def enrich_roles(
     df: DataFrame, locations: DataFrame, roles: Mapping[str, str], attributes: Sequence[str] = LOCATION_ATTRIBUTES
 ) -> DataFrame:

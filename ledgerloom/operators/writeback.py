@@ -1,10 +1,12 @@
-"""Results back to source rows and queues. Tables are immutable files: every operator returns the full new
-state, to be written as new partitions."""
+"""Results back to source rows and queues. Tables are immutable files: an operator returns the new state of the rows it
+is given. Which rows change is found by an inner join beforehand (`changed_rows`, `answered_rows`, `sent_rows`), so a
+stored table (`sources.stored`) hands over and rewrites only the partitions that hold such rows."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,27 +26,41 @@ def write_back(source: DataFrame, result: DataFrame, on: Mapping[str, Column], s
     `on` maps result column -> expression over the source, `sets` maps source column -> expression over the
     result. The result is unique on its key (a repeated document stops the run before this point).
     """
-    side = result.select(
-        *[F.col(k).alias(f"_k_{k}") for k in on],
-        *[e.alias(f"_v_{c}") for c, e in sets.items()],
-        F.lit(True).alias("_matched"),
-    )
+    side = _result_side(result, on, sets).withColumn("_matched", F.lit(True))
     # a text key is compared once more in a form whose NULLs are spread
     first, expression = next(iter(on.items()))
     columns = source.columns
-    condition = None
+    condition = _same_key(on)
     if isinstance(result.schema[first].dataType, StringType):
         source = spread_nulls(source.withColumn("_first", expression), "_first", "_spread")
-        condition = F.col("_spread") == F.col(f"_k_{first}")
-    for k, expression in on.items():
-        part = expression == F.col(f"_k_{k}")
-        condition = part if condition is None else condition & part
+        condition = (F.col("_spread") == F.col(f"_k_{first}")) & condition
     joined = source.join(side, condition, "left")
     return joined.withColumns(
         {c: F.when(F.col("_matched"), F.col(f"_v_{c}")).otherwise(F.col(c)) for c in sets}
     ).select(*columns)
 
 
+def _result_side(result: DataFrame, on: Mapping[str, Column], sets: Mapping[str, Column]) -> DataFrame:
+    return result.select(*[F.col(k).alias(f"_k_{k}") for k in on], *[e.alias(f"_v_{c}") for c, e in sets.items()])
+
+
+def _same_key(on: Mapping[str, Column]) -> Column:
+    return reduce(lambda a, b: a & b, [expression == F.col(f"_k_{k}") for k, expression in on.items()])
+
+
+def changed_rows(source: DataFrame, result: DataFrame, on: Mapping[str, Column], sets: Mapping[str, Column]) -> DataFrame:
+    """New state of the source rows that have a result row, and of no others (arguments as for `write_back`). Rows without
+    a key drop out before the join, so nothing of the history is shuffled for them."""
+    keyed = source.where(reduce(lambda a, b: a & b, [expression.isNotNull() for expression in on.values()]))
+    joined = keyed.join(_result_side(result, on, sets), _same_key(on))
+    return joined.withColumns({c: F.col(f"_v_{c}") for c in sets}).select(*source.columns)
+
+
+def touched_partitions(changes: DataFrame, partition: str) -> DataFrame:
+    """Partitions that hold changed rows, and how many."""
+    return changes.groupBy(partition).agg(F.count("*").alias("changed_rows"))
+
+
 def source_message(headers: DataFrame, lookup: DataFrame, partial: bool, into: str = "source_message") -> DataFrame:
     """Message shown at the source document, by eligibility, type, status and (receivables) partly enabled
     entities; an ERROR overrides all. Needs the entity flags when `partial`."""
@@ -92,6 +108,12 @@ def closure_transition(df: DataFrame, outcome: DataFrame) -> DataFrame:
     return state.select(*df.columns)
 
 
+def sent_rows(df: DataFrame, sent: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """Rows that `mark_sent` changes."""
+    ids = sent.select(F.col(key).alias("_id")).distinct()
+    return df.where(F.coalesce(F.col("mail_sent") != "Y", F.lit(True))).join(ids, F.col(key) == F.col("_id"), "left_semi")
+
+
 def mark_sent(df: DataFrame, sent: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Reported rows are not reported again."""
     ids = sent.select(F.col(key).alias("_id")).distinct().withColumn("_sent", F.lit(True))
@@ -131,6 +153,13 @@ def merge_outcome(
     return joined.withColumns(changed).select(*queue.columns)
 
 
+def answered_rows(queue: DataFrame, outcome: DataFrame, keys: Sequence[str], waiting: Column) -> DataFrame:
+    """Waiting rows that have an answer: those that `merge_outcome` changes."""
+    side = outcome.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    return queue.where(waiting).join(side, on, "left_semi")
+
+
 def reset_failed(queue: DataFrame, request_id: int) -> DataFrame:
     """Failed rows go back to the start under the new request."""
     failed = F.col("process_flag") == "E"

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -44,16 +49,39 @@ def shared_folder(spark: SparkSession) -> str:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="run-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+_OWNED: ContextVar[str | None] = ContextVar("scratch folder of the run", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, folder: str | None = None) -> Iterator[str]:
+    """All intermediate tables written inside go to one new folder, below `folder` or the shared one, and go with it at the
+    end, also after a failure. Results have to be written elsewhere before the end; scratches may be nested."""
+    path = f"{(folder or shared_folder(spark)).rstrip('/')}/{uuid.uuid4().hex}"
+    token = _OWNED.set(path)
+    try:
+        yield path
+    finally:
+        _OWNED.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def fresh_path(spark: SparkSession) -> str:
+    """A path in the scratch folder of the run, else in the shared folder, that nothing uses yet."""
+    return f"{_OWNED.get() or shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows once as a columnar table in the shared folder and go on from there.
 
     Survives lost executors, stops recomputation by several consumers, and gives the optimizer real sizes and
     column pruning, which an RDD checkpoint does not. Runs a job.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
