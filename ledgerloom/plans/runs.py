@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.moments import iso_day
@@ -18,6 +18,7 @@ from ledgerloom.operators import (
 from ledgerloom.operators.lookups import attach_attributes
 from ledgerloom.session import RunContext, cut_lineage
 from ledgerloom.sources.sinks import write_delimited
+from ledgerloom.sources.stored import StoredTable
 
 
 # facts only the rules and messages read; not part of the header table
@@ -35,9 +36,13 @@ class ExtractRun:
     payments: DataFrame
     history: DataFrame | None
     summary: DataFrame
-    source: DataFrame  # source documents with the outcome written back
+    source: DataFrame  # all source documents with the outcome written back
+    source_changes: DataFrame  # new state of those that the run changed
     quarantine: DataFrame  # staging rows of the documents that were left out
     violations: dict[str, DataFrame] = field(default_factory=dict)
+    counts: dict[str, int] = field(default_factory=dict)  # rows of each of the violations, as the run counted them
+    superseded: DataFrame | None = None  # new state of the earlier headers that the run extracted again
+    superseding_keys: dict[str, object] = field(default_factory=dict)
 
 
 def stage_transfers(t: Mapping[str, DataFrame], run: RunContext, days: int, floor: datetime, mail: str) -> DataFrame:
@@ -73,16 +78,34 @@ def open_transfers(transfers: DataFrame, run: RunContext, days: int, floor: date
 Report = Callable[[DataFrame], object]
 
 
-def _handle(found: dict[str, DataFrame], on_violation: str, headers_so_far: DataFrame, on_failure: Report | None) -> None:
+def _handle(counts: Mapping[str, int], on_violation: str, headers_so_far: DataFrame, on_failure: Report | None) -> None:
     """Stop at the first check that found anything; the report on the headers goes out before."""
-    if on_violation == "raise":
-        for name, rows in found.items():
-            try:
-                reconcile.require_empty(rows, name)
-            except reconcile.ReconciliationError:
-                if on_failure is not None:
-                    on_failure(headers_so_far)
-                raise
+    failed = [name for name, rows in counts.items() if rows]
+    if failed and on_violation == "raise":
+        if on_failure is not None:
+            on_failure(headers_so_far)
+        raise reconcile.ReconciliationError(failed[0])
+
+
+def _checked_facts(facts: DataFrame, lines_: DataFrame, taxes: DataFrame, transfers: DataFrame) -> tuple[DataFrame, dict[str, int], int]:
+    """(facts written once, findings of the line and tax checks, lines of all documents). The findings are observed while
+    the facts are written, so no check needs a job of its own. They are added up over tasks: a repeated task may add to a
+    finding, but cannot make one where there is none."""
+    own = facts.join(reconcile.document_checks(lines_, taxes), "transaction_id", "left")
+    # only the rows of the run's own documents are counted
+    rows = transfers.join(facts.select("document_num", "batch_id"), ["document_num", "batch_id"], "left_semi")
+    own = own.join(rows.groupBy("document_num", "batch_id").agg(F.count("*").alias("source_rows")), ["document_num", "batch_id"], "left")
+    seen = Observation()
+    totals = {
+        "duplicate items": F.sum("repeated_items"),
+        "duplicate taxes": F.sum("repeated_taxes"),
+        "line and tax amounts": F.sum("unequal_taxes"),
+        "source and line counts": F.count_if(F.col("source_rows") != F.col("line_count")),
+        "lines": F.sum("line_count"),
+    }
+    written = cut_lineage(own.observe(seen, *[F.coalesce(total, F.lit(0)).cast("long").alias(name) for name, total in totals.items()]))
+    found = dict(seen.get)
+    return written.select(*facts.columns), {name: found[name] for name in totals if name != "lines"}, found["lines"]
 
 
 def run_extract(
@@ -106,6 +129,10 @@ def run_extract(
     checks. The outcome is written back to the source documents (`source`), so that a rerun finds them done.
     A failed check calls `on_failure` with the headers so far, once, before it stops the run. Source rows of a
     transfer run without a header do not stop it: they are listed and the summary returns a failure.
+
+    Checks cost one job before the headers get their ids, none for lines and taxes (their findings are observed while the
+    facts are written) and one at the end. `store_run` keeps the outcome; inside `session.scratch` the intermediate tables
+    go when the run is over.
     """
     receivable = mode == "receivable"
     stage = cut_lineage(
@@ -115,15 +142,19 @@ def run_extract(
     found = {"duplicate document numbers": reconcile.duplicates(built, ["document_num"])}
     if history is not None:
         found["documents already processed"] = reconcile.already_processed(built, history).select("document_num")
-    _handle(found, on_violation, built, on_failure)
-    quarantine = lines.quarantined(stage, *found.values())
-    for rows in found.values():
+    counts = reconcile.violation_counts(found)
+    _handle(counts, on_violation, built, on_failure)
+    left_out = [rows for name, rows in found.items() if counts[name]]
+    quarantine = lines.quarantined(stage, *left_out) if left_out else stage.where("false")
+    for rows in left_out:
         built = built.join(rows.select("document_num"), "document_num", "left_anti")
     keyed = headers.assign_ids(built, first_id, ["document_num"])  # already written by the numbering
+    superseded, keys = None, {}
     if history is not None:
         keys = {"document_num": None, "batch_id": 1}
         if "document_id" in keyed.columns and "document_id" in history.columns:
             keys["document_id"] = 1
+        superseded = headers.superseded_rows(history, keyed, keys)
         history = headers.supersede(history, keyed, keys)
 
     line_table = cut_lineage(lines.build_lines(stage, keyed))
@@ -133,23 +164,23 @@ def run_extract(
     enriched = headers.enrich_headers(keyed, t["locations"], t["lookup"], mode)
     facts = validate.document_facts(enriched, line_table, tax_table)
     if not receivable:
+        transfers = t["transfers"].select(F.col("tax_invoice_no").alias("document_num"), "batch_id")
+        facts, findings, line_rows = _checked_facts(facts, line_table, tax_table, transfers)
+        documents = keyed.select("transaction_id", "document_num", "batch_id")
         checks = {
             "duplicate items": reconcile.duplicates(line_table, ["transaction_id", "item_code"]),
-            "header and line amounts": reconcile.amount_mismatch(
-                facts.select("transaction_id", "gross_amount"), line_table, ["transaction_id"], "gross_amount", "gross_amount"
-            ),
             "duplicate taxes": reconcile.duplicates(tax_table, ["transaction_id", "line_number", "tax_name"]),
             "line and tax amounts": reconcile.amount_mismatch(
                 line_table, tax_table, ["transaction_id", "line_number"], "tax_amount", "taxable_amount"
             ),
             "source and line counts": reconcile.count_mismatch(
-                t["transfers"].select(F.col("tax_invoice_no").alias("document_num"), "batch_id"),
-                line_table.join(keyed.select("transaction_id", "document_num", "batch_id"), "transaction_id"),
+                transfers.join(documents, ["document_num", "batch_id"], "left_semi"), line_table.join(documents, "transaction_id"),
                 ["document_num", "batch_id"],
             ),
         }
-        _handle(checks, on_violation, enriched, on_failure)
+        _handle(findings, on_violation, enriched, on_failure)
         found |= checks
+        counts |= findings
     result = categorize.categorize(facts, t["lookup"], t["eligible"], run.run_ts)
     if receivable:
         source = t["invoices"].select("document_num", iso_day(F.col("document_date")).alias("document_date"))
@@ -160,20 +191,44 @@ def run_extract(
     result = cut_lineage(staging.with_audit(result, run))
     payments = writeback.payment_payload(result, t["payment_addresses"], t["lookup"], run.run_ts)
     final = writeback.apply_payment(result, payments)
-    back = write_back_invoices(t["invoices"], final, run) if receivable else write_back_transfers(t["transfers"], final, run)
+    source = _with_results(t["invoices"] if receivable else t["transfers"])
+    on, sets = (invoice_keys if receivable else transfer_keys)(), _result_columns(run)
+    back, changes = writeback.write_back(source, final, on, sets), writeback.changed_rows(source, final, on, sets)
     reconciled = True
     if not receivable:
         lost = reconcile.missing_in_target(
             open_transfers(t["transfers"], run, days, floor), final, {True: "del_challan_num", False: "tax_invoice_no"},
             F.col("invoice_process") == headers.CHALLAN,
         )
-        reconciled = lost.isEmpty()
-        marked = back.where((F.col("result_request") == run.request_id) & F.col("result_type").isNotNull())
-        rows = {"written-back rows and lines": reconcile.row_count_check(marked, line_table).where(~F.col("agrees"))}
-        _handle(rows, on_violation, final, on_failure)
-        found |= {"source rows without header": lost} | rows
+        marked = changes.where(F.col("result_type").isNotNull())
+        # the headers as they will be stored, against their lines
+        apart = reconcile.amount_mismatch(
+            result.select("transaction_id", "gross_amount"), line_table, ["transaction_id"], "gross_amount", "gross_amount"
+        )
+        last = reconcile.violation_counts({"header and line amounts": apart, "source rows without header": lost, "marked": marked})
+        reconciled = last["source rows without header"] == 0
+        last["written-back rows and lines"] = int(last.pop("marked") != line_rows)
+        _handle({name: n for name, n in last.items() if name != "source rows without header"}, on_violation, final, on_failure)
+        rows = reconcile.row_count_check(marked, line_table).where(~F.col("agrees"))
+        found |= {"header and line amounts": apart, "source rows without header": lost, "written-back rows and lines": rows}
+        counts |= last
     summary = reconcile.run_summary(final, reconciled=reconciled)
-    return ExtractRun(final, line_table, tax_table, payments, history, summary, back, quarantine, found)
+    return ExtractRun(final, line_table, tax_table, payments, history, summary, back, changes, quarantine, found, counts, superseded, keys)
+
+
+def store_run(done: ExtractRun, mode: str, run: RunContext, header_table: StoredTable, source_table: StoredTable) -> dict[str, list[object]]:
+    """Keep a run in stored tables; returns the rewritten partitions of each. Earlier headers that were extracted again
+    are replaced in their requests' partitions, the run's own headers take the place of what an earlier attempt of the
+    same request left, and of the source documents only the partitions with changed rows are rewritten."""
+    old = [] if done.superseded is None else header_table.rewrite(
+        done.superseded, lambda rows: headers.supersede(rows, done.headers, done.superseding_keys)
+    )
+    kept = header_table.schema.names
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in header_table.schema if f.name not in done.headers.columns}
+    header_table.replace(done.headers.withColumns(absent).select(*kept))
+    on, sets = (invoice_keys if mode == "receivable" else transfer_keys)(), _result_columns(run)
+    changes = writeback.changed_rows(source_table.read(), done.headers, on, sets)
+    return {"headers": old, "source": source_table.rewrite(changes, lambda rows: writeback.write_back(rows, done.headers, on, sets))}
 
 
 RESULT_COLUMNS = {
@@ -186,19 +241,22 @@ def _with_results(source: DataFrame) -> DataFrame:
     return source.withColumns({c: F.lit(None).cast(kind) for c, kind in RESULT_COLUMNS.items() if c not in source.columns})
 
 
+def transfer_keys():
+    """Key of the result -> expression over the source transfers: number and batch."""
+    return {"document_num": F.coalesce("tax_invoice_no", "del_challan_num"), "batch_id": F.col("batch_id")}
+
+
+def invoice_keys():
+    return {"document_num": F.col("document_num"), "document_id": F.col("document_id")}
+
+
 def write_back_transfers(transfers: DataFrame, result: DataFrame, run: RunContext) -> DataFrame:
-    """Source transfers with type, message, eligibility and id of their document (key: number and batch)."""
-    return writeback.write_back(
-        _with_results(transfers), result,
-        {"document_num": F.coalesce("tax_invoice_no", "del_challan_num"), "batch_id": F.col("batch_id")},
-        _result_columns(run),
-    )
+    """Source transfers with type, message, eligibility and id of their document."""
+    return writeback.write_back(_with_results(transfers), result, transfer_keys(), _result_columns(run))
 
 
 def write_back_invoices(invoices: DataFrame, result: DataFrame, run: RunContext) -> DataFrame:
-    return writeback.write_back(
-        _with_results(invoices), result, {"document_num": F.col("document_num"), "document_id": F.col("document_id")}, _result_columns(run)
-    )
+    return writeback.write_back(_with_results(invoices), result, invoice_keys(), _result_columns(run))
 
 
 def _result_columns(run: RunContext):

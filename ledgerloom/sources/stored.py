@@ -37,6 +37,10 @@ class StoredTable:
     def append(self, df: DataFrame) -> None:
         self._write(df, "append")
 
+    def replace(self, df: DataFrame) -> None:
+        """Put the rows in place of exactly the partitions that they belong to."""
+        self._write(df, "overwrite")
+
     def rewrite(self, hits: DataFrame, update: Callable[[DataFrame], DataFrame]) -> list[object]:
         """Apply `update` to the partitions that `hits` names (a frame with the partition column; its other columns are not
         read) and put the result in their place; all other folders stay as they are. `update` must not move rows to another
