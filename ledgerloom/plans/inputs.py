@@ -524,6 +524,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        self._stored: set[str] = set()
 
     def once(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A table written once and shared by everything built from these inputs."""
@@ -531,6 +532,14 @@ class Inputs:
             self._frames[key] = cut_lineage(build())
         return self._frames[key]
 
+    def stored(self, *names: str) -> None:
+        """Write these views once, in this order; what is built from them afterwards reads the written tables, as a job
+        reads its source tables."""
+        for name in names:
+            if name not in self._stored:
+                self._frames[name] = cut_lineage(self[name])
+                self._stored.add(name)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in VIEWS:
