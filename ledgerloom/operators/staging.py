@@ -289,15 +289,15 @@ def _tax_rows(t: Mapping[str, DataFrame], entity: str, wanted: DataFrame) -> Dat
     """Every tax row of a line with its type, beside every determination row of the same line, for the lines
     in `wanted` (trx_id, trx_line_id).
 
-    Both sides hang on the line key only (the source joins them to the line, not to each other).
+    Both sides hang on the line key only (the source joins them to the line, not to each other). Both histories
+    are read once: their rows of the wanted lines are few and written, for themselves and for totals and earlier invoices.
     """
     keys = ["trx_id", "trx_line_id"]
-    wanted = cut_lineage(wanted.distinct())
-    taxes = t["tax_lines"].where(F.col("entity_code") == entity).join(wanted, keys, "left_semi")
+    taxes = cut_lineage(t["tax_lines"].where(F.col("entity_code") == entity).join(wanted, keys, "left_semi"))
     rows = taxes.join(t["tax_types"].select("tax_type_id", "tax_name"), "tax_type_id").join(
         line_tax_total(taxes, keys), keys
     )
-    factors = t["tax_factors"].where(F.col("entity_code") == entity).join(wanted, keys, "left_semi")
+    factors = cut_lineage(t["tax_factors"].where(F.col("entity_code") == entity).join(wanted, keys, "left_semi"))
     referenced = factors.select(F.col("original_invoice_num").alias("document_num")).where("document_num IS NOT NULL").distinct()
     prior = t["all_invoices"].join(referenced, "document_num", "left_semi").groupBy("document_num").agg(F.min("document_id").alias("preceding_doc_id"))
     factors = spread_nulls(factors, "original_invoice_num", "_original").join(
