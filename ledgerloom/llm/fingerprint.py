@@ -6,7 +6,8 @@ one for the ratios of the quartiles precede them. Two digests differ by a bounde
 bucket codes (a step over all four levels counts double), steps of the length code, steps of the two ratio codes.
 
 NULL text counts as empty. A text of under five bytes has no windows; its digest is made of its single bytes, so that
-short texts tell apart, and the empty text has the digest of all zeros. Equal texts have equal digests.
+short texts tell apart, and the empty text has the digest of all zeros. Equal texts have equal digests. Empty tables give
+no rows.
 """
 
 from __future__ import annotations

@@ -7,6 +7,7 @@ in descending length to the sequence of lowest estimated cost (tokens, plus thei
 piece) that has room for them. What fits nowhere is cut over the roomiest sequences.
 
 NULL text counts as empty: its document is the closing id alone. Repeated rows are packed each; NULL ids stay NULL.
+Empty tables give no rows.
 Sequence ids carry the task's partition, so the result repeats as long as the input is cut into the same partitions.
 """
 

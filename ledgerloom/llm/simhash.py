@@ -280,7 +280,7 @@ def near_duplicates(
     """Columns key, w0.., component: the smallest key reachable over links of at most `radius` differing bits.
 
     The width of the fingerprints follows from the masks (default: pigeonhole masks over one word, which miss no link).
-    NULL and blank texts have the fingerprint zero and are linked like any other. Rows with a NULL key are left out;
+    NULL and blank texts have the fingerprint zero and are linked like any other. Empty tables give no rows. Rows with a NULL key are left out;
     repeated keys each get their row.
     """
     masks = masks or pigeonhole_masks(radius)
