@@ -9,8 +9,11 @@ How far a query looks is measured, not assumed: for a bounded sample of probe qu
 against all rows, and the reach is the least number of blocks that finds the wanted share of them. Vectors with close
 neighbours need one or two blocks; vectors spread evenly in many dimensions (no order can help there) need many.
 
-Null vectors, zero vectors, vectors with null or non-finite components or of another length than the first one's take
-no part, as row or as query. Repeated ids: each row counts; a query does not find rows of its own id.
+Null vectors, zero vectors and vectors with null or non-finite components take no part, as row or as query. Inner products
+need one length: the most frequent one takes part (of equally frequent ones the smallest). Rows without an id take no part.
+Repeated rows and ids: each row counts, as a candidate and as a query of its own, so an id can stand at several ranks and
+repeated queries return their neighbours once each; no query finds rows of its own id. Equal scores go by id. Empty tables,
+of rows or of queries, give no rows. Columns beside key and vector are not read, whatever they are called.
 """
 
 from __future__ import annotations
@@ -75,7 +78,8 @@ def projections(length: int, curves: int, directions: int) -> tuple[np.ndarray,
 def curve_keys(vectors: np.ndarray, length: int, curves: int, directions: int, bits: int) -> np.ndarray:
     """Keys of unit-scaled vectors in every order, one column each; signed, in the same order."""
     axes, shifts = projections(length, curves, directions)
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     spread = 2.5 / math.sqrt(length)
     found = []
     for axis, shift in zip(axes, shifts):
@@ -90,8 +94,9 @@ def element(rows: DataFrame, vector: str) -> str:
 
 
 def usable(rows: DataFrame, key: str, vector: str, kind: str) -> DataFrame:
-    """Columns id, vec (numbers of the type `kind`) of the rows that take part."""
-    typed = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("vec")).where(
+    """Columns row (a number of the row's own), id, vec (numbers of the type `kind`) of the rows that can take part."""
+    own = F.monotonically_increasing_id().alias("row")
+    typed = rows.select(own, F.col(key).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("vec")).where(
         F.col("id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0)
     )
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -103,7 +108,7 @@ def doubles(column: pd.Series) -> np.ndarray:
 
 
 def best(query: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int):
-    """The k nearest rows of each query among `data` (sorted by id): lists of ids and scores.
+    """The k nearest rows of each query among `data` (sorted by id): lists of places in `data` and scores.
 
     A matrix product finds those that can be among the k nearest; they are scored again pair by pair, so that a pair
     has the same score wherever it is met, and ties go to the smaller id."""
@@ -121,7 +126,7 @@ def best(query: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.nda
             at = np.flatnonzero((row >= low) & (row > -np.inf))
             exact = (data[at] * vec).sum(axis=1)
             order = np.argsort(-exact, kind="stable")[:k]
-            found.append((ids[at[order]], exact[order]))
+            found.append((at[order], exact[order]))
     return found
 
 
@@ -133,36 +138,35 @@ def search(
     """Columns query_id, rank, vec_id, score: the k rows of largest inner product found for every query."""
     spark = rows.sparkSession
     kind = "float" if element(rows, vector) == element(queries, vector) == "float" else "double"
-    data, asked = usable(rows, key, vector, kind), usable(queries, key, vector, kind)
-    first = data.select(F.size("vec")).limit(1).collect()
-    empty = "query_id long, rank int, vec_id long, score double"
-    if not first:
-        return spark.createDataFrame([], empty)
-    length = first[0][0]
-    data, asked = data.where(F.size("vec") == length), asked.where(F.size("vec") == length)
-    directions = min(directions, length)
 
     def keyed(batches):
         for frame in batches:
-            vectors = doubles(frame["vec"])
-            frame["keys"] = list(curve_keys(vectors, length, curves, directions, BITS))
-            yield frame
-
-    schema = f"id long, vec array<{kind}>, keys array<long>"
-    placed = written(data.mapInPandas(keyed, schema))
-    count = placed.count()
+            for size, part in frame.groupby(frame["vec"].map(len)):
+                keys = curve_keys(doubles(part["vec"]), size, curves, min(directions, size), BITS)
+                yield part.assign(keys=list(keys), size=size)
+
+    # written, so that the numbers of the rows stay theirs if a task is run again
+    schema = f"row long, id long, vec array<{kind}>, keys array<long>, size long"
+    placed = written(usable(rows, key, vector, kind).mapInPandas(keyed, schema))
+    common = placed.groupBy("size").count().orderBy(F.desc("count"), "size").first()
+    if common is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    length, count = common
+    placed = placed.where(F.col("size") == length).drop("size")
+    asked = written(usable(queries, key, vector, kind)).where(F.size("vec") == length)
+    directions = min(directions, length)
     blocks = max(1, math.ceil(count / block_rows))
     shares = [j / blocks for j in range(1, blocks)]
     if shares:
-        cuts = placed.select(*[F.percentile_approx(F.col("keys")[c], shares, 100_000) for c in range(curves)]).first()
+        cuts = placed.select(*[F.percentile_approx(F.col("keys")[c], shares, max(100_000, 4 * blocks)) for c in range(curves)]).first()
         cuts = [np.array(x, dtype=np.int64) for x in cuts]
     else:
         cuts = [np.array([], dtype=np.int64)] * curves
 
-    def block_of(keys: np.ndarray, ids: np.ndarray, c: int) -> np.ndarray:
-        """Block of each key; keys equal to several cuts are dealt over the blocks between them by their id."""
+    def block_of(keys: np.ndarray, rows: np.ndarray, c: int) -> np.ndarray:
+        """Block of each key; keys equal to several cuts are dealt over the blocks between them by the row's number."""
         low, high = np.searchsorted(cuts[c], keys, "left"), np.searchsorted(cuts[c], keys, "right")
-        return low + (ids * 2654435761 % 1048573) % (high - low + 1)
+        return low + (rows * 2654435761 % 1048573) % (high - low + 1)
 
     reach = measured_reach(placed, asked, length, k, curves, directions, blocks, block_of, wanted)
 
@@ -171,33 +175,46 @@ def search(
             for frame in batches:
                 vectors = np.stack(frame["vec"].to_numpy())
                 keys = curve_keys(vectors.astype(np.float64), length, curves, directions, BITS) if query else np.stack(frame["keys"].to_numpy())
-                ids = frame["id"].to_numpy()
+                ids, own = frame["id"].to_numpy(), frame["row"].to_numpy()
                 for c in range(curves):
-                    home = block_of(keys[:, c], ids, c)
+                    home = block_of(keys[:, c], own, c)
                     # a query lists its steps; a row of a block is met by every bundle of steps
                     steps = [(n - reach, n // steps_together) for n in range(2 * reach + 1)] if query else [(0, b) for b in range(bundles)]
                     for step, bundle in steps:
                         inside = (home + step >= 0) & (home + step < blocks)
+                        if not inside.any():
+                            continue
                         spot = (c * blocks + home + step)[inside] * bundles + bundle
-                        yield pd.DataFrame({"spot": spot, "id": ids[inside], "vec": list(vectors[inside])})
+                        yield pd.DataFrame({"spot": spot, "row": own[inside], "id": ids[inside], "vec": list(vectors[inside])})
 
         return run
 
     bundles = math.ceil((2 * reach + 1) / steps_together)
-    spots = f"spot long, id long, vec array<{kind}>"
+    spots = f"spot long, row long, id long, vec array<{kind}>"
     filed = placed.mapInPandas(deal(False), spots)
     visits = asked.mapInPandas(deal(True), spots)
 
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def meet(spot: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             # a block that no query visits, or the steps past the outermost block
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "hits": pd.Series(dtype=object)})
-        right = right.sort_values("id", kind="stable")
-        found = best(doubles(left["vec"]), left["id"].to_numpy(), doubles(right["vec"]), right["id"].to_numpy(), k)
-        return pd.DataFrame({"query_id": left["id"].to_numpy(), "hits": [[{"less": -s, "vec_id": i} for i, s in zip(*x)] for x in found]})
-
-    hits = visits.groupBy("spot").cogroup(filed.groupBy("spot")).applyInPandas(meet, "query_id long, hits array<struct<less: double, vec_id: long>>")
-    merged = hits.groupBy("query_id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))), 1, k).alias("hits"))
+            return pd.DataFrame({"asker": [], "query_id": [], "part": [], "hits": pd.Series(dtype=object)})
+        right = right.sort_values(["id", "row"])
+        ids, own = right["id"].to_numpy(), right["row"].to_numpy()
+        found = best(doubles(left["vec"]), left["id"].to_numpy(), doubles(right["vec"]), ids, k)
+        hits = [[{"less": -s, "vec_id": i, "row": r} for s, i, r in zip(score, ids[at], own[at])] for at, score in found]
+        part = spot[0] // bundles // blocks * bundles + spot[0] % bundles
+        return pd.DataFrame({"asker": left["row"].to_numpy(), "query_id": left["id"].to_numpy(), "part": part, "hits": hits})
+
+    found = "asker long, query_id long, part long, hits array<struct<less: double, vec_id: long, row: long>>"
+    hits = visits.groupBy("spot").cogroup(filed.groupBy("spot")).applyInPandas(meet, found)
+
+    def nearest(hits: DataFrame, *by: str) -> DataFrame:
+        return hits.groupBy(*by).agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))), 1, k).alias("hits"))
+
+    if bundles > 1:
+        # a bundle's steps first: the lists that meet in one row stay few, however far a query looks
+        hits = nearest(hits, "asker", "query_id", "part")
+    merged = nearest(hits, "asker", "query_id")
     return merged.select("query_id", F.posexplode("hits").alias("pos", "hit")).select(
         "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.less")).alias("score")
     )
@@ -213,7 +230,7 @@ def measured_reach(placed, asked, length, k, curves, directions, blocks, block_o
     probes = asked.orderBy(F.xxhash64("id"), "id").limit(PROBES).toPandas()
     if not len(probes):
         return 0
-    vectors, probe_ids = doubles(probes["vec"]), probes["id"].to_numpy()
+    vectors, probe_ids, probe_rows = doubles(probes["vec"]), probes["id"].to_numpy(), probes["row"].to_numpy()
 
     def scan(batches):
         kept = None
@@ -223,26 +240,24 @@ def measured_reach(placed, asked, length, k, curves, directions, blocks, block_o
                 kept = frame
                 continue
             kept = shrink(frame)
-        if kept is not None:
-            kept = shrink(kept).sort_values("id", kind="stable")
-            ids, keys = kept["id"].to_numpy(), kept["keys"].to_numpy()
-            where = dict(zip(ids.tolist(), keys))
+        if kept is not None and len(kept) and len(kept := shrink(kept)):
+            ids, own, keys = kept["id"].to_numpy(), kept["row"].to_numpy(), kept["keys"].to_numpy()
             for probe, (near, score) in enumerate(best(vectors, probe_ids, doubles(kept["vec"]), ids, k)):
-                yield pd.DataFrame({"probe": probe, "id": near, "less": -score, "keys": [where[i] for i in near.tolist()]})
+                yield pd.DataFrame({"probe": probe, "id": ids[near], "row": own[near], "less": -score, "keys": list(keys[near])})
 
     def shrink(frame):
-        frame = frame.sort_values("id", kind="stable")
+        frame = frame.sort_values(["id", "row"])
         near = best(vectors, probe_ids, doubles(frame["vec"]), frame["id"].to_numpy(), k)
-        return frame[frame["id"].isin(np.unique(np.concatenate([i for i, _ in near])))]
+        return frame.iloc[np.unique(np.concatenate([at for at, _ in near]))]
 
-    found = placed.mapInPandas(scan, "probe int, id long, less double, keys array<long>")
-    nearest = F.slice(F.array_sort(F.collect_list(F.struct("less", "id", "keys"))), 1, k)
+    found = placed.mapInPandas(scan, "probe int, id long, row long, less double, keys array<long>")
+    nearest = F.slice(F.array_sort(F.collect_list(F.struct("less", "id", "row", "keys"))), 1, k)
     truth = found.groupBy("probe").agg(nearest.alias("near")).collect()
     keys = curve_keys(vectors, length, curves, directions, BITS)
     steps = []
     for probe, near in truth:
-        ids, theirs = np.array([n["id"] for n in near]), np.array([n["keys"] for n in near])
-        own = probe_ids[probe : probe + 1]
-        steps += np.min([abs(block_of(theirs[:, c], ids, c) - block_of(keys[probe : probe + 1, c], own, c)) for c in range(curves)], axis=0).tolist()
+        rows, theirs = np.array([n["row"] for n in near]), np.array([n["keys"] for n in near])
+        own = probe_rows[probe : probe + 1]
+        steps += np.min([abs(block_of(theirs[:, c], rows, c) - block_of(keys[probe : probe + 1, c], own, c)) for c in range(curves)], axis=0).tolist()
     steps = np.sort(steps)
     return int(steps[max(0, math.ceil(wanted * len(steps)) - 1)]) if len(steps) else 0

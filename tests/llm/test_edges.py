@@ -188,6 +188,36 @@ def test_nearest_edges(spark):
     assert ann.search(rows.where("false"), rows).count() == 0
 
 
+def ranks(found):
+    """Neighbours of every query in the order of their ranks."""
+    return {q: list(zip(g["rank"], g["vec_id"], g["score"])) for q, g in found.toPandas().sort_values("rank", kind="stable").groupby("query_id")}
+
+
+@pytest.mark.parametrize("block_rows", [4096, 16])
+def test_nearest_counts_copies_of_a_row(spark, block_rows):
+    prepared(spark)
+    vectors = [(1, [1.0, 0.0])] + [(2, [1.0, 0.0])] * 25 + [(k, [1.0 - k / 100, 0.5]) for k in range(3, 18)]
+    rows = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    found = ranks(ann.search(rows, rows.where("vec_id = 1"), k=20, block_rows=block_rows, wanted=1.0))
+    assert found == {1: [(r, 2, 1.0) for r in range(1, 21)]}
+    most = ranks(ann.search(rows, rows.where("vec_id = 1"), k=30, block_rows=block_rows, wanted=1.0))[1]
+    assert [v for _, v, _ in most] == [2] * 25 + [3, 4, 5, 6, 7]
+    # rows of the query's own id are not found; each of its rows is a query
+    twins = ranks(ann.search(rows, rows.where("vec_id = 2"), k=2, block_rows=block_rows, wanted=1.0))[2]
+    assert sorted(twins) == sorted([(1, 1, 1.0), (2, 3, 0.97)] * 25)
+
+
+def test_nearest_takes_the_most_frequent_length(spark):
+    prepared(spark)
+    vectors = [(0, [9.0, 9.0, 9.0])] + [(k, [float(k), 1.0]) for k in range(1, 29)] + [(29, [1.0])]
+    rows = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").coalesce(1).withColumn("size", F.lit("clash")).withColumn("row", F.lit(0))
+    found = ranks(ann.search(rows, rows, k=3))
+    assert set(found) == set(range(1, 29)) and found[1] == [(1, 28, 29.0), (2, 27, 28.0), (3, 26, 27.0)]
+    assert ann.search(rows, rows.where("false")).count() == 0
+    tiny = spark.createDataFrame([(0, [1e-200, 0.0]), (1, [1e200, 0.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    assert ranks(ann.search(tiny, tiny, k=1)) == {0: [(1, 1, 1.0)], 1: [(1, 2, 1e200)], 2: [(1, 1, 1e200)]}
+
+
 def test_nearest_over_many_blocks(spark):
     prepared(spark)
     draw = np.random.default_rng(2)
