@@ -11,7 +11,9 @@ The words of a batch are merged side by side in rounds, one merge per word and r
 through a priority queue on their own. Both give the same pieces. Characters without a piece become their UTF-8 bytes;
 the space mark itself, met in a text, too, so that every text decodes to itself.
 
-NULL and empty texts have no ids and decode to the empty text. Written for models with byte fallback, a leading space
+NULL and empty texts have no ids and decode to the empty text, empty tables give no rows. Of merges of equal rank the
+leftmost comes first. Rows of equal id and text get equal ids. Columns beside key and text are not read and not returned,
+whatever they are called. Written for models with byte fallback, a leading space
 mark and no normalisation.
 """
 
