@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST_RULES = 1_000_000
+#: Bytes of their hosts and paths, which bound the number of nodes, too.
+MOST_BYTES = 32 << 20
 #: Keys of a trie node: rules that end here by their rest after the last slash, children by label, by segment.
 RULES, LABELS, SEGMENTS = 0, 1, 2
 
@@ -28,11 +30,12 @@ def node() -> tuple[dict, dict, dict]:
 
 def build(rules: Iterable[tuple[str, str, str]]) -> tuple:
     """Trie of (verdict, host, path) rules; hosts in lower case, paths empty or from their slash."""
-    root, count = node(), 0
+    root, count, size = node(), 0, 0
     for verdict, host, path in rules:
         count += 1
-        if count > MOST_RULES:
-            raise ValueError(f"over {MOST_RULES} rules are too many to send to every executor")
+        size += len(f"{host}{path}".encode())
+        if count > MOST_RULES or size > MOST_BYTES:
+            raise ValueError(f"over {MOST_RULES} rules or {MOST_BYTES} bytes of them are too many to send to every executor")
         if verdict not in ("allow", "block") or not host or path[:1] not in ("", "/"):
             raise ValueError(f"not a rule: {verdict} {host}{path}")
         at = root

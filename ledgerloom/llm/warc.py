@@ -105,5 +105,4 @@ def records(archive: DataFrame) -> DataFrame:
 
 def export_files(archive: DataFrame, path: str) -> None:
     """WARC files, one per partition. A record ends with a line feed, which the text writer sets."""
-    text = F.decode("record", "utf-8")
     records(archive).select(F.expr("left(decode(record, 'utf-8'), length(decode(record, 'utf-8')) - 1)").alias("value")).write.option("lineSep", "\n").text(path)

@@ -177,6 +177,14 @@ def test_url_rules(spark):
         url_trie.build([("deny", "a", "/")])
 
 
+def test_url_rules_are_bounded_by_bytes(monkeypatch):
+    rules = [("block", f"host{k}.org", "/" + "é" * 10) for k in range(5)]
+    monkeypatch.setattr(url_trie, "MOST_BYTES", sum(len((h + p).encode()) for _, h, p in rules))
+    url_trie.build(rules)
+    with pytest.raises(ValueError):
+        url_trie.build([*rules, ("allow", "a", "")])
+
+
 def test_nearest_edges(spark):
     prepared(spark)
     vectors = [[1.0, 0.0], [1.0, 0.0], [0.0, 0.0], None, [float("nan"), 1.0], [None, 1.0], [0.5, 0.5], [-1.0, 0.0], [2.0, 0.0, 1.0]]
