@@ -4,7 +4,7 @@ A rule is a host and the beginning of a path, to be allowed or blocked. It fits
 url's path starts with the rule's; of all rules that fit, the longest (host and path together) decides, and of equally
 long ones the block. Host labels are walked from the last to the first, then whole path segments; what a rule holds
 after its last slash is kept at the node as a beginning of the next segment. The trie is sent to all executors once;
-its size is bounded by MOST_RULES, and longer lists raise an error.
+its size is bounded by MOST_RULES and MOST_BYTES, and longer lists raise an error.
 
 NULL urls and urls without :// have an empty host and path, which no rule fits.
 """
