@@ -5,9 +5,11 @@ put in order by the Hilbert curve through its grid. An order is cut into blocks
 deals the blocks to tasks. A query looks through the blocks around its own place in every order; the nearest of each
 block are merged over all orders and ranked by their exact score.
 
-How far a query looks is measured, not assumed: for a bounded sample of probe queries the true neighbours are found
-against all rows, and the reach is the least number of blocks that finds the wanted share of them. Vectors with close
-neighbours need one or two blocks; vectors spread evenly in many dimensions (no order can help there) need many.
+How far a query looks, and through how many of the orders, is measured, not assumed: for a bounded sample of probe queries
+the true neighbours are found against all rows. For every number of orders the reach is the least number of blocks that
+finds the wanted share of them, and the number of least cost (pairs compared, vectors moved) is taken. Vectors with close
+neighbours need one or two blocks; vectors spread evenly in many dimensions (no order can help there) need many, and then
+few orders with a long reach find as much as many orders with a short one, for fewer copies of the vectors.
 
 Null vectors, zero vectors and vectors with null or non-finite components take no part, as row or as query. Inner products
 need one length: the most frequent one takes part (of equally frequent ones the smallest). Rows without an id take no part.
@@ -22,14 +24,18 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
 from ledgerloom.llm.common import written
 
-#: Orders, directions of each, bits of a grid coordinate.
-CURVES, DIRECTIONS, BITS = 6, 5, 8
+#: Orders at most and at least, directions of each, bits of a grid coordinate.
+CURVES, LEAST_CURVES, DIRECTIONS, BITS = 6, 2, 5, 8
+#: Pairs that can be compared in the time it takes to move one vector to a task.
+MOVE = 500
 #: Rows in one block of an order.
 BLOCK_ROWS = 4096
 #: Steps from a query's own block that one group covers: a group holds at most that many blocks' queries, at any reach.
@@ -107,6 +113,17 @@ def doubles(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
+def matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
+    """Lists of `size` numbers each as rows of a matrix."""
+    return np.asarray(pc.list_flatten(column)).reshape(-1, size)
+
+
+def lists(values: np.ndarray | pa.Array, counts: np.ndarray) -> pa.ListArray:
+    """Consecutive values as lists of the given lengths."""
+    ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), values if isinstance(values, pa.Array) else pa.array(values))
+
+
 def best(query: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int):
     """The k nearest rows of each query among `data` (sorted by id): lists of places in `data` and scores.
 
@@ -140,14 +157,17 @@ def search(
     kind = "float" if element(rows, vector) == element(queries, vector) == "float" else "double"
 
     def keyed(batches):
-        for frame in batches:
-            for size, part in frame.groupby(frame["vec"].map(len)):
-                keys = curve_keys(doubles(part["vec"]), size, curves, min(directions, size), BITS)
-                yield part.assign(keys=list(keys), size=size)
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column("vec"))
+            for size in pc.unique(sizes).to_pylist():
+                part = batch.filter(pc.equal(sizes, size))
+                keys = curve_keys(matrix(part.column("vec"), size).astype(np.float64), size, curves, min(directions, size), BITS)
+                columns = [*part.columns, lists(keys.ravel(), np.full(len(keys), curves)), pa.array(np.full(len(keys), size, dtype=np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "vec", "keys", "size"])
 
     # written, so that the numbers of the rows stay theirs if a task is run again
     schema = f"row long, id long, vec array<{kind}>, keys array<long>, size long"
-    placed = written(usable(rows, key, vector, kind).mapInPandas(keyed, schema))
+    placed = written(usable(rows, key, vector, kind).mapInArrow(keyed, schema))
     common = placed.groupBy("size").count().orderBy(F.desc("count"), "size").first()
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -168,48 +188,56 @@ def search(
         low, high = np.searchsorted(cuts[c], keys, "left"), np.searchsorted(cuts[c], keys, "right")
         return low + (rows * 2654435761 % 1048573) % (high - low + 1)
 
-    reach = measured_reach(placed, asked, length, k, curves, directions, blocks, block_of, wanted)
+    orders, reach = measured_orders(placed, asked, count, length, k, curves, directions, blocks, block_of, wanted, block_rows)
 
     def deal(query: bool):
         def run(batches):
-            for frame in batches:
-                vectors = np.stack(frame["vec"].to_numpy())
-                keys = curve_keys(vectors.astype(np.float64), length, curves, directions, BITS) if query else np.stack(frame["keys"].to_numpy())
-                ids, own = frame["id"].to_numpy(), frame["row"].to_numpy()
-                for c in range(curves):
+            for batch in batches:
+                vectors = matrix(batch.column("vec"), length)
+                ids, own = batch.column("id").to_numpy(), batch.column("row").to_numpy()
+                keys = curve_keys(vectors.astype(np.float64), length, curves, directions, BITS) if query else matrix(batch.column("keys"), curves)
+                for c in range(orders):
                     home = block_of(keys[:, c], own, c)
                     # a query lists its steps; a row of a block is met by every bundle of steps
                     steps = [(n - reach, n // steps_together) for n in range(2 * reach + 1)] if query else [(0, b) for b in range(bundles)]
                     for step, bundle in steps:
-                        inside = (home + step >= 0) & (home + step < blocks)
-                        if not inside.any():
+                        inside = np.flatnonzero((home + step >= 0) & (home + step < blocks))
+                        if not len(inside):
                             continue
                         spot = (c * blocks + home + step)[inside] * bundles + bundle
-                        yield pd.DataFrame({"spot": spot, "row": own[inside], "id": ids[inside], "vec": list(vectors[inside])})
+                        columns = [pa.array(spot), pa.array(own[inside]), pa.array(ids[inside]), lists(vectors[inside].ravel(), np.full(len(inside), length))]
+                        yield pa.RecordBatch.from_arrays(columns, names=["spot", "row", "id", "vec"])
 
         return run
 
     bundles = math.ceil((2 * reach + 1) / steps_together)
     spots = f"spot long, row long, id long, vec array<{kind}>"
-    filed = placed.mapInPandas(deal(False), spots)
-    visits = asked.mapInPandas(deal(True), spots)
-
-    def meet(spot: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            # a block that no query visits, or the steps past the outermost block
-            return pd.DataFrame({"asker": [], "query_id": [], "part": [], "hits": pd.Series(dtype=object)})
-        right = right.sort_values(["id", "row"])
-        ids, own = right["id"].to_numpy(), right["row"].to_numpy()
-        found = best(doubles(left["vec"]), left["id"].to_numpy(), doubles(right["vec"]), ids, k)
-        hits = [[{"less": -s, "vec_id": i, "row": r} for s, i, r in zip(score, ids[at], own[at])] for at, score in found]
-        part = spot[0] // bundles // blocks * bundles + spot[0] % bundles
-        return pd.DataFrame({"asker": left["row"].to_numpy(), "query_id": left["id"].to_numpy(), "part": part, "hits": hits})
+    filed = placed.mapInArrow(deal(False), spots)
+    visits = asked.mapInArrow(deal(True), spots)
+
+    def meet(spot: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        # a block that no query visits and the steps past the outermost block have no hits
+        asker, query = left.column("row").to_numpy(), left.column("id").to_numpy()
+        ids, own = right.column("id").to_numpy(), right.column("row").to_numpy()
+        order = np.lexsort((own, ids))
+        ids, own = ids[order], own[order]
+        pairs = len(asker) and len(ids)
+        met = best(matrix(left.column("vec"), length).astype(np.float64), query, matrix(right.column("vec"), length).astype(np.float64)[order], ids, k) if pairs else []
+        at = np.concatenate([a for a, _ in met]) if met else np.empty(0, dtype=np.int64)
+        score = np.concatenate([s for _, s in met]) if met else np.empty(0)
+        hits = pa.StructArray.from_arrays([pa.array(-score), pa.array(ids[at]), pa.array(own[at])], names=["less", "vec_id", "row"])
+        place = spot[0].as_py()
+        part = np.full(len(met), place // bundles // blocks * bundles + place % bundles, dtype=np.int64)
+        columns = [pa.array(asker[: len(met)]), pa.array(query[: len(met)]), pa.array(part), lists(hits, np.array([len(a) for a, _ in met], dtype=np.int64))]
+        return pa.Table.from_arrays(columns, names=["asker", "query_id", "part", "hits"])
 
     found = "asker long, query_id long, part long, hits array<struct<less: double, vec_id: long, row: long>>"
-    hits = visits.groupBy("spot").cogroup(filed.groupBy("spot")).applyInPandas(meet, found)
+    hits = visits.groupBy("spot").cogroup(filed.groupBy("spot")).applyInArrow(meet, found)
 
     def nearest(hits: DataFrame, *by: str) -> DataFrame:
-        return hits.groupBy(*by).agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))), 1, k).alias("hits"))
+        # a row is met once in every order, so the k nearest different ones stand among the first k * orders
+        first = F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k * orders)
+        return hits.groupBy(*by).agg(F.slice(F.array_distinct(first), 1, k).alias("hits"))
 
     if bundles > 1:
         # a bundle's steps first: the lists that meet in one row stay few, however far a query looks
@@ -220,16 +248,20 @@ def search(
     )
 
 
-def measured_reach(placed, asked, length, k, curves, directions, blocks, block_of, wanted) -> int:
-    """Blocks to each side of a query's own that find the wanted share of the probes' true neighbours.
+def measured_orders(
+    placed, asked, count, length, k, curves, directions, blocks, block_of, wanted, block_rows
+) -> tuple[int, int]:
+    """How many of the orders are searched, and the blocks to each side of a query's own that find the wanted share of the
+    probes' true neighbours in them.
 
     Probes: the PROBES queries of smallest hash. Their true neighbours come from one pass over all rows; each task
     returns its k best per probe, and the best of all come with their keys."""
     if blocks == 1:
-        return 0
+        # one block holds all rows, in every order
+        return 1, 0
     probes = asked.orderBy(F.xxhash64("id"), "id").limit(PROBES).toPandas()
     if not len(probes):
-        return 0
+        return 1, 0
     vectors, probe_ids, probe_rows = doubles(probes["vec"]), probes["id"].to_numpy(), probes["row"].to_numpy()
 
     def scan(batches):
@@ -258,6 +290,15 @@ def measured_reach(placed, asked, length, k, curves, directions, blocks, block_o
     for probe, near in truth:
         rows, theirs = np.array([n["row"] for n in near]), np.array([n["keys"] for n in near])
         own = probe_rows[probe : probe + 1]
-        steps += np.min([abs(block_of(theirs[:, c], rows, c) - block_of(keys[probe : probe + 1, c], own, c)) for c in range(curves)], axis=0).tolist()
-    steps = np.sort(steps)
-    return int(steps[max(0, math.ceil(wanted * len(steps)) - 1)]) if len(steps) else 0
+        steps.append(np.stack([abs(block_of(theirs[:, c], rows, c) - block_of(keys[probe : probe + 1, c], own, c)) for c in range(curves)]))
+    if not steps:
+        return 1, 0
+    steps = np.concatenate(steps, axis=1)
+    queries, plans = asked.count(), []
+    for orders in range(min(LEAST_CURVES, curves), curves + 1):
+        away = np.sort(steps[:orders].min(axis=0))
+        reach = int(away[max(0, math.ceil(wanted * len(away)) - 1)])
+        visited = ((2 * reach + 1) * blocks - reach * (reach + 1)) / blocks
+        # how steps are bundled is left out, so that it does not change what is found
+        plans.append((orders * (queries * visited * block_rows + MOVE * (count + queries * visited)), orders, reach))
+    return min(plans)[1:]

@@ -248,6 +248,29 @@ def test_nearest_over_many_blocks(spark):
     assert one["rank"].tolist() == list(range(1, 11)) and set(one["query_id"]) == {40}
 
 
+@pytest.mark.parametrize("spread_out", [True, False])
+def test_nearest_takes_the_orders_of_least_cost(spark, monkeypatch, spread_out):
+    """Evenly spread vectors: few orders and a long reach. Tight groups: a short reach. Either way the wanted share is found."""
+    prepared(spark)
+    draw = np.random.default_rng(5)
+    data = draw.standard_normal((2400, 24))
+    if not spread_out:
+        data = np.repeat(data[:100], 24, axis=0) + 0.01 * data
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(data)], "vec_id long, embedding array<double>")
+    plans, measured = [], ann.measured_orders
+    monkeypatch.setattr(ann, "measured_orders", lambda *given: plans.append(measured(*given)) or plans[-1])
+    found = ann.search(rows, rows.where("vec_id % 20 = 0"), k=10, block_rows=100).toPandas()
+    (orders, reach), = plans
+    assert ann.LEAST_CURVES <= orders <= ann.CURVES and (reach > 6 if spread_out else reach <= 2)
+    truth = 0
+    for query, group in found.groupby("query_id"):
+        assert group["vec_id"].is_unique and len(group) == 10
+        score = data @ data[query]
+        score[query] = -np.inf
+        truth += (group["score"] >= np.sort(score)[-10] - 1e-9).sum()
+    assert truth >= 0.9 * len(found)
+
+
 def test_hilbert_curve_visits_neighbours():
     cells = np.array(list(itertools.product(range(8), repeat=3)))
     keys = ann.hilbert_keys(cells, 3)
