@@ -265,24 +265,30 @@ def measured_orders(
     vectors, probe_ids, probe_rows = doubles(probes["vec"]), probes["id"].to_numpy(), probes["row"].to_numpy()
 
     def scan(batches):
-        kept = None
-        for frame in batches:
-            frame = frame if kept is None else pd.concat([kept, frame], ignore_index=True)
-            if len(frame) < 4096:
-                kept = frame
-                continue
-            kept = shrink(frame)
-        if kept is not None and len(kept) and len(kept := shrink(kept)):
-            ids, own, keys = kept["id"].to_numpy(), kept["row"].to_numpy(), kept["keys"].to_numpy()
-            for probe, (near, score) in enumerate(best(vectors, probe_ids, doubles(kept["vec"]), ids, k)):
-                yield pd.DataFrame({"probe": probe, "id": ids[near], "row": own[near], "less": -score, "keys": list(keys[near])})
-
-    def shrink(frame):
-        frame = frame.sort_values(["id", "row"])
-        near = best(vectors, probe_ids, doubles(frame["vec"]), frame["id"].to_numpy(), k)
-        return frame.iloc[np.unique(np.concatenate([at for at, _ in near]))]
-
-    found = placed.mapInPandas(scan, "probe int, id long, row long, less double, keys array<long>")
+        waiting, held = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            held += len(batch)
+            # what is left of them is at most half as many
+            if held >= 2 * PROBES * k:
+                waiting = shrink(waiting)[0].to_batches()
+                held = sum(map(len, waiting))
+        if held:
+            rows, near = shrink(waiting)
+            for probe, (at, score) in enumerate(near):
+                mine = rows.take(pa.array(at))
+                columns = [pa.array(np.full(len(at), probe, dtype=np.int32)), mine["id"], mine["row"], pa.array(-score), mine["keys"]]
+                yield from pa.Table.from_arrays(columns, names=["probe", "id", "row", "less", "keys"]).to_batches()
+
+    def shrink(batches):
+        """The rows that are near to a probe, ordered by id, and each probe's places and scores among them."""
+        rows = pa.Table.from_batches(batches)
+        rows = rows.take(pa.array(np.lexsort((rows["row"].to_numpy(), rows["id"].to_numpy()))))
+        near = best(vectors, probe_ids, matrix(rows["vec"], length).astype(np.float64), rows["id"].to_numpy(), k)
+        kept = np.unique(np.concatenate([at for at, _ in near]))
+        return rows.take(pa.array(kept)), [(np.searchsorted(kept, at), score) for at, score in near]
+
+    found = placed.mapInArrow(scan, "probe int, id long, row long, less double, keys array<long>")
     nearest = F.slice(F.array_sort(F.collect_list(F.struct("less", "id", "row", "keys"))), 1, k)
     truth = found.groupBy("probe").agg(nearest.alias("near")).collect()
     keys = curve_keys(vectors, length, curves, directions, BITS)
