@@ -37,7 +37,9 @@ LONG = 96
 MEMORY = 600_000
 SPACE = "▁"
 WORDS = re.compile(" +[^ ]*")
-NONE = np.int64(1) << 60
+NONE = np.int32(1 << 30)
+#: Words are merged side by side with others that are up to as long.
+WIDTHS = np.array([2, 4, 6, 8, 12, 16, 24, 48, LONG])
 #: Characters of words that are merged side by side at once, and candidate merges that are hashed at once.
 TOGETHER = 1 << 18
 
@@ -75,8 +77,9 @@ class Model:
                 self.of_char[ord(text)] = i
         self.of_char[ord(SPACE)] = self.other
         self.of_char[ord(" ")] = number[SPACE]
-        self.rank = np.full(size, NONE, dtype=np.int64)
+        self.rank = np.full(size, NONE, dtype=np.int32)
         self.rank[order] = np.arange(len(order))
+        self.of_rank = np.array(order, dtype=np.int64)
         joins = {}
         for text, i in symbol.items():
             for cut in range(1, len(text)):
@@ -158,58 +161,82 @@ def queued(m: Model, symbols: np.ndarray, key: int, limit: int) -> tuple[list[in
 def side_by_side(m: Model, symbols: np.ndarray, counts: np.ndarray, key: np.ndarray, limit: int, seen: list | None = None):
     """Merges of many words in rounds. Returns word, start and symbol of all that is left, ordered by word and start.
     `seen` gets word and bounds of every candidate merge that was not skipped."""
-    word = np.repeat(np.arange(len(counts)), counts)
-    first = np.cumsum(counts) - counts
-    start = np.arange(len(symbols)) - first[word]
-    end, sym, limit = start + 1, symbols.astype(np.int64), np.uint64(limit)
-    done = []
-
-    def ranks(at):
-        nxt = np.minimum(at + 1, len(sym) - 1)
-        inside = (at + 1 < len(sym)) & (word[nxt] == word[at])
-        out = np.full(len(at), NONE, dtype=np.int64)
-        i, j = at[inside], nxt[inside]
-        out[inside] = found = m.candidates(sym[i], sym[j], start[i], start[j], end[j], key[word[i]], limit)
+    first, kind = np.cumsum(counts) - counts, np.searchsorted(WIDTHS, counts)
+    groups, amount = [], np.zeros(len(counts), dtype=np.int64)
+    for width in np.unique(kind).tolist():
+        which, met = np.flatnonzero(kind == width), None if seen is None else []
+        chars = symbols[spread(first[which], counts[which])]
+        row, start, sym = rounds(m, chars, counts[which], int(WIDTHS[width]), key[which], np.uint64(limit), met)
+        groups.append((which, start, sym))
+        amount[which] = np.bincount(row, minlength=len(which))
         if seen is not None:
-            i, j = i[found < NONE], j[found < NONE]
-            seen.append((word[i], bounds_key(start[i], start[j], end[j])))
-        return out
-
-    rank = ranks(np.arange(len(sym))) if len(sym) else np.empty(0, dtype=np.int64)
-    while len(sym):
-        heads = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-        sizes = np.diff(np.concatenate((heads, [len(sym)])))
-        # least rank, then leftmost
-        least = np.minimum.reduceat(np.where(rank < NONE, rank * len(sym) + np.arange(len(sym)), NONE), heads)
-        ready = least >= NONE
-        if ready.any():
-            out = np.repeat(ready, sizes)
-            done.append((word[out], start[out], sym[out]))
-            keep = ~out
-        else:
-            keep = np.ones(len(sym), dtype=bool)
-        at = least[~ready] % len(sym)
-        if not len(at):
-            break
-        sym[at] = m.join(sym[at], sym[at + 1])
-        end[at] = end[at + 1]
-        keep[at + 1] = False
-        place = np.cumsum(keep) - 1
-        word, start, end, sym, rank = word[keep], start[keep], end[keep], sym[keep], rank[keep]
-        at = place[at]
-        touched = np.concatenate((at, at[at > 0] - 1))
-        rank[touched] = ranks(touched)
-    if not done:
-        return (np.empty(0, dtype=np.int64),) * 3
-    word, start, sym = (np.concatenate(c) for c in zip(*done))
-    order = np.lexsort((start, word))
-    return word[order], start[order], sym[order]
+            seen += [(which[w], bounds) for w, bounds in met]
+    starts, syms = np.empty((2, amount.sum()), dtype=np.int64)
+    first = np.cumsum(amount) - amount
+    for which, start, sym in groups:
+        at = spread(first[which], amount[which])
+        starts[at], syms[at] = start, sym
+    return np.repeat(np.arange(len(counts)), amount), starts, syms
+
+
+def rounds(m: Model, symbols: np.ndarray, counts: np.ndarray, width: int, key: np.ndarray, limit: np.uint64, seen: list | None):
+    """Merges of words of up to `width` characters, one row of a table each; in every round each word merges its best pair.
+    What is left, as word, start and symbol. Symbols know their neighbours by place, so nothing moves when two are joined."""
+    n = len(counts)
+    column = np.arange(width)
+    place = np.arange(n * width)
+    inside = (column < counts[:, None]).ravel()
+    sym = np.full(n * width, -1, dtype=np.int64)
+    sym[inside] = symbols
+    end = np.tile(column + 1, n)
+    after = np.where((column + 1 < counts[:, None]).ravel(), place + 1, -1)
+    before = np.where(np.tile(column > 0, n), place - 1, -1)
+    rank = np.full(n * width, NONE, dtype=np.int32)
+    table = rank.reshape(n, width)
+
+    def offer(at):
+        nxt, word = after[at], at // width
+        head = word * width
+        start, middle = at - head, nxt - head
+        rank[at] = found = m.candidates(sym[at], sym[nxt], start, middle, end[nxt], key[word], limit)
+        if seen is not None:
+            real = found < NONE
+            seen.append((word[real], bounds_key(start[real], middle[real], end[nxt[real]])))
+
+    offer(np.flatnonzero(after >= 0))
+    active = np.arange(n)
+    while len(active):
+        part = table if len(active) == n else table[active]
+        # the least rank, of equal ones the leftmost
+        at = part.argmin(axis=1) + active * width
+        live = rank[at] < NONE
+        active, at = active[live], at[live]
+        nxt = after[at]
+        sym[at], sym[nxt] = m.of_rank[rank[at]], -1
+        rank[nxt], end[at] = NONE, end[nxt]
+        after[at] = beyond = after[nxt]
+        more = beyond >= 0
+        before[beyond[more]] = at[more]
+        rank[at[~more]] = NONE
+        left = before[at]
+        offer(np.concatenate((at[more], left[left >= 0])))
+    kept = np.flatnonzero(sym >= 0)
+    return kept // width, kept % width, sym[kept]
+
+
+def characters(words: list[str]) -> np.ndarray:
+    """Code points of all words, joined."""
+    return np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
 
 
 def segment(m: Model, words: list[str], key: np.ndarray, limit: int, seen: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words, joined, and how many each has. `seen` gets the candidate merges of words of up to LONG characters."""
-    counts = np.array([len(w) for w in words], dtype=np.int64)
-    chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    """Ids of all words, joined, and how many each has."""
+    return segmented(m, characters(words), np.array([len(w) for w in words], dtype=np.int64), key, limit, seen)
+
+
+def segmented(m: Model, chars: np.ndarray, counts: np.ndarray, key: np.ndarray, limit: int, seen: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words (their code points, joined, and lengths), joined, and how many each has. `seen` gets the candidate
+    merges of words of up to LONG characters."""
     first = np.cumsum(counts) - counts
     long = counts > LONG
     symbols = m.of_char[chars].astype(np.int64)
@@ -218,22 +245,26 @@ def segment(m: Model, words: list[str], key: np.ndarray, limit: int, seen: list
     word = np.flatnonzero(~long)[word]
     if seen is not None:
         seen[:] = [(np.flatnonzero(~long)[w], bounds) for w, bounds in seen]
-    for w in np.flatnonzero(long).tolist():
-        s, at = queued(m, symbols[first[w] : first[w] + counts[w]], int(key[w]), limit)
-        word, start, sym = (np.concatenate(p) for p in ((word, np.full(len(s), w)), (start, at), (sym, s)))
-    order = np.lexsort((start, word)) if long.any() else slice(None)
-    word, start, sym = word[order], start[order].astype(np.int64), sym[order].astype(np.int64)
+    if long.any():
+        parts = [(word, start, sym)]
+        for w in np.flatnonzero(long).tolist():
+            s, at = queued(m, symbols[first[w] : first[w] + counts[w]], int(key[w]), limit)
+            parts.append((np.full(len(s), w), np.array(at, dtype=np.int64), np.array(s, dtype=np.int64)))
+        word, start, sym = (np.concatenate(p) for p in zip(*parts))
+        order = np.lexsort((start, word))
+        word, start, sym = word[order], start[order], sym[order]
     # letters without a piece: one id per byte of their UTF-8 form
     plain = sym < m.size
+    if plain.all():
+        return sym, np.bincount(word, minlength=len(counts))
     char = chars[first[word] + start]
     width = np.where(plain, 1, 1 + (char >= 0x80) + (char >= 0x800) + (char >= 0x10000))
     ids = np.repeat(sym, width)
-    if not plain.all():
-        lies = np.cumsum(width) - width
-        for k in np.flatnonzero(~plain).tolist():
-            raw = chr(char[k]).encode()
-            ids[lies[k] : lies[k] + len(raw)] = m.byte_id[list(raw)]
-    return ids, np.bincount(np.repeat(word, width), minlength=len(words))
+    lies = np.cumsum(width) - width
+    for k in np.flatnonzero(~plain).tolist():
+        raw = chr(char[k]).encode()
+        ids[lies[k] : lies[k] + len(raw)] = m.byte_id[list(raw)]
+    return ids, np.bincount(word, weights=width, minlength=len(counts)).astype(np.int64)
 
 
 class Numbers(dict):
@@ -290,7 +321,7 @@ class Segmenter:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers, self.names = Numbers(), []
+        self.numbers, self.chars = Numbers(), Pool(np.uint32)
         self.ids, self.merges = Pool(np.int32), Pool(np.uint64)
 
     def learn(self, words: list[str]) -> None:
@@ -298,7 +329,9 @@ class Segmenter:
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         for a, b in slices(lengths, TOGETHER):
             seen: list = []
-            ids, counts = segment(self.model, words[a:b], np.zeros(b - a, dtype=np.uint64), 0, seen)
+            chars = characters(words[a:b])
+            self.chars.add(chars, lengths[a:b])
+            ids, counts = segmented(self.model, chars, lengths[a:b], np.zeros(b - a, dtype=np.uint64), 0, seen)
             self.ids.add(ids, counts)
             if self.limit:
                 word, bounds = (np.concatenate(c) for c in zip(*seen)) if seen else (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64))
@@ -323,9 +356,7 @@ class Segmenter:
         cut = [WORDS.findall(" " + text) if text else [] for text in texts]
         for words in cut:
             found += map(number, words)
-        fresh = list(itertools.islice(self.numbers, known, None))
-        self.names += fresh
-        self.learn(fresh)
+        self.learn(list(itertools.islice(self.numbers, known, None)))
         sizes = np.array([len(c) for c in cut], dtype=np.int64)
         every = np.array(found, dtype=np.int64)
         place, amount = self.ids.place[every], self.ids.count[every]
@@ -333,12 +364,13 @@ class Segmenter:
             rows = mixed(self.salt ^ np.array([r & (1 << 64) - 1 for r in row_ids], dtype=np.uint64))
             at = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             key = mixed(np.repeat(rows, sizes) + at.astype(np.uint64))
-            lengths = np.array([len(w) for words in cut for w in words], dtype=np.int64)
+            lengths = self.chars.count[every]
             anew = np.flatnonzero(self.dropped(every, key) | (lengths > LONG))
             parts = [np.empty(0, dtype=np.int64)]
             for a, b in slices(lengths[anew], TOGETHER):
                 which = anew[a:b]
-                ids, amount[which] = segment(self.model, [self.names[i] for i in every[which].tolist()], key[which], self.limit)
+                chars = self.chars.rows[spread(self.chars.place[every[which]], lengths[which])]
+                ids, amount[which] = segmented(self.model, chars, lengths[which], key[which], self.limit)
                 parts.append(ids)
             self.ids.put(np.concatenate(parts))
             place[anew] = self.ids.filled + np.cumsum(amount[anew]) - amount[anew]
