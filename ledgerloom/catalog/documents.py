@@ -12,9 +12,14 @@ from ledgerloom.operators.staging import update_where
 # ---------------------------------------------------------------- shared inputs of the queries below
 
 
+# the staging view joins its tables on the document id, so no row lacks one and all rows of a document lie together
+PLACED = "document_id"
+DOCUMENT = [PLACED, "document_num"]
+
+
 def stage(i):
-    """The staging rows are read by headers, lines and taxes: written once, as a run does."""
-    return i.once("stage", lambda: i["fx_stage"])
+    """The staging rows are read by headers, lines and taxes: written once, as a run does, and kept together by document."""
+    return i.once("stage", lambda: i["fx_stage"], PLACED)
 
 
 def all_headers(source):
@@ -24,7 +29,7 @@ def all_headers(source):
 
 def unique_headers(source):
     """Those whose number occurs once: lines and taxes are tied to headers by number."""
-    return lines.without_duplicates(all_headers(source))
+    return lines.without_duplicates(all_headers(source), placed=PLACED)
 
 
 def run_headers(i):
@@ -38,13 +43,13 @@ def enriched(i, mode, missing_type="null", hdr=None):
 
 
 def line_rows(i):
-    return lines.line_rows(stage(i), run_headers(i))
+    return lines.line_rows(stage(i), run_headers(i), DOCUMENT)
 
 
 def categorized(i, mode, missing_type="null"):
     facts = validate.document_facts(
-        enriched(i, mode, missing_type, unique_headers(stage(i))), lines.document_lines(stage(i)),
-        lines.document_taxes(stage(i)), key="document_num",
+        enriched(i, mode, missing_type, unique_headers(stage(i))), lines.document_lines(stage(i), DOCUMENT),
+        lines.document_taxes(stage(i), DOCUMENT), key=DOCUMENT,
     )
     return categorize.categorize(facts, i["fx_lookup"], i["fx_eligible"], RUN_TS)
 
@@ -57,7 +62,7 @@ def validated(i, mode):
     """Both modes run over all documents; document kinds a mode does not know fail its rules."""
     if mode == "receivable":
         df = categorized(i, mode, "keep")
-        return validate.validate_receivable(df, i["fx_lookup"], source_documents(i), note_codes=("O",), max_lines=7)
+        return validate.validate_receivable(df, i["fx_lookup"], source_documents(i), note_codes=("O",), max_lines=7, placed=PLACED)
     return validate.validate_transfer(categorized(i, mode), max_lines=7)
 
 
@@ -318,7 +323,7 @@ SELECT transaction_id, line_number, item_code, item_name, hsn_code, cast(quantit
   cast(base_amount AS double) AS base_amount, cast(tax_amount AS double) AS tax_amount, cast(gross_amount AS double) AS gross_amount, tax_trx_line_id FROM ln""",
 )
 def q_build_lines(i):
-    built = lines.build_lines(stage(i), run_headers(i))
+    built = lines.build_lines(stage(i), run_headers(i), DOCUMENT)
     amounts = ["quantity", "price", "base_amount", "tax_amount", "gross_amount"]
     return doubles(built, *amounts).select(
         "transaction_id", "line_number", "item_code", "item_name", "hsn_code", *amounts, "tax_trx_line_id"
@@ -372,7 +377,7 @@ SELECT transaction_id, line_number, tax_name, cast(tax_rate AS double) AS tax_ra
 )
 def q_build_taxes(i):
     hdr = run_headers(i)
-    out = lines.build_taxes(stage(i), hdr, lines.build_lines(i["fx_stage"], hdr))
+    out = lines.build_taxes(stage(i), hdr, lines.build_lines(stage(i), hdr, DOCUMENT), DOCUMENT)
     return doubles(out, "tax_rate", "taxable_amount")
 
 
@@ -659,7 +664,8 @@ SELECT supplier_legal_name, {SUMMARY_SQL}, cast(sum(total_base_amount) AS double
   cast(sum(gross_amount) AS double) AS gross_amount FROM val GROUP BY supplier_legal_name""",
 )
 def q_entity_outcome(i):
-    out = validated(i, "receivable")
+    counted = ["supplier_legal_name", "supply_type_code", "status_code", "total_base_amount", "total_tax_amount", "gross_amount"]
+    out = i.once("outcomes", lambda: validated(i, "receivable").select(*counted))
     counts = reconcile.run_summary(out, ["supplier_legal_name"])
     sums = out.groupBy("supplier_legal_name").agg(
         F.sum("total_base_amount").alias("base_amount"), F.sum("total_tax_amount").alias("tax_amount"), F.sum("gross_amount").alias("gross_amount")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.spread import number_rows
+from ledgerloom.operators.spread import join_placed, number_rows
+from ledgerloom.session import cut_lineage
 
 LINE_COLUMNS = (
     "item_name item_code item_id quantity price hsn_code base_amount tax_amount gross_amount tax_trx_id "
@@ -23,26 +24,54 @@ def classify_code(code: Column, service_prefix: str = "9") -> Column:
     return F.when(code.startswith(service_prefix), "SERVICE").when(code.isNotNull(), "GOODS")
 
 
-def header_keys(headers: DataFrame, key: str = "document_num") -> DataFrame:
-    return headers.select("transaction_id", key)
+# staging rows from which on the lines of one document are numbered by many tasks
+LARGE_DOCUMENT = 100_000
 
+# A key of several columns starts with the one that the staging table is bucketed by, and both sides have a value in all of
+# them. Where a header has one document number, and this number one header, the further columns do not tell rows apart.
+Key = str | Sequence[str]
 
-def document_lines(stage: DataFrame, key: str = "document_num") -> DataFrame:
+
+def key_columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def header_keys(headers: DataFrame, key: Key = "document_num") -> DataFrame:
+    return headers.select("transaction_id", *key_columns(key))
+
+
+def document_lines(stage: DataFrame, key: Key = "document_num") -> DataFrame:
     """Distinct line-grain rows with their class, still under the document number. Totals and flags of a
     document are grouped from these directly, without joining every line to its header."""
-    return stage.select(key, *LINE_COLUMNS).distinct().withColumn("item_class", classify_code(F.col("hsn_code")))
+    return stage.select(*key_columns(key), *LINE_COLUMNS).distinct().withColumn("item_class", classify_code(F.col("hsn_code")))
+
+
+def _keyed_lines(stage: DataFrame, headers: DataFrame, key: Key) -> DataFrame:
+    return join_placed(document_lines(stage, key), header_keys(headers, key), key_columns(key))
 
 
-def line_rows(stage: DataFrame, headers: DataFrame, key: str = "document_num") -> DataFrame:
+def line_rows(stage: DataFrame, headers: DataFrame, key: Key = "document_num") -> DataFrame:
     """Lines of each header, not yet numbered. The tax fan-out is undone before the join; as a header has one
     document number, the joined rows are distinct again without another shuffle."""
-    return document_lines(stage, key).join(header_keys(headers, key), key).drop(key)
+    return _keyed_lines(stage, headers, key).drop(*key_columns(key))
 
 
-def build_lines(stage: DataFrame, headers: DataFrame, key: str = "document_num") -> DataFrame:
+def build_lines(stage: DataFrame, headers: DataFrame, key: Key = "document_num") -> DataFrame:
     """Lines numbered 1..n within their document, in the order of all their columns; a missing price is 0.
-    A document of any size is numbered in parallel."""
-    numbered = number_rows(line_rows(stage, headers, key), LINE_COLUMNS, "line_number", within=["transaction_id"])
+    The lines of a document are numbered where the join has put them, those of a large one in parallel. Runs a job to find
+    the large ones: each has `LARGE_DOCUMENT` staging rows at least, so they are few."""
+    keys = key_columns(key)
+    large = cut_lineage(stage.groupBy(*keys).count().where(F.col("count") >= LARGE_DOCUMENT).select(*keys))
+    rows = _keyed_lines(stage, headers, key)
+    within = Window.partitionBy(*keys, "transaction_id").orderBy(*LINE_COLUMNS)
+    if large.isEmpty():
+        numbered = rows.withColumn("line_number", F.row_number().over(within).cast("long")).drop(*keys)
+    else:
+        small = rows.join(F.broadcast(large), keys, "left_anti")
+        cut = number_rows(
+            rows.join(F.broadcast(large), keys, "left_semi").drop(*keys), LINE_COLUMNS, "line_number", within=["transaction_id"]
+        )
+        numbered = small.withColumn("line_number", F.row_number().over(within).cast("long")).drop(*keys).unionByName(cut)
     return numbered.withColumn("price", F.coalesce(F.col("price"), F.lit(0).cast("decimal(12,2)")))
 
 
@@ -73,30 +102,34 @@ def rollup_amounts(headers: DataFrame, lines: DataFrame, key: str = "transaction
     return headers.join(lines.groupBy(key).agg(*amount_sums()), key, "left")
 
 
-def build_taxes(stage: DataFrame, headers: DataFrame, lines: DataFrame, key: str = "document_num") -> DataFrame:
+def build_taxes(stage: DataFrame, headers: DataFrame, lines: DataFrame, key: Key = "document_num") -> DataFrame:
     """Distinct tax rows of each line, tied to it by the tax factor keys; rows without a factor have no tax.
     A line has one pair of factor keys, so the joined rows need no second distinct."""
     factors = ["tax_trx_id", "tax_trx_line_id"]
-    taxes = (
-        stage.where(F.col("tax_trx_id").isNotNull())
-        .select(key, *factors, "tax_name", F.col("tax_rate"), "taxable_amount", "tax_type_id")
-        .distinct()
-        .join(header_keys(headers, key), key)
+    keys = key_columns(key)
+    rows = stage.where(F.col("tax_trx_id").isNotNull()).select(
+        *keys, *factors, "tax_name", F.col("tax_rate"), "taxable_amount", "tax_type_id"
     )
+    taxes = join_placed(rows.distinct(), header_keys(headers, key), keys)
     return (
         taxes.join(lines.select("transaction_id", *factors, "line_number"), ["transaction_id", *factors])
         .select("transaction_id", "line_number", "tax_name", "tax_rate", "taxable_amount", "tax_type_id")
     )
 
 
-def document_taxes(stage: DataFrame, key: str = "document_num") -> DataFrame:
+def document_taxes(stage: DataFrame, key: Key = "document_num") -> DataFrame:
     """Distinct tax rows per document number: all that document-level rules need."""
-    rows = stage.where(F.col("tax_trx_id").isNotNull()).select(key, "tax_trx_line_id", "tax_name", "taxable_amount")
+    rows = stage.where(F.col("tax_trx_id").isNotNull()).select(*key_columns(key), "tax_trx_line_id", "tax_name", "taxable_amount")
     return rows.distinct()
 
 
-def without_duplicates(headers: DataFrame, keys: Sequence[str] = ("document_num",)) -> DataFrame:
-    """Headers whose key occurs once; a repeated document number would multiply its lines."""
+def without_duplicates(headers: DataFrame, keys: Sequence[str] = ("document_num",), placed: str | None = None) -> DataFrame:
+    """Headers whose key occurs once; a repeated document number would multiply its lines. `placed`: a column that the
+    headers lie by, and that none lacks; then only keys move, and the headers themselves stay where they are."""
+    if placed is not None:
+        count = headers.groupBy(*keys).agg(F.count("*").alias("count"), F.min(placed).alias(placed))
+        once = count.where(F.col("count") == 1).drop("count")
+        return join_placed(headers, once, [placed, *keys], "left_semi")
     once = headers.groupBy(*keys).count().where(F.col("count") == 1).drop("count")
     return headers.join(once, list(keys), "left_semi")
 

@@ -55,6 +55,19 @@ def number_rows(
     return placed.join(F.broadcast(carried), on, "left").select(*df.columns, number.cast("long").alias(into))
 
 
+def join_placed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal `keys`, of which the first alone places the rows, so a side that already lies by it does not move. The
+    other keys are compared as a range of one value: an equality would become a further key of the exchange."""
+    first, *rest = keys
+    if not rest:
+        return left.join(right, first, how)
+    on = F.col(first) == F.col(f"_of_{first}")
+    for k in rest:
+        on = on & F.col(k).between(F.col(f"_of_{k}"), F.col(f"_of_{k}"))
+    joined = left.join(right.withColumnsRenamed({k: f"_of_{k}" for k in keys}), on, how)
+    return joined.drop(*[f"_of_{k}" for k in keys])
+
+
 def spread_nulls(df: DataFrame, column: str, into: str, slots: int = SALTS) -> DataFrame:
     """String join key whose NULLs are replaced by `slots` values that match nothing, so that a left join
     does not send all rows without a key to one task."""

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import any_null, length_is_one_of
 from ledgerloom.operators.categorize import HOME_COUNTRY
-from ledgerloom.operators.lines import amount_sums, class_range, set_service_flag
+from ledgerloom.operators.lines import Key, amount_sums, class_range, key_columns, set_service_flag
 from ledgerloom.operators.lookups import lookup_rows
 from ledgerloom.operators.rules import Rule, accumulate, apply_rules
-from ledgerloom.operators.spread import spread_nulls
+from ledgerloom.operators.spread import join_placed, spread_nulls
 
 # Placeholders, code lengths, size limit and message texts
 NO_GSTIN = "GSTNOTAVAILABLE"
@@ -74,21 +74,22 @@ def line_facts(strict: bool = False) -> list[Column]:
 
 
 def document_facts(
-    headers: DataFrame, lines: DataFrame, taxes: DataFrame, strict: bool = False, key: str = "transaction_id"
+    headers: DataFrame, lines: DataFrame, taxes: DataFrame, strict: bool = False, key: Key = "transaction_id"
 ) -> DataFrame:
     """Everything the rules and totals need to know about lines and taxes, joined to the header: one grouping
     of the lines (amounts, classes, code checks, count) and one of the taxes. Both combine before the shuffle,
     so the size of a document does not matter."""
-    summary = lines.groupBy(key).agg(*amount_sums(), *class_range(), *line_facts(strict))
-    joined = headers.join(summary, key, "left").join(tax_facts(taxes, key=key), key, "left")
+    keys = key_columns(key)
+    summary = lines.groupBy(*keys).agg(*amount_sums(), *class_range(), *line_facts(strict))
+    joined = join_placed(join_placed(headers, summary, keys, "left"), tax_facts(taxes, key=key), keys, "left")
     return set_service_flag(joined)
 
 
 def tax_facts(
-    taxes: DataFrame, pattern: Mapping[str, Mapping[str, Sequence[str]]] = TAX_PATTERN, key: str = "transaction_id"
+    taxes: DataFrame, pattern: Mapping[str, Mapping[str, Sequence[str]]] = TAX_PATTERN, key: Key = "transaction_id"
 ) -> DataFrame:
     names = sorted({n for p in pattern.values() for part in p.values() for n in part})
-    return taxes.groupBy(key).agg(
+    return taxes.groupBy(*key_columns(key)).agg(
         F.bool_or(F.col("taxable_amount") != 0).alias("any_tax_amount"),
         F.bool_or(F.col("taxable_amount") == 0).alias("any_zero_tax"),
         *[F.coalesce(F.bool_or(F.col("tax_name") == n), F.lit(False)).alias(f"has_{n}") for n in names],
@@ -114,8 +115,11 @@ def count_out_of_range(max_lines: int = MAX_LINES, include_empty: bool = False)
     return F.coalesce(~F.col("line_count").between(1, max_lines), F.lit(False)) | empty
 
 
-def original_document_flag(df: DataFrame, source: DataFrame, number: str, date: str) -> DataFrame:
-    """Does a source document with the preceding number and date exist? `date` is an ISO day string."""
+def original_document_flag(
+    df: DataFrame, source: DataFrame, number: str, date: str, placed: str | None = None
+) -> DataFrame:
+    """Does a source document with the preceding number and date exist? `date` is an ISO day string. `placed`: a column that
+    the rows lie by, and that none lacks; then only references move to the source documents and back, not whole rows."""
     # only the few referenced documents are looked up, so the history is reduced before it is made distinct
     wanted = df.where(F.col("preceding_doc_num").isNotNull() & F.col("preceding_doc_date").isNotNull()).select(
         F.col("preceding_doc_num").alias("_num"), F.col("preceding_doc_date").alias("_day")
@@ -126,6 +130,11 @@ def original_document_flag(df: DataFrame, source: DataFrame, number: str, date:
         .distinct()
         .withColumn("original_found", F.lit(True))
     )
+    if placed is not None:
+        named = [placed, "preceding_doc_num", "preceding_doc_date"]
+        pair = (F.col("preceding_doc_num") == F.col("_num")) & (F.col("preceding_doc_date") == F.col("_day"))
+        found = df.where(F.col("preceding_doc_num").isNotNull()).select(*named).distinct().join(known, pair).drop("_num", "_day")
+        return join_placed(df, found, named, "left").withColumn("original_found", F.coalesce("original_found", F.lit(False)))
     on = (F.col("_preceding") == F.col("_num")) & (F.col("preceding_doc_date") == F.col("_day"))
     keyed = spread_nulls(df, "preceding_doc_num", "_preceding")  # most documents refer to none
     return keyed.join(known, on, "left").drop("_num", "_day", "_preceding").withColumn(
@@ -258,10 +267,11 @@ def validate_receivable(
     max_lines: int = MAX_LINES,
     number: str = "document_num",
     date: str = "document_date",
+    placed: str | None = None,
 ) -> DataFrame:
     """Rules for receivable documents; `df` carries `document_facts` and the category flags, `source` the
-    documents that notes may refer to."""
-    df = original_document_flag(note_type_flags(df, lookup, note_codes), source, number, date)
+    documents that notes may refer to (`placed` as for `original_document_flag`)."""
+    df = original_document_flag(note_type_flags(df, lookup, note_codes), source, number, date, placed)
     df = apply_rules(df, receivable_entry_rules())
     return _flag_errors(accumulate(df, receivable_rules(max_lines)))
 

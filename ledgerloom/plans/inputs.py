@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import cut_buckets, cut_lineage
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -526,10 +526,10 @@ class Inputs:
         self._frames: dict[str, DataFrame] = {}
         self._stored: set[str] = set()
 
-    def once(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table written once and shared by everything built from these inputs."""
+    def once(self, key: str, build: Callable[[], DataFrame], *placed: str) -> DataFrame:
+        """A table written once and shared by everything built from these inputs, bucketed by the columns `placed`."""
         if key not in self._frames:
-            self._frames[key] = cut_lineage(build())
+            self._frames[key] = cut_buckets(build(), *placed) if placed else cut_lineage(build())
         return self._frames[key]
 
     def stored(self, *names: str) -> None:
