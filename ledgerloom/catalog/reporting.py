@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.documents import CATEGORY_SQL, STAGE_VIEWS, categorized, run_headers, stage
+from ledgerloom.catalog.documents import CATEGORY_SQL, DOCUMENT, STAGE_VIEWS, categorized, run_headers, stage
 from ledgerloom.catalog.registry import RUN_TS, doubles, query
 from ledgerloom.operators import lines, recipients, reports
 
@@ -145,17 +145,16 @@ _LIST_BATCH = "cast(batch_id AS varchar) IN (SELECT cast(batch_id AS varchar) FR
 
 def printable(i):
     done = F.when((F.col("eligible_flag") == "Y") & (F.col("status_code") == "PENDING"), "SUCCESS").otherwise(F.col("status_code"))
+    coded = (F.col("eligible_flag") == "Y") & (F.col("status_code") == "PENDING")
     text = F.concat(F.lit("data:image/png;base64,"), F.repeat(F.concat(F.lit("QR"), F.col("transaction_id")), 700))
-    code = F.when((F.col("eligible_flag") == "Y") & (F.col("status_code") == "PENDING"), text)
     key = F.col("transaction_id")
     answer = {
         "irn": F.concat(F.lit("IRN"), key), "ack_number": F.concat(F.lit("ACK"), key % 1000), "ack_date": F.col("document_date"),
         "shipment_id": F.concat(F.lit("S"), "document_num"), "eway_bill_number": F.when(key % 3 != 0, F.concat(F.lit("EW"), key)),
     }
-    # the header table of a finished run is a written table
-    return i.once(
-        "printable", lambda: categorized(i, "receivable").withColumns({"status_code": done, "signed_code": code} | answer)
-    )
+    # the header table of a finished run is a written table; its long codes are made where they are read
+    written = i.once("printable", lambda: categorized(i, "receivable").withColumns({"status_code": done, "_coded": coded} | answer))
+    return written.withColumn("signed_code", F.when(F.col("_coded"), text)).drop("_coded")
 
 
 def number_list(i):
@@ -215,8 +214,8 @@ FROM sel h JOIN ln l ON l.transaction_id = h.transaction_id JOIN tx t ON t.trans
 )
 def q_print_detail(i):
     hdr, base = printable(i), run_headers(i)
-    built = i.once("lines", lambda: lines.build_lines(stage(i), base))
-    taxes = lines.build_taxes(stage(i), base, built)
+    built = i.once("lines", lambda: lines.build_lines(stage(i), base, DOCUMENT))
+    taxes = lines.build_taxes(stage(i), base, built, DOCUMENT)
     selected = reports.select_documents(hdr, number_list(i), "Multiple Invoices", i["fx_lookup"], "TRANSFER")
     out = reports.print_detail(hdr, built, taxes, selected, footer="No sale")
     return doubles(out, *_AMOUNTS).select(*PRINT_OUT)

@@ -209,7 +209,8 @@ def print_detail(
     headers: DataFrame, lines: DataFrame, taxes: DataFrame, selected: DataFrame, footer: str | None = None,
     code_prefix: str = "data:image/png;base64,",
 ) -> DataFrame:
-    """Print rows of the selected documents, one per line and tax."""
+    """Print rows of the selected documents, one per line and tax. Headers with their long codes move once and are never
+    sorted: the ids and the details of a partition are hashed, the headers stream past them."""
     comma = F.lit(",")
 
     def joined(*columns: str):
@@ -222,7 +223,7 @@ def print_detail(
     code = F.replace(F.col("signed_code"), F.lit(code_prefix), F.lit(""))
     header = (
         headers.where((F.col("status_code") == "SUCCESS") & (F.col("eligible_flag") == "Y"))
-        .join(selected.select("transaction_id").distinct(), "transaction_id", "left_semi")
+        .join(selected.select("transaction_id").distinct().hint("shuffle_hash"), "transaction_id", "left_semi")
         .select(
             "transaction_id",
             F.substring(code, 1, TEXT_CAP).alias("code_1"),
@@ -256,7 +257,7 @@ def print_detail(
         taxes.join(ids, "transaction_id", "left_semi").select("transaction_id", "line_number", cat(F.col("tax_name"), "-", F.col("tax_rate").cast("string")).alias("tax_code")),
         ["transaction_id", "line_number"],
     )
-    return header.join(detail, "transaction_id")
+    return header.join(detail.hint("shuffle_hash"), "transaction_id")
 
 
 def closure_report(
