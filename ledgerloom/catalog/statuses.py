@@ -249,9 +249,8 @@ FROM cat c JOIN fx_vpa v ON v.legal_entity_name = c.supplier_legal_name AND v.or
 WHERE c.eligible_flag = 'N' AND c.status_code = 'PENDING' AND c.supply_type_code = 'B2C' AND coalesce(v.effective_end, {NOW} + INTERVAL 1 DAY) > {NOW}""",
 )
 def q_payment_payload(i):
-    # the header table of a run is a written table by then
-    hdr = i.once("categorized", lambda: categorized(i, "receivable"))
-    return writeback.payment_payload(hdr, i["fx_vpa"], i["fx_lookup"], RUN_TS)
+    # read once, so nothing is gained by writing all columns of the header table first
+    return writeback.payment_payload(categorized(i, "receivable"), i["fx_vpa"], i["fx_lookup"], RUN_TS)
 
 
 # ---------------------------------------------------------------- purge
