@@ -76,7 +76,12 @@ def build_lines(stage: DataFrame, headers: DataFrame, key: Key = "document_num")
 
 
 def class_range() -> list[Column]:
-    return [F.min("item_class").alias("low_class"), F.max("item_class").alias("high_class")]
+    """Lowest and highest of the two classes, from flags: least and greatest texts would be grouped by sorting all lines."""
+    goods, service = F.bool_or(F.col("item_class") == "GOODS"), F.bool_or(F.col("item_class") == "SERVICE")
+    return [
+        F.when(goods, "GOODS").when(service, "SERVICE").alias("low_class"),
+        F.when(service, "SERVICE").when(goods, "GOODS").alias("high_class"),
+    ]
 
 
 def amount_sums() -> list[Column]:

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog import documents, reporting, statuses
+from ledgerloom.catalog import documents, extracts, reporting, statuses
 from ledgerloom.operators import lines, validate
 from ledgerloom.operators.spread import join_placed
 from ledgerloom.plans.inputs import Inputs
@@ -61,6 +61,12 @@ def test_payments_write_staging_rows_only(spark):
     assert "categorized" not in i._frames
 
 
+def test_taxed_extracts_share_their_rows(spark):
+    i = Inputs(tune(spark), SMALLEST)
+    extracts.stage_union(i)
+    assert "transfer rows" in i._frames
+
+
 def test_outcomes_are_validated_once(spark):
     i = Inputs(tune(spark), SMALLEST)
     documents.q_entity_outcome(i)
@@ -115,3 +121,16 @@ def test_references_by_placed_rows(spark):
     placed = validate.original_document_flag(df, source, "n", "d", "document_id").select(*plain.columns)
     assert rows_of(placed) == rows_of(plain)
     assert [r.original_found for r in placed.collect()].count(True) == 2
+
+
+def test_facts_are_hashed(spark):
+    """No line is sorted for the facts of its document."""
+    stage = staged(spark, [(1, "A", 4)])
+    rows = lines.document_lines(stage).groupBy("document_num").agg(*lines.class_range(), *lines.amount_sums(), *validate.line_facts(False))
+    assert "SortAggregate" not in plan(rows)
+
+
+def test_classes_of_a_document(spark):
+    rows = [(1, "GOODS"), (1, "SERVICE"), (1, None), (2, "GOODS"), (2, None), (3, "SERVICE"), (4, None)]
+    found = spark.createDataFrame(rows, "d int, item_class string").groupBy("d").agg(*lines.class_range())
+    assert sorted(found.collect()) == [(1, "GOODS", "SERVICE"), (2, "GOODS", "GOODS"), (3, "SERVICE", "SERVICE"), (4, None, None)]
