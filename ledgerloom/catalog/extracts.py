@@ -170,8 +170,10 @@ def extract_challan(i):
 )
 def stage_union(i):
     t = transfer_tables(i)
+    # the taxed extracts share their rows, as in a run
+    rows = i.once("transfer rows", lambda: staging.transfer_rows(t))
     staged = staging.stage_union(
-        staging.extract_transit(t, MAIL), staging.extract_inter(t, MAIL), staging.extract_challan(t, MAIL)
+        staging.extract_transit(t, MAIL, rows), staging.extract_inter(t, MAIL, rows), staging.extract_challan(t, MAIL)
     )
     return _out(staged, TRANSFER_OUT)
 
