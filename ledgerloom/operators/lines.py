@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.spread import join_placed, number_rows
@@ -61,10 +61,12 @@ def build_lines(stage: DataFrame, headers: DataFrame, key: Key = "document_num")
     The lines of a document are numbered where the join has put them, those of a large one in parallel. Runs a job to find
     the large ones: each has `LARGE_DOCUMENT` staging rows at least, so they are few."""
     keys = key_columns(key)
-    large = cut_lineage(stage.groupBy(*keys).count().where(F.col("count") >= LARGE_DOCUMENT).select(*keys))
+    seen = Observation()
+    large = stage.groupBy(*keys).count().where(F.col("count") >= LARGE_DOCUMENT).select(*keys)
+    large = cut_lineage(large.observe(seen, F.count(F.lit(1)).alias("documents")))
     rows = _keyed_lines(stage, headers, key)
     within = Window.partitionBy(*keys, "transaction_id").orderBy(*LINE_COLUMNS)
-    if large.isEmpty():
+    if not seen.get.get("documents"):  # counted while they were written
         numbered = rows.withColumn("line_number", F.row_number().over(within).cast("long")).drop(*keys)
     else:
         small = rows.join(F.broadcast(large), keys, "left_anti")
