@@ -81,12 +81,43 @@ TRANSFER_RUN, RECEIVABLE_RUN = [*TRANSFER_VIEWS, *SHARED_VIEWS, "fx_vpa"], [*INV
 RESULT_OUT = ["result_type", "result_message", "result_eligible", "result_id", "result_request", "reprocess_flag"]
 
 
+# what the views of a run take of the tables that they join on the document
+_OF_HEADERS = "document_id document_num document_date document_type cust_id le_id batch_id query_type reprocess_flag priority".split()
+_OF_LINES = "document_id item_id line_key quantity hsn_code base_amount tax_rate".split()
+_OF_INVOICES = (
+    "document_id document_num document_date creation_date complete_flag reprocess_flag context cust_id ship_to_cust_id trx_type_id "
+    "org_id legal_entity_id batch_id shipment_id document_type"
+).split()
+
+_OF_FACTORS = (
+    "document_id document_num trx_id trx_line_id entity_code det_factor_id hsn_code sac_code organization_id org_id original_invoice_num "
+    "original_invoice_date base_amount tax_rate"
+).split()
+_DOCUMENT = ["document_id"]
+_ITEMS = (["item_id", "organization_id", "item_code", "item_name"], ["item_id", "organization_id"])
+
+
+# view -> (columns, columns to bucket by), as the runs write them; the other views are joined from these
+PLACED_VIEWS = {
+    "transfer": {
+        "fx_hdr": (_OF_HEADERS, _DOCUMENT), "fx_line": ([*_OF_LINES, "price"], _DOCUMENT),
+        "fx_invoice": (["document_id", "context", "org_id"], _DOCUMENT), "fx_item": _ITEMS,
+    },
+    "receivable": {
+        "fx_hdr": (_OF_HEADERS[:-1], _DOCUMENT), "fx_line": ([*_OF_LINES, "item_name", "source_line"], _DOCUMENT),
+        "fx_invoice": (_OF_INVOICES, _DOCUMENT), "fx_tax_factor": (_OF_FACTORS, _DOCUMENT), "fx_item": _ITEMS,
+    },
+}
+
+
 def _transfer_run(i):
+    i = i.placed(PLACED_VIEWS["transfer"])
     tables = _tables(i, transfer_tables(i) | {"transfers": i["fx_transfer"]})
     return run_extract(tables, "transfer", RUN, 1000, DAYS, FLOOR, MAIL, on_violation="exclude")
 
 
 def _receivable_run(i):
+    i = i.placed(PLACED_VIEWS["receivable"])
     return run_extract(
         _tables(i, receivable_tables(i)), "receivable", RUN, 1000, DAYS, FLOOR, on_violation="exclude", note_codes=("O",)
     )

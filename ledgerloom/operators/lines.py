@@ -46,34 +46,36 @@ def document_lines(stage: DataFrame, key: Key = "document_num") -> DataFrame:
     return stage.select(*key_columns(key), *LINE_COLUMNS).distinct().withColumn("item_class", classify_code(F.col("hsn_code")))
 
 
-def _keyed_lines(stage: DataFrame, headers: DataFrame, key: Key) -> DataFrame:
+def keyed_lines(stage: DataFrame, headers: DataFrame, key: Key) -> DataFrame:
     return join_placed(document_lines(stage, key), header_keys(headers, key), key_columns(key))
 
 
 def line_rows(stage: DataFrame, headers: DataFrame, key: Key = "document_num") -> DataFrame:
     """Lines of each header, not yet numbered. The tax fan-out is undone before the join; as a header has one
     document number, the joined rows are distinct again without another shuffle."""
-    return _keyed_lines(stage, headers, key).drop(*key_columns(key))
+    return keyed_lines(stage, headers, key).drop(*key_columns(key))
 
 
-def build_lines(stage: DataFrame, headers: DataFrame, key: Key = "document_num") -> DataFrame:
+def build_lines(stage: DataFrame, headers: DataFrame, key: Key = "document_num", keep_key: bool = False) -> DataFrame:
     """Lines numbered 1..n within their document, in the order of all their columns; a missing price is 0.
     The lines of a document are numbered where the join has put them, those of a large one in parallel. Runs a job to find
-    the large ones: each has `LARGE_DOCUMENT` staging rows at least, so they are few."""
+    the large ones: each has `LARGE_DOCUMENT` staging rows at least, so they are few. `keep_key`: with the key of the staging
+    table, so that lines that lie by it can be joined where they are."""
     keys = key_columns(key)
     seen = Observation()
     large = stage.groupBy(*keys).count().where(F.col("count") >= LARGE_DOCUMENT).select(*keys)
     large = cut_lineage(large.observe(seen, F.count(F.lit(1)).alias("documents")))
-    rows = _keyed_lines(stage, headers, key)
+    rows = keyed_lines(stage, headers, key)
+    unkeyed = [] if keep_key else keys
     within = Window.partitionBy(*keys, "transaction_id").orderBy(*LINE_COLUMNS)
     if not seen.get.get("documents"):  # counted while they were written
-        numbered = rows.withColumn("line_number", F.row_number().over(within).cast("long")).drop(*keys)
+        numbered = rows.withColumn("line_number", F.row_number().over(within).cast("long")).drop(*unkeyed)
     else:
         small = rows.join(F.broadcast(large), keys, "left_anti")
         cut = number_rows(
-            rows.join(F.broadcast(large), keys, "left_semi").drop(*keys), LINE_COLUMNS, "line_number", within=["transaction_id"]
+            rows.join(F.broadcast(large), keys, "left_semi").drop(*unkeyed), LINE_COLUMNS, "line_number", within=["transaction_id"]
         )
-        numbered = small.withColumn("line_number", F.row_number().over(within).cast("long")).drop(*keys).unionByName(cut)
+        numbered = small.withColumn("line_number", F.row_number().over(within).cast("long")).drop(*unkeyed).unionByName(cut)
     return numbered.withColumn("price", F.coalesce(F.col("price"), F.lit(0).cast("decimal(12,2)")))
 
 
@@ -109,18 +111,20 @@ def rollup_amounts(headers: DataFrame, lines: DataFrame, key: str = "transaction
     return headers.join(lines.groupBy(key).agg(*amount_sums()), key, "left")
 
 
-def build_taxes(stage: DataFrame, headers: DataFrame, lines: DataFrame, key: Key = "document_num") -> DataFrame:
+def build_taxes(stage: DataFrame, headers: DataFrame, lines: DataFrame, key: Key = "document_num", keep_key: bool = False) -> DataFrame:
     """Distinct tax rows of each line, tied to it by the tax factor keys; rows without a factor have no tax.
-    A line has one pair of factor keys, so the joined rows need no second distinct."""
+    A line has one pair of factor keys, so the joined rows need no second distinct. `keep_key`: with the key of the staging table,
+    which the lines have as well."""
     factors = ["tax_trx_id", "tax_trx_line_id"]
     keys = key_columns(key)
     rows = stage.where(F.col("tax_trx_id").isNotNull()).select(
         *keys, *factors, "tax_name", F.col("tax_rate"), "taxable_amount", "tax_type_id"
     )
     taxes = join_placed(rows.distinct(), header_keys(headers, key), keys)
+    on = [*(keys if keep_key else []), "transaction_id", *factors]
     return (
-        taxes.join(lines.select("transaction_id", *factors, "line_number"), ["transaction_id", *factors])
-        .select("transaction_id", "line_number", "tax_name", "tax_rate", "taxable_amount", "tax_type_id")
+        taxes.join(lines.select(*on, "line_number"), on)
+        .select(*on[: -len(factors)], "line_number", "tax_name", "tax_rate", "taxable_amount", "tax_type_id")
     )
 
 

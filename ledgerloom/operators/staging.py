@@ -13,7 +13,7 @@ from ledgerloom.functions.moments import at, midnight
 from ledgerloom.functions.text import as_col
 from ledgerloom.operators.lookups import attach_attributes, lookup_rows
 from ledgerloom.operators.spread import spread_nulls
-from ledgerloom.session import RunContext, cut_lineage
+from ledgerloom.session import RunContext, cut_buckets, cut_lineage
 
 TRANSFER_ENTITY, ORDER_ENTITY, INVOICE_ENTITY = "MTL_TRANSACTION", "OE_ORDER_HEADERS", "TRANSACTIONS"
 
@@ -44,8 +44,10 @@ def line_tax_total(taxes: DataFrame, keys: Sequence[str], amount: str = "tax_amo
     return taxes.groupBy(*keys).agg(F.sum(amount).alias("line_tax"))
 
 
-def _organisation(df: DataFrame, orgs: DataFrame, key: str, prefix: str, columns: Sequence[str]) -> DataFrame:
-    return attach_attributes(df, orgs, key, {c: f"{prefix}_{c}" for c in columns}, "organization_id")
+def _organisation(
+    df: DataFrame, orgs: DataFrame, key: str, prefix: str, columns: Sequence[str], placed: str | None = None
+) -> DataFrame:
+    return attach_attributes(df, orgs, key, {c: f"{prefix}_{c}" for c in columns}, "organization_id", placed)
 
 
 def _with_amounts(df: DataFrame, base: Column, tax: Column) -> DataFrame:
@@ -73,27 +75,29 @@ def _staged(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in STAGE_COLUMNS if c in df.columns])
 
 
-def transfer_rows(t: Mapping[str, DataFrame]) -> DataFrame:
+def transfer_rows(t: Mapping[str, DataFrame], written: bool = False) -> DataFrame:
     """Open transfers x stock moves x tax rows, shared by the two taxed transfer extracts.
 
     The open transfers name the documents, these the tax lines, and their keys reduce moves, tax totals and
-    determination rows before any of the histories is grouped or joined."""
+    determination rows before any of the histories is grouped or joined. The tax lines are written where their lines lie, so
+    that histories move once and the rows of the open lines not at all. `written`: the rows are written, too, and lie by document
+    number; their organisations are looked up once for each document."""
     documents = t["transfers"].select(F.col("tax_invoice_no").alias("tax_invoice_num")).where("tax_invoice_num IS NOT NULL").distinct()
     history = t["tax_lines"].where(F.col("entity_code") == TRANSFER_ENTITY)
-    taxes = cut_lineage(history.join(documents, "tax_invoice_num", "left_semi"))  # few rows, read four times below
-    line_keys = taxes.select("trx_id", "trx_line_id", "organization_id").distinct()
-    move_keys = line_keys.select(F.col("trx_id").alias("tax_group_id"), F.col("trx_line_id").alias("move_line_id"), "organization_id")
-    moves = t["stock_moves"].withColumn(
-        "tax_group_id", F.coalesce("transaction_batch_id", "transaction_set_id")
-    ).join(move_keys, move_keys.columns, "left_semi")
-    factors = t["tax_factors"].where(F.col("entity_code") == TRANSFER_ENTITY).join(
-        taxes.select("det_factor_id").distinct(), "det_factor_id", "left_semi"
-    )
+    line = ["trx_id", "trx_line_id"]
+    taxes = cut_buckets(history.join(documents, "tax_invoice_num", "left_semi").repartition(*line), *line)  # few rows, read four times
+    line_keys = taxes.select(*line, "organization_id").distinct()
+    moves = t["stock_moves"].withColumns(
+        {"trx_id": F.coalesce("transaction_batch_id", "transaction_set_id"), "trx_line_id": F.col("move_line_id")}
+    ).join(line_keys, line_keys.columns, "left_semi")
     totals = line_tax_total(history.join(line_keys, line_keys.columns, "left_semi"), line_keys.columns)
+    # a move has the determination rows of its batch; its tax lines have the batch's id if it is in one
+    factors = t["tax_factors"].where(F.col("entity_code") == TRANSFER_ENTITY).select(*line, "det_factor_id", "hsn_code").join(
+        taxes.select(*line, "det_factor_id").distinct(), [*line, "det_factor_id"], "left_semi"
+    )
     taxed = (
         taxes.select(
-            F.col("trx_id").alias("tax_group_id"),
-            F.col("trx_line_id").alias("move_line_id"),
+            *line,
             "organization_id",
             "det_factor_id",
             F.col("tax_invoice_num").alias("document_num"),
@@ -102,28 +106,11 @@ def transfer_rows(t: Mapping[str, DataFrame]) -> DataFrame:
             F.col("tax_amount").alias("taxable_amount"),
         )
         .join(t["tax_types"].select("tax_type_id", "tax_name"), "tax_type_id")
-        .join(
-            totals.select(
-                F.col("trx_id").alias("tax_group_id"),
-                F.col("trx_line_id").alias("move_line_id"),
-                "organization_id",
-                "line_tax",
-            ),
-            ["tax_group_id", "move_line_id", "organization_id"],
-        )
-        .join(
-            factors.select(
-                "det_factor_id",
-                "hsn_code",
-                F.col("trx_id").alias("tax_trx_id"),
-                F.col("trx_line_id").alias("tax_trx_line_id"),
-            ),
-            "det_factor_id",
-        )
-    )
-    rows = moves.join(taxed, ["tax_group_id", "move_line_id", "organization_id"]).where(
-        (F.col("tax_trx_id") == F.col("transaction_batch_id")) & (F.col("tax_trx_line_id") == F.col("move_line_id"))
+        .join(totals, line_keys.columns)
+        .join(factors, [*line, "det_factor_id"])
     )
+    rows = moves.join(taxed, line_keys.columns).where(F.col("transaction_batch_id").isNotNull())
+    rows = rows.withColumnsRenamed({"trx_id": "tax_trx_id", "trx_line_id": "tax_trx_line_id"})
     open_transfers = t["transfers"].select(
         F.col("tax_invoice_no").alias("document_num"),
         "item_id",
@@ -132,14 +119,18 @@ def transfer_rows(t: Mapping[str, DataFrame]) -> DataFrame:
         "project",
         "mo_header_id",
     )
-    rows = open_transfers.join(rows, ["document_num", "item_id"])
     rows = rows.join(t["items"].select("item_id", "organization_id", "item_code", "item_name"), ["item_id", "organization_id"])
+    rows = rows.drop("det_factor_id", "transaction_batch_id", "transaction_set_id", "move_line_id")
+    placed = "document_num" if written else None
+    rows = open_transfers.join(rows.repartition(placed) if written else rows, ["document_num", "item_id"])
+    if written:
+        rows = cut_buckets(rows, placed)
     rows = _organisation(
         rows, t["organizations"], "owning_organization_id", "own",
-        ["gstin", "legal_name", "location_id", "org_id", "line_of_business"],
+        ["gstin", "legal_name", "location_id", "org_id", "line_of_business"], placed,
     )
     rows = _organisation(
-        rows, t["organizations"], "transfer_organization_id", "dest", ["gstin", "location_id", "reporting_code"]
+        rows, t["organizations"], "transfer_organization_id", "dest", ["gstin", "location_id", "reporting_code"], placed
     )
     rows = _with_amounts(rows, F.coalesce("actual_cost", F.lit(0)) * F.abs("move_quantity"), F.col("line_tax"))
     return rows.withColumns(
@@ -162,7 +153,7 @@ def transfer_rows(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def extract_transit(t: Mapping[str, DataFrame], recipient_email: str, rows: DataFrame | None = None) -> DataFrame:
-    """Physical transfers: no project and no move order behind them. `rows`: the shared transfer rows."""
+    """Physical transfers: no project and no move order behind them. `rows`: the shared transfer rows, written."""
     rows = (transfer_rows(t) if rows is None else rows).where(F.col("project").isNull() & F.col("mo_header_id").isNull())
     return _staged(
         rows.withColumns(
@@ -179,7 +170,7 @@ def extract_transit(t: Mapping[str, DataFrame], recipient_email: str, rows: Data
 
 def extract_inter(t: Mapping[str, DataFrame], recipient_email: str, rows: DataFrame | None = None) -> DataFrame:
     """Transfers ordered through a move order, distinct; contact and ship-to come from its header. `rows`: the
-    shared transfer rows."""
+    shared transfer rows, written."""
     orders = t["move_orders"].select(
         F.col("header_id").alias("mo_header_id"),
         F.col("phone").alias("recipient_phone_num"),
@@ -187,7 +178,12 @@ def extract_inter(t: Mapping[str, DataFrame], recipient_email: str, rows: DataFr
         F.col("location_id").alias("ship_to_location_id"),
         F.col("shipment_id").alias("order_shipment_id"),
     )
-    rows = (transfer_rows(t) if rows is None else rows).drop("poc_name").join(orders, "mo_header_id")
+    if rows is None:
+        rows = transfer_rows(t).drop("poc_name").join(orders, "mo_header_id")
+    else:
+        # they lie by document number: only the numbers and the ids of their orders move
+        ids = rows.select("document_num", "mo_header_id").where("mo_header_id IS NOT NULL").distinct()
+        rows = rows.drop("poc_name").join(ids.join(orders, "mo_header_id"), ["document_num", "mo_header_id"])
     return _staged(
         rows.withColumns(
             {

@@ -9,7 +9,7 @@ every scale; where rows must be absent, they are chosen by an attribute (balance
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -540,6 +540,16 @@ class Inputs:
                 self._frames[name] = cut_lineage(self[name])
                 self._stored.add(name)
 
+    def placed(self, views: Mapping[str, tuple[Sequence[str], Sequence[str]]]) -> Inputs:
+        """Inputs over the same folder of which these views are written once, in this order: view -> (columns, columns to bucket
+        by). What joins them on the latter reads them without a shuffle. The frames of this object stay as they are."""
+        own = Inputs(self.spark, self.folder)
+        for name, (columns, keys) in views.items():
+            # few files for each bucket, however the view's last join has left the rows
+            own._frames[name] = cut_buckets(own[name].select(*columns).repartition(*keys), *keys)
+            own._stored.add(name)
+        return own
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in VIEWS:

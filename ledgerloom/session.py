@@ -23,6 +23,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# whether the sides of a join have to lie by all its columns, or may lie by some of them
+PLACED_BY_ALL = "spark.sql.requireAllClusterKeysForCoPartition"
+
 
 @dataclass(frozen=True)
 class RunContext:
@@ -78,11 +81,17 @@ def fresh_path(spark: SparkSession) -> str:
 
 def cut_buckets(df: DataFrame, *keys: str) -> DataFrame:
     """As `cut_lineage`, but the rows stay together by the hash of `keys`: groupings by these and further columns, and joins
-    on them, read the table without a shuffle. Rows that come out of a join on the keys are written where they lie."""
+    on them, read the table without a shuffle. Rows that come out of a join on the keys are written where they lie. While they
+    are written, rows that lie by some of the columns of a join stay where they are."""
     spark = df.sparkSession
     path, name = fresh_path(spark), f"kept_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, *keys).option("path", path).option("compression", "zstd").saveAsTable(name)
+    all_columns = spark.conf.get(PLACED_BY_ALL, "true")
+    spark.conf.set(PLACED_BY_ALL, "false")
+    try:
+        df.write.bucketBy(buckets, *keys).option("path", path).option("compression", "zstd").saveAsTable(name)
+    finally:
+        spark.conf.set(PLACED_BY_ALL, all_columns)
     return spark.table(name)
 
 
