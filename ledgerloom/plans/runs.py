@@ -163,13 +163,12 @@ def run_extract(
         superseded = headers.superseded_rows(history, keyed, keys)
         history = headers.supersede(history, keyed, keys)
 
-    if receivable:
-        keyed = attach_attributes(keyed, t["customers"], "cust_id", {"pan": "recipient_pan"}, "cust_id")
-    keyed = cut_buckets(keyed.repartition(PLACED), PLACED)
     placed_lines = cut_buckets(lines.build_lines(stage, keyed, PLACED, keep_key=True), PLACED)
     placed_taxes = cut_buckets(lines.build_taxes(stage, keyed, placed_lines, PLACED, keep_key=True), PLACED)
     line_table, tax_table = placed_lines.drop(PLACED), placed_taxes.drop(PLACED)
-    enriched = headers.enrich_headers(keyed, t["locations"], t["lookup"], mode)
+    described = attach_attributes(keyed, t["customers"], "cust_id", {"pan": "recipient_pan"}, "cust_id") if receivable else keyed
+    described = cut_buckets(described.repartition(PLACED), PLACED)
+    enriched = headers.enrich_headers(described, t["locations"], t["lookup"], mode)
     facts = validate.document_facts(enriched, placed_lines, placed_taxes, key=DOCUMENT)
     if not receivable:
         transfers = t["transfers"].select(F.col("tax_invoice_no").alias("document_num"), "batch_id")

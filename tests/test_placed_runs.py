@@ -77,12 +77,25 @@ def test_lines_and_taxes_with_their_key(spark):
     assert rows_of(checks.drop("document_num")) == rows_of(reconcile.document_checks(plain, taxes))
 
 
+def test_lines_of_a_run_are_not_repeated_by_customers(spark):
+    """A customer that is listed twice gives a header twice, as it always did, but its lines once."""
+    i = Inputs(tune(spark), SMALL)
+    tables = whole_runs._tables(i, extracts.receivable_tables(i))
+    tables["customers"] = tables["customers"].unionByName(tables["customers"])
+    done = runs.run_extract(
+        tables, "receivable", whole_runs.RUN, 1000, extracts.DAYS, extracts.FLOOR, on_violation="exclude", note_codes=("O",)
+    )
+    lines_ = done.lines.select("transaction_id", "line_number")
+    assert 0 < lines_.count() == lines_.distinct().count()
+    assert done.headers.count() == 2 * done.headers.select("transaction_id").distinct().count()
+
+
 def test_documents_of_a_run_do_not_move(shuffled, monkeypatch):
     """Lines, taxes and facts are written from the staging rows where these lie: only keys and references are exchanged."""
     seen = []
     monkeypatch.setattr(runs, "cut_buckets", lambda df, *keys: seen.append((keys, df.columns)) or cut_buckets(df, *keys))
     done = whole_runs._transfer_run(Inputs(tune(shuffled), SMALL))
-    assert len(seen) == 6 and all(keys == ("document_num",) for keys, _ in seen)  # staging rows, headers, numbered ones, lines, taxes, facts
+    assert len(seen) == 6 and all(keys == ("document_num",) for keys, _ in seen)  # staging rows, headers, lines, taxes, numbered headers, facts
     assert "document_num" not in done.lines.columns and "document_num" not in done.taxes.columns
     number = done.headers.select("transaction_id", F.col("line_count").cast("long").alias("lines"))
     assert rows_of(done.lines.groupBy("transaction_id").agg(F.count("*").alias("lines"))) == rows_of(number)
