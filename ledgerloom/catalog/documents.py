@@ -33,8 +33,8 @@ def unique_headers(source):
 
 
 def run_headers(i):
-    """The header table for queries that join it more than once."""
-    return i.once("headers", lambda: unique_headers(stage(i)))
+    """Headers for queries that join them more than once: the columns that lines, taxes and checks read, kept by document."""
+    return i.once("headers", lambda: unique_headers(stage(i)).select("transaction_id", *DOCUMENT, "batch_id"), PLACED)
 
 
 def enriched(i, mode, missing_type="null", hdr=None):

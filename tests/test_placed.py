@@ -35,6 +35,65 @@ def test_lines_of_headers_are_numbered_without_moving(shuffled):
     assert plan(out).count("Exchange hashpartitioning") <= 1  # the keys of the headers
 
 
+def test_staging_rows_move_as_read(shuffled):
+    """Orders with their customers, and lines with their parts, move to the document before anything is derived from them."""
+    rows = plan(Inputs(tune(shuffled), SMALLEST)["fx_stage"]).splitlines()
+    depth = [len(r) - len(r.lstrip(" :+-")) for r in rows]
+
+    def moved(key):
+        """What lies below each exchange by this key."""
+        for at, row in enumerate(rows):
+            if f"Exchange hashpartitioning({key}#" in row:
+                end = next((k for k in range(at + 1, len(rows)) if depth[k] <= depth[at]), len(rows))
+                yield "\n".join(rows[at:end])
+
+    (documents_,) = moved("o_orderkey")
+    (lines_,) = (text for text in moved("l_orderkey") if "p_name" in text)
+    assert "c_name" in documents_ and "concat(" not in documents_
+    assert "concat(" not in lines_
+
+
+def test_staging_rows_are_those_of_the_view(spark, tmp_path, monkeypatch):
+    """Keys that repeat, are null or lead nowhere."""
+    day = "timestamp_ntz'2000-01-0{}'"
+    orders = [(k, c, "FOP"[(k or 0) % 3], 10.5, day.format((k or 0) % 9 + 1), "5-LOW") for k, c in
+              ((1, 1), (2, 1), (3, 2), (4, 3), (4, 3), (7, 2), (8, 9), (9, None), (None, 1), (11, 4), (12, 4), (13, 1))]
+    def literal(v):
+        return "NULL" if v is None else v if isinstance(v, str) and v.startswith("timestamp") else repr(v)
+    def table(name, columns, rows):
+        values = ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows)
+        cast = ", ".join(f"cast({c} AS {t}) AS {c}" for c, t in columns.items())
+        spark.sql(f"SELECT {cast} FROM VALUES {values} AS v({', '.join(columns)})").write.parquet(str(tmp_path / f"{name}.parquet"))
+    table("orders", dict(o_orderkey="long", o_custkey="long", o_orderstatus="string", o_totalprice="double", o_orderdate="timestamp_ntz", o_orderpriority="string"), orders)
+    table("customer", dict(c_custkey="long", c_name="string", c_nationkey="int", c_acctbal="double", c_mktsegment="string"),
+          [(1, "c1", 1, 1.0, "BUILDING"), (2, "c2", 2, 1.0, "MACHINERY"), (2, "c2 again", None, 1.0, None), (3, None, 3, 1.0, "HOUSEHOLD"),
+           (None, "none", 1, 1.0, "BUILDING"), (4, "c4", 1, None, "AUTOMOBILE")])
+    table("supplier", dict(s_suppkey="long", s_name="string", s_nationkey="int", s_acctbal="double"),
+          [(1, "s1", 1, 1.0), (2, "s2", 2, 1.0), (2, "s2 again", 1, 1.0), (None, "none", 1, 1.0)])
+    table("part", dict(p_partkey="long", p_name="string", p_brand="string", p_type="string", p_size="int", p_retailprice="double"),
+          [(1, "p1", "b", "t", 1, 9.99), (2, "p2", "b", "t", 7, None), (2, "p2 again", "b", "t", None, 5.25), (60, "p60", "b", "t", 4, 1.005), (None, "none", "b", "t", 1, 1.0)])
+    table("lineitem", dict(l_orderkey="long", l_partkey="long", l_suppkey="long", l_linenumber="int", l_quantity="double", l_extendedprice="double",
+                           l_tax="double", l_shipdate="timestamp_ntz"),
+          [(o, p, s, n, q, e, x, day.format(3)) for o, p, s, n, q, e, x in (
+              (1, 1, 1, 1, 5.0, 100.01, 0.05), (1, 2, 2, 2, None, 0.005, 0.08), (2, 60, 2, 1, 7.5, 12.345, None), (3, 1, None, 1, 1.0, 1.0, 0.01),
+              (4, 2, 2, 1, 2.0, None, 0.02), (4, 2, 2, 1, 2.0, None, 0.02), (5, 1, 1, 1, 1.0, 1.0, 0.0), (7, 9, 1, 1, 1.0, 1.0, 0.0), (7, None, 2, 2, 1.0, 1.0, 0.0),
+              (None, 1, 1, 1, 1.0, 1.0, 0.0), (11, 1, 1, 1, 3.0, 33.33, 0.07), (12, 1, 7, 1, 3.0, 33.33, 0.07), (13, 60, 1, None, 4.0, 44.4, 0.06))])
+    moved = Inputs(tune(spark), str(tmp_path))["fx_stage"]
+    monkeypatch.setattr("ledgerloom.plans.inputs.ARRIVED", {})
+    view = Inputs(tune(spark), str(tmp_path))["fx_stage"]
+    assert moved.dtypes == view.dtypes
+    assert rows_of(moved) == rows_of(view)
+    assert {r.document_id for r in moved.collect()} == {1, 2, 4, 11, 13}
+
+
+def test_headers_are_written_as_read(shuffled):
+    """Once and kept by document: lines do not wait for a move of the headers."""
+    i = Inputs(tune(shuffled), SMALLEST)
+    out = documents.line_rows(i)
+    assert i._frames["headers"].columns == ["transaction_id", "document_id", "document_num", "batch_id"]
+    assert "Exchange hashpartitioning" not in plan(out)
+
+
 def test_headers_do_not_move_to_their_facts(shuffled):
     i = Inputs(tune(shuffled), SMALLEST)
     text = plan(lines.without_duplicates(documents.all_headers(documents.stage(i)), placed=documents.PLACED))
