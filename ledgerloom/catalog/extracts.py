@@ -10,6 +10,7 @@ from ledgerloom.catalog.registry import RUN, RUN_TS, day_text, doubles, query
 from ledgerloom.operators import staging
 from ledgerloom.operators.lookups import check_code
 from ledgerloom.operators.reports import split_params
+from ledgerloom.session import cut_placed
 from ledgerloom.sources.sinks import report_line
 
 FLOOR = datetime(1996, 1, 1)
@@ -66,6 +67,16 @@ def receivable_tables(i, days=DAYS):
     }
 
 
+# what the views of the extracts take of the tables that they join on the document
+OF_HEADERS = "document_id document_num document_date document_type cust_id le_id batch_id query_type reprocess_flag priority".split()
+OF_LINES = "document_id item_id line_key quantity hsn_code base_amount tax_rate".split()
+DOCUMENT = ["document_id"]
+# view -> (columns, columns to bucket by), as the transfer extracts write them; the other views are joined from these
+PLACED_TRANSFERS = {
+    "fx_hdr": (OF_HEADERS, DOCUMENT), "fx_line": ([*OF_LINES, "price"], DOCUMENT),
+    "fx_invoice": (["document_id", "context", "org_id"], DOCUMENT),
+}
+
 TRANSFER_VIEWS = ["fx_transfer", "fx_move", "fx_move_order", "fx_tax_line", "fx_tax_factor", "fx_item", "fx_org"]
 WINDOW = f"""creation_date > date_trunc('day', timestamp '2001-08-01 00:00:00') - INTERVAL {DAYS} DAY
   AND creation_date >= timestamp '1996-01-01 00:00:00' AND coalesce(reprocess_flag, 'Y') = 'Y'"""
@@ -169,13 +180,15 @@ def extract_challan(i):
     f"SELECT {_money_sql(TRANSFER_OUT)} FROM ({TRANSIT_SQL} UNION ALL {INTER_SQL} UNION ALL {CHALLAN_SQL})",
 )
 def stage_union(i):
-    t = transfer_tables(i)
-    # the taxed extracts share their rows, as in a run
-    rows = i.once("transfer rows", lambda: staging.transfer_rows(t))
+    t = transfer_tables(i.placed(PLACED_TRANSFERS))
+    # the taxed extracts share their rows, as in a run; here these stay with their transactions
+    placed = "tax_trx_id"
+    rows = i.once("transfer rows", lambda: staging.transfer_rows(t), placed)
     staged = staging.stage_union(
-        staging.extract_transit(t, MAIL, rows), staging.extract_inter(t, MAIL, rows), staging.extract_challan(t, MAIL)
+        staging.extract_transit(t, MAIL, rows, placed), staging.extract_inter(t, MAIL, rows, placed),
+        staging.extract_challan(t, MAIL, placed=True),
     )
-    return _out(staged, TRANSFER_OUT)
+    return cut_placed(_out(staged, TRANSFER_OUT))
 
 
 INVOICE_VIEWS = [

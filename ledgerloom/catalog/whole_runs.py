@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog.documents import validated_sql
 from ledgerloom.catalog.extracts import (
-    CHALLAN_SQL, DAYS, DIRECT_SQL, FLOOR, INTER_SQL, INVOICE_VIEWS, MAIL, ORDER_SQL, TRANSFER_VIEWS, TRANSIT_SQL,
-    receivable_tables, transfer_tables,
+    CHALLAN_SQL, DAYS, DIRECT_SQL, DOCUMENT, FLOOR, INTER_SQL, INVOICE_VIEWS, MAIL, OF_HEADERS, OF_LINES, ORDER_SQL, PLACED_TRANSFERS,
+    TRANSFER_VIEWS, TRANSIT_SQL, receivable_tables, transfer_tables,
 )
 from ledgerloom.catalog.registry import RUN, doubles, query
 from ledgerloom.catalog.statuses import _MESSAGE, _message_code
@@ -81,9 +81,6 @@ TRANSFER_RUN, RECEIVABLE_RUN = [*TRANSFER_VIEWS, *SHARED_VIEWS, "fx_vpa"], [*INV
 RESULT_OUT = ["result_type", "result_message", "result_eligible", "result_id", "result_request", "reprocess_flag"]
 
 
-# what the views of a run take of the tables that they join on the document
-_OF_HEADERS = "document_id document_num document_date document_type cust_id le_id batch_id query_type reprocess_flag priority".split()
-_OF_LINES = "document_id item_id line_key quantity hsn_code base_amount tax_rate".split()
 _OF_INVOICES = (
     "document_id document_num document_date creation_date complete_flag reprocess_flag context cust_id ship_to_cust_id trx_type_id "
     "org_id legal_entity_id batch_id shipment_id document_type"
@@ -93,19 +90,15 @@ _OF_FACTORS = (
     "document_id document_num trx_id trx_line_id entity_code det_factor_id hsn_code sac_code organization_id org_id original_invoice_num "
     "original_invoice_date base_amount tax_rate"
 ).split()
-_DOCUMENT = ["document_id"]
 _ITEMS = (["item_id", "organization_id", "item_code", "item_name"], ["item_id", "organization_id"])
 
 
 # view -> (columns, columns to bucket by), as the runs write them; the other views are joined from these
 PLACED_VIEWS = {
-    "transfer": {
-        "fx_hdr": (_OF_HEADERS, _DOCUMENT), "fx_line": ([*_OF_LINES, "price"], _DOCUMENT),
-        "fx_invoice": (["document_id", "context", "org_id"], _DOCUMENT), "fx_item": _ITEMS,
-    },
+    "transfer": PLACED_TRANSFERS,
     "receivable": {
-        "fx_hdr": (_OF_HEADERS[:-1], _DOCUMENT), "fx_line": ([*_OF_LINES, "item_name", "source_line"], _DOCUMENT),
-        "fx_invoice": (_OF_INVOICES, _DOCUMENT), "fx_tax_factor": (_OF_FACTORS, _DOCUMENT), "fx_item": _ITEMS,
+        "fx_hdr": (OF_HEADERS[:-1], DOCUMENT), "fx_line": ([*OF_LINES, "item_name", "source_line"], DOCUMENT),
+        "fx_invoice": (_OF_INVOICES, DOCUMENT), "fx_tax_factor": (_OF_FACTORS, DOCUMENT), "fx_item": _ITEMS,
     },
 }
 

@@ -74,14 +74,16 @@ def membership(
 
 
 def attach_attributes(
-    df: DataFrame, dim: DataFrame, key: str, columns: Mapping[str, str], dim_key: str, placed: str | None = None
+    df: DataFrame, dim: DataFrame, key: str, columns: Mapping[str, str], dim_key: str, placed: str | None = None,
+    written: DataFrame | None = None,
 ) -> DataFrame:
     """Attributes of an entity by id; `columns` maps dimension column -> result column. `placed`: a column that the rows lie
-    by, and that none lacks; then only its values and the ids move, and the rows themselves stay where they are."""
+    by, and that none lacks; then only its values and the ids move, and the rows themselves stay where they are. `written`: a
+    written table that has these values and ids, if the rows themselves come out of further joins."""
     side = dim.select(F.col(dim_key).alias("_id"), *[F.col(c).alias(n) for c, n in columns.items()])
     if placed is not None:
-        ids = df.select(placed, F.col(key).alias("_id")).where(F.col("_id").isNotNull()).distinct()
-        found = ids.join(side, "_id").withColumnRenamed("_id", key)
+        ids = (df if written is None else written).select(placed, F.col(key).alias("_id")).where(F.col("_id").isNotNull()).distinct()
+        found = ids.join(side, "_id").withColumnRenamed("_id", key).repartition(placed)
         return df.join(found, [placed, key], "left").select(*df.columns, *columns.values())
     return df.join(side, F.col(key) == F.col("_id"), "left").drop("_id")
 

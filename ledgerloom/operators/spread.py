@@ -68,6 +68,14 @@ def join_placed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return joined.drop(*[f"_of_{k}" for k in keys])
 
 
+def join_where_placed(df: DataFrame, side: DataFrame, keys: Sequence[str], placed: str, written: DataFrame | None = None) -> DataFrame:
+    """Inner join on `keys` of rows that lie by the column `placed`, which none lacks: its values move with the keys to the other
+    side and come back with what they found there; the rows themselves stay where they are. `written`: a written table that has
+    these values and keys, if the rows themselves come out of further joins."""
+    ids = (df if written is None else written).select(placed, *keys).distinct()
+    return df.join(ids.join(side, list(keys)).repartition(placed), [placed, *keys])
+
+
 def spread_nulls(df: DataFrame, column: str, into: str, slots: int = SALTS) -> DataFrame:
     """String join key whose NULLs are replaced by `slots` values that match nothing, so that a left join
     does not send all rows without a key to one task."""

@@ -6,13 +6,13 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.moments import at, midnight
 from ledgerloom.functions.text import as_col
 from ledgerloom.operators.lookups import attach_attributes, lookup_rows
-from ledgerloom.operators.spread import spread_nulls
+from ledgerloom.operators.spread import join_where_placed, spread_nulls
 from ledgerloom.session import RunContext, cut_buckets, cut_lineage
 
 TRANSFER_ENTITY, ORDER_ENTITY, INVOICE_ENTITY = "MTL_TRANSACTION", "OE_ORDER_HEADERS", "TRANSACTIONS"
@@ -39,15 +39,19 @@ def recent_window(
     )
 
 
-def line_tax_total(taxes: DataFrame, keys: Sequence[str], amount: str = "tax_amount") -> DataFrame:
-    """Tax of one source line over all its tax rows; grouped once instead of asked per row."""
+def line_tax_total(taxes: DataFrame, keys: Sequence[str], amount: str = "tax_amount", beside: bool = False) -> DataFrame:
+    """Tax of one source line over all its tax rows; grouped once instead of asked per row. `beside`: on each of these rows,
+    so that the rows are read once for themselves and for their totals."""
+    if beside:
+        return taxes.withColumn("line_tax", F.sum(amount).over(Window.partitionBy(*keys)))
     return taxes.groupBy(*keys).agg(F.sum(amount).alias("line_tax"))
 
 
 def _organisation(
-    df: DataFrame, orgs: DataFrame, key: str, prefix: str, columns: Sequence[str], placed: str | None = None
+    df: DataFrame, orgs: DataFrame, key: str, prefix: str, columns: Sequence[str], placed: str | None = None,
+    written: DataFrame | None = None,
 ) -> DataFrame:
-    return attach_attributes(df, orgs, key, {c: f"{prefix}_{c}" for c in columns}, "organization_id", placed)
+    return attach_attributes(df, orgs, key, {c: f"{prefix}_{c}" for c in columns}, "organization_id", placed, written)
 
 
 def _with_amounts(df: DataFrame, base: Column, tax: Column) -> DataFrame:
@@ -75,42 +79,15 @@ def _staged(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in STAGE_COLUMNS if c in df.columns])
 
 
-def transfer_rows(t: Mapping[str, DataFrame], written: bool = False) -> DataFrame:
+def transfer_rows(t: Mapping[str, DataFrame], written: bool = False, also: Sequence[str] = ()) -> DataFrame:
     """Open transfers x stock moves x tax rows, shared by the two taxed transfer extracts.
 
-    The open transfers name the documents, these the tax lines, and their keys reduce moves, tax totals and
-    determination rows before any of the histories is grouped or joined. The tax lines are written where their lines lie, so
-    that histories move once and the rows of the open lines not at all. `written`: the rows are written, too, and lie by document
-    number; their organisations are looked up once for each document."""
-    documents = t["transfers"].select(F.col("tax_invoice_no").alias("tax_invoice_num")).where("tax_invoice_num IS NOT NULL").distinct()
-    history = t["tax_lines"].where(F.col("entity_code") == TRANSFER_ENTITY)
-    line = ["trx_id", "trx_line_id"]
-    taxes = cut_buckets(history.join(documents, "tax_invoice_num", "left_semi").repartition(*line), *line)  # few rows, read four times
-    line_keys = taxes.select(*line, "organization_id").distinct()
-    moves = t["stock_moves"].withColumns(
-        {"trx_id": F.coalesce("transaction_batch_id", "transaction_set_id"), "trx_line_id": F.col("move_line_id")}
-    ).join(line_keys, line_keys.columns, "left_semi")
-    totals = line_tax_total(history.join(line_keys, line_keys.columns, "left_semi"), line_keys.columns)
-    # a move has the determination rows of its batch; its tax lines have the batch's id if it is in one
-    factors = t["tax_factors"].where(F.col("entity_code") == TRANSFER_ENTITY).select(*line, "det_factor_id", "hsn_code").join(
-        taxes.select(*line, "det_factor_id").distinct(), [*line, "det_factor_id"], "left_semi"
-    )
-    taxed = (
-        taxes.select(
-            *line,
-            "organization_id",
-            "det_factor_id",
-            F.col("tax_invoice_num").alias("document_num"),
-            "tax_type_id",
-            "tax_rate",
-            F.col("tax_amount").alias("taxable_amount"),
-        )
-        .join(t["tax_types"].select("tax_type_id", "tax_name"), "tax_type_id")
-        .join(totals, line_keys.columns)
-        .join(factors, [*line, "det_factor_id"])
-    )
-    rows = moves.join(taxed, line_keys.columns).where(F.col("transaction_batch_id").isNotNull())
-    rows = rows.withColumnsRenamed({"trx_id": "tax_trx_id", "trx_line_id": "tax_trx_line_id"})
+    The open transfers name the documents, these the transactions that bear their numbers, and the transactions reduce tax lines,
+    moves and determination rows before any of the histories is grouped or joined. Each history moves once, to its
+    transaction, where all of them are joined; the open transfers move there, too. `written`: the rows move to the
+    document number instead, before they meet the open transfers, and are written to lie by it. What items, organisations and
+    orders tell of the rows is left to the extracts. `also`: further columns of the transfers."""
+    line, determined = ["trx_id", "trx_line_id", "organization_id"], ["trx_id", "trx_line_id", "det_factor_id"]
     open_transfers = t["transfers"].select(
         F.col("tax_invoice_no").alias("document_num"),
         "item_id",
@@ -118,19 +95,56 @@ def transfer_rows(t: Mapping[str, DataFrame], written: bool = False) -> DataFram
         "poc_no",
         "project",
         "mo_header_id",
+        *also,
+    ).where("document_num IS NOT NULL")
+    history = t["tax_lines"].where(F.col("entity_code") == TRANSFER_ENTITY).withColumnRenamed("tax_invoice_num", "document_num")
+    numbers = history.select("trx_id", "document_num").where("trx_id IS NOT NULL").distinct()
+    documents = open_transfers.select("document_num").distinct()
+    numbers = cut_buckets(numbers.join(documents, "document_num", "left_semi").repartition("trx_id"), "trx_id")  # read three times
+
+    def of_open_transactions(rows: DataFrame) -> DataFrame:
+        return rows.repartition("trx_id").join(numbers.select("trx_id"), "trx_id", "left_semi")
+
+    taxes = of_open_transactions(
+        history.select(*line, "det_factor_id", "document_num", "tax_type_id", "tax_rate", F.col("tax_amount").alias("taxable_amount"))
+    )
+    # a line's total is that of all its rows, whatever their numbers
+    taxes = line_tax_total(taxes, line, "taxable_amount", beside=True).join(numbers, ["trx_id", "document_num"], "left_semi")
+    # a move has the determination rows of its batch; its tax lines have the batch's id if it is in one
+    factors = of_open_transactions(
+        t["tax_factors"].where(F.col("entity_code") == TRANSFER_ENTITY).select(*determined, "hsn_code")
+    )
+    moves = of_open_transactions(
+        t["stock_moves"].withColumns(
+            {"trx_id": F.coalesce("transaction_batch_id", "transaction_set_id"), "trx_line_id": F.col("move_line_id")}
+        ).where("transaction_batch_id IS NOT NULL").drop("transaction_batch_id", "transaction_set_id", "move_line_id")
+    )
+    rows = (
+        taxes.join(t["tax_types"].select("tax_type_id", "tax_name"), "tax_type_id")
+        .join(factors, determined)
+        .drop("det_factor_id")
+        .join(moves, line)
     )
-    rows = rows.join(t["items"].select("item_id", "organization_id", "item_code", "item_name"), ["item_id", "organization_id"])
-    rows = rows.drop("det_factor_id", "transaction_batch_id", "transaction_set_id", "move_line_id")
-    placed = "document_num" if written else None
-    rows = open_transfers.join(rows.repartition(placed) if written else rows, ["document_num", "item_id"])
     if written:
-        rows = cut_buckets(rows, placed)
+        rows = rows.repartition("document_num").join(open_transfers, ["document_num", "item_id"])
+    else:
+        open_transfers = numbers.join(open_transfers, "document_num").repartition("trx_id")
+        rows = rows.join(open_transfers, ["trx_id", "document_num", "item_id"])
+    rows = rows.withColumnsRenamed({"trx_id": "tax_trx_id", "trx_line_id": "tax_trx_line_id"})
+    return cut_buckets(rows, "document_num") if written else rows
+
+
+def _described(rows: DataFrame, t: Mapping[str, DataFrame], placed: str | None, written: DataFrame | None = None) -> DataFrame:
+    """Transfer rows with their items, organisations and amounts. `placed`: the column that rows lie by which were `written`."""
+    items, item = t["items"].select("item_id", "organization_id", "item_code", "item_name"), ["item_id", "organization_id"]
+    written = rows if written is None else written
+    rows = rows.join(items, item) if placed is None else join_where_placed(rows, items, item, placed, written)
     rows = _organisation(
         rows, t["organizations"], "owning_organization_id", "own",
-        ["gstin", "legal_name", "location_id", "org_id", "line_of_business"], placed,
+        ["gstin", "legal_name", "location_id", "org_id", "line_of_business"], placed, written,
     )
     rows = _organisation(
-        rows, t["organizations"], "transfer_organization_id", "dest", ["gstin", "location_id", "reporting_code"], placed
+        rows, t["organizations"], "transfer_organization_id", "dest", ["gstin", "location_id", "reporting_code"], placed, written
     )
     rows = _with_amounts(rows, F.coalesce("actual_cost", F.lit(0)) * F.abs("move_quantity"), F.col("line_tax"))
     return rows.withColumns(
@@ -152,9 +166,15 @@ def transfer_rows(t: Mapping[str, DataFrame], written: bool = False) -> DataFram
     )
 
 
-def extract_transit(t: Mapping[str, DataFrame], recipient_email: str, rows: DataFrame | None = None) -> DataFrame:
-    """Physical transfers: no project and no move order behind them. `rows`: the shared transfer rows, written."""
-    rows = (transfer_rows(t) if rows is None else rows).where(F.col("project").isNull() & F.col("mo_header_id").isNull())
+def extract_transit(
+    t: Mapping[str, DataFrame], recipient_email: str, rows: DataFrame | None = None, placed: str = "document_num"
+) -> DataFrame:
+    """Physical transfers: no project and no move order behind them. `rows`: the shared transfer rows, written to lie by `placed`."""
+    own = F.col("project").isNull() & F.col("mo_header_id").isNull()
+    if rows is None:
+        rows = _described(transfer_rows(dict(t) | {"transfers": t["transfers"].where(own)}), t, None)
+    else:
+        rows = _described(rows.where(own), t, placed)
     return _staged(
         rows.withColumns(
             {
@@ -168,9 +188,11 @@ def extract_transit(t: Mapping[str, DataFrame], recipient_email: str, rows: Data
     )
 
 
-def extract_inter(t: Mapping[str, DataFrame], recipient_email: str, rows: DataFrame | None = None) -> DataFrame:
+def extract_inter(
+    t: Mapping[str, DataFrame], recipient_email: str, rows: DataFrame | None = None, placed: str = "document_num"
+) -> DataFrame:
     """Transfers ordered through a move order, distinct; contact and ship-to come from its header. `rows`: the
-    shared transfer rows, written."""
+    shared transfer rows, written to lie by `placed`."""
     orders = t["move_orders"].select(
         F.col("header_id").alias("mo_header_id"),
         F.col("phone").alias("recipient_phone_num"),
@@ -179,11 +201,13 @@ def extract_inter(t: Mapping[str, DataFrame], recipient_email: str, rows: DataFr
         F.col("shipment_id").alias("order_shipment_id"),
     )
     if rows is None:
-        rows = transfer_rows(t).drop("poc_name").join(orders, "mo_header_id")
+        # the orders meet the open transfers, before these are joined with anything else
+        ordered = dict(t) | {"transfers": t["transfers"].join(orders, "mo_header_id")}
+        rows = _described(transfer_rows(ordered, also=orders.columns[1:]).drop("poc_name"), t, None)
     else:
-        # they lie by document number: only the numbers and the ids of their orders move
-        ids = rows.select("document_num", "mo_header_id").where("mo_header_id IS NOT NULL").distinct()
-        rows = rows.drop("poc_name").join(ids.join(orders, "mo_header_id"), ["document_num", "mo_header_id"])
+        # only the keys of the rows and the ids of their orders move
+        written = rows.where("mo_header_id IS NOT NULL")
+        rows = _described(join_where_placed(written.drop("poc_name"), orders, ["mo_header_id"], placed, written), t, placed, written)
     return _staged(
         rows.withColumns(
             {
@@ -195,8 +219,9 @@ def extract_inter(t: Mapping[str, DataFrame], recipient_email: str, rows: DataFr
     ).distinct()
 
 
-def extract_challan(t: Mapping[str, DataFrame], recipient_email: str) -> DataFrame:
-    """Delivery challans: a challan number, no invoice number, no destination warehouse; untaxed."""
+def extract_challan(t: Mapping[str, DataFrame], recipient_email: str, placed: bool = False) -> DataFrame:
+    """Delivery challans: a challan number, no invoice number, no destination warehouse; untaxed. `placed`: the rows lie by
+    the challan number, and only the keys of orders and items move; the transfers, a written table, are read three times."""
     source = t["transfers"].where(
         F.col("tax_invoice_no").isNull() & F.col("del_challan_num").isNotNull() & F.col("to_warehouse_id").isNull()
     )
@@ -208,11 +233,16 @@ def extract_challan(t: Mapping[str, DataFrame], recipient_email: str) -> DataFra
         "shipment_id",
         F.col("organization_id").alias("owning_organization_id"),
     )
-    items = t["items"].select("item_id", F.col("organization_id").alias("from_warehouse_id"), "item_code", "item_name")
-    rows = source.join(orders, "mo_header_id").join(items, ["item_id", "from_warehouse_id"])
+    source = source.withColumnsRenamed({"from_warehouse_id": "organization_id", "del_challan_num": "document_num"})
+    items, item = t["items"].select("item_id", "organization_id", "item_code", "item_name"), ["item_id", "organization_id"]
+    if placed:
+        rows = join_where_placed(source.repartition("document_num"), orders, ["mo_header_id"], "document_num", source)
+        rows = join_where_placed(rows, items, item, "document_num", source)
+    else:
+        rows = source.join(orders, "mo_header_id").join(items, item)
     rows = _organisation(
-        rows, t["organizations"], "from_warehouse_id", "own",
-        ["gstin", "legal_name", "location_id", "org_id", "line_of_business"],
+        rows, t["organizations"], "organization_id", "own",
+        ["gstin", "legal_name", "location_id", "org_id", "line_of_business"], "document_num" if placed else None, source,
     )
     rows = _with_amounts(rows, F.coalesce("material_cost", F.lit(0)) * F.abs("quantity"), F.lit(0))
     return _staged(
@@ -227,7 +257,6 @@ def extract_challan(t: Mapping[str, DataFrame], recipient_email: str) -> DataFra
                 "line_of_business": F.col("own_line_of_business"),
                 "ship_to_location_id": F.col("recipient_location_id"),
                 "recipient_email": F.lit(recipient_email),
-                "document_num": F.col("del_challan_num"),
                 "document_date": F.col("creation_date"),
                 "document_type_code": F.lit("Regular"),
                 "price": F.col("material_cost"),

@@ -56,7 +56,8 @@ def stage_transfers(t: Mapping[str, DataFrame], run: RunContext, days: int, floo
     }
     rows = staging.transfer_rows(gated, written=True)
     return staging.stage_union(
-        staging.extract_transit(gated, mail, rows), staging.extract_inter(gated, mail, rows), staging.extract_challan(gated, mail)
+        staging.extract_transit(gated, mail, rows), staging.extract_inter(gated, mail, rows),
+        staging.extract_challan(gated, mail, placed=True),
     )
 
 

@@ -79,6 +79,17 @@ def fresh_path(spark: SparkSession) -> str:
     return f"{_OWNED.get() or shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def placed_by_some(spark: SparkSession) -> Iterator[None]:
+    """Inside, rows that lie by some of the columns of a join stay where they are."""
+    before = spark.conf.get(PLACED_BY_ALL, "true")
+    spark.conf.set(PLACED_BY_ALL, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(PLACED_BY_ALL, before)
+
+
 def cut_buckets(df: DataFrame, *keys: str) -> DataFrame:
     """As `cut_lineage`, but the rows stay together by the hash of `keys`: groupings by these and further columns, and joins
     on them, read the table without a shuffle. Rows that come out of a join on the keys are written where they lie. While they
@@ -86,15 +97,17 @@ def cut_buckets(df: DataFrame, *keys: str) -> DataFrame:
     spark = df.sparkSession
     path, name = fresh_path(spark), f"kept_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    all_columns = spark.conf.get(PLACED_BY_ALL, "true")
-    spark.conf.set(PLACED_BY_ALL, "false")
-    try:
+    with placed_by_some(spark):
         df.write.bucketBy(buckets, *keys).option("path", path).option("compression", "zstd").saveAsTable(name)
-    finally:
-        spark.conf.set(PLACED_BY_ALL, all_columns)
     return spark.table(name)
 
 
+def cut_placed(df: DataFrame) -> DataFrame:
+    """As `cut_lineage`, but while the rows are written, those that lie by some of the columns of a join stay where they are."""
+    with placed_by_some(df.sparkSession):
+        return cut_lineage(df)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows once as a columnar table in the shared folder and go on from there.
 
