@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.moments import iso_day
 from ledgerloom.functions.text import decode
 from ledgerloom.operators.lookups import translate
-from ledgerloom.operators.spread import number_rows
+from ledgerloom.operators.spread import number_placed, number_rows
 
 HEADER_COLUMNS = (
     "supplier_gstin supplier_legal_name supplier_location_id sez_unit recipient_gstin recipient_location_id "
@@ -50,8 +50,14 @@ def build_headers(stage: DataFrame, request_id: int | None, columns: Sequence[st
     return headers.withColumns(added)
 
 
-def assign_ids(df: DataFrame, start: int, order_by: Sequence[str], into: str = "transaction_id") -> DataFrame:
-    """Surrogate key continuing after a high-water mark (`start` is the first id given)."""
+def assign_ids(
+    df: DataFrame, start: int, order_by: Sequence[str], into: str = "transaction_id", placed: bool = False
+) -> DataFrame:
+    """Surrogate key continuing after a high-water mark (`start` is the first id given). `placed`: the rows lie by the one
+    column of the order, and stay there."""
+    if placed:
+        (key,) = order_by
+        return number_placed(df, key, into, start)
     return number_rows(df, order_by, into, start=start)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import cut_buckets, cut_lineage
 
 SALTS = 64
 
@@ -55,6 +55,16 @@ def number_rows(
     return placed.join(F.broadcast(carried), on, "left").select(*df.columns, number.cast("long").alias(into))
 
 
+def number_placed(df: DataFrame, key: str, into: str, start: int = 1) -> DataFrame:
+    """Consecutive numbers in the order of `key`, by which the rows lie: the keys alone are numbered, the rows stay where they
+    are. Rows of one key are numbered in the order of all their columns; those without a key come first."""
+    numbers = number_rows(df.select(key), [key], "_first", start=start).groupBy(key).agg(F.min("_first").alias("_first"))
+    numbers = cut_buckets(numbers.where(F.col(key).isNotNull()).repartition(key), key)
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*[c for c in df.columns if c != key]))
+    number = F.coalesce("_first", F.lit(start)) + place - F.lit(1)
+    return df.join(numbers, key, "left").select(*df.columns, number.cast("long").alias(into))
+
+
 def join_placed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal `keys`, of which the first alone places the rows, so a side that already lies by it does not move. The
     other keys are compared as a range of one value: an equality would become a further key of the exchange."""

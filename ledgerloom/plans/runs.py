@@ -155,7 +155,7 @@ def run_extract(
     quarantine = lines.quarantined(stage, *left_out) if left_out else stage.where("false")
     for rows in left_out:
         built = built.join(rows.select("document_num"), "document_num", "left_anti")
-    keyed = headers.assign_ids(built, first_id, ["document_num"])  # already written by the numbering
+    keyed = headers.assign_ids(built, first_id, [PLACED], placed=True)
     superseded, keys = None, {}
     if history is not None:
         keys = {"document_num": None, "batch_id": 1}
@@ -167,8 +167,10 @@ def run_extract(
     placed_lines = cut_buckets(lines.build_lines(stage, keyed, PLACED, keep_key=True), PLACED)
     placed_taxes = cut_buckets(lines.build_taxes(stage, keyed, placed_lines, PLACED, keep_key=True), PLACED)
     line_table, tax_table = placed_lines.drop(PLACED), placed_taxes.drop(PLACED)
-    described = attach_attributes(keyed, t["customers"], "cust_id", {"pan": "recipient_pan"}, "cust_id") if receivable else keyed
-    described = cut_buckets(described.repartition(PLACED), PLACED)
+    described = keyed
+    if receivable:
+        described = attach_attributes(keyed, t["customers"], "cust_id", {"pan": "recipient_pan"}, "cust_id").repartition(PLACED)
+    described = cut_buckets(described, PLACED)
     enriched = headers.enrich_headers(described, t["locations"], t["lookup"], mode)
     facts = validate.document_facts(enriched, placed_lines, placed_taxes, key=DOCUMENT)
     if not receivable:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog import extracts
 from ledgerloom.operators import staging
+from ledgerloom.operators.spread import number_placed, number_rows
 from ledgerloom.plans import inputs as views
 from ledgerloom.plans.inputs import Inputs
 from ledgerloom.session import PLACED_BY_ALL, cut_buckets, cut_placed, placed_by_some, tune
@@ -148,3 +149,20 @@ def test_items_and_lines_are_those_of_their_views(spark):
     assert i["fx_item"].dtypes == item.dtypes and rows_of(i["fx_item"]) == rows_of(item) and item.count() == 3
     line = i._read(views.PLACED_TEXT["fx_line"])
     assert line.dtypes == i["fx_line"].dtypes and rows_of(line) == rows_of(i["fx_line"]) and line.count() == 11
+
+
+def test_numbers_of_rows_that_stay(spark):
+    """Headers do not move for their ids; rows of one key, or of none, are told apart."""
+    tune(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        some = spark.range(200).select(F.concat(F.lit("D"), F.col("id") * 7 % 200).alias("k"), F.col("id").alias("v"))
+        df = cut_buckets(some.repartition("k"), "k")
+        placed = number_placed(df, "k", "n", start=1000)
+        assert "Exchange" not in plan(placed)
+        assert placed.columns == ["k", "v", "n"] and rows_of(placed) == rows_of(number_rows(df, ["k"], "n", start=1000))
+        odd = spark.createDataFrame([("b", 1), ("a", 2), (None, 3), ("b", 4), (None, 5), ("c", None)], "k string, v int")
+        out = number_placed(cut_buckets(odd.repartition("k"), "k"), "k", "n", start=5).collect()
+        assert sorted((r.n, r.k, r.v) for r in out) == [(5, None, 3), (6, None, 5), (7, "a", 2), (8, "b", 1), (9, "b", 4), (10, "c", None)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
