@@ -162,7 +162,7 @@ def extract_transit(i):
 
 @query("q_extract_inter", TRANSFER_VIEWS, f"SELECT {_money_sql(TRANSFER_OUT)} FROM ({INTER_SQL})")
 def extract_inter(i):
-    return _out(staging.extract_inter(transfer_tables(i), MAIL), TRANSFER_OUT)
+    return cut_placed(_out(staging.extract_inter(transfer_tables(i.placed(PLACED_TRANSFERS)), MAIL), TRANSFER_OUT))
 
 
 CHALLAN_OUT = [c for c in TRANSFER_OUT if c not in (

@@ -53,6 +53,13 @@ def test_union_moves_keys_alone(shuffled, monkeypatch):
     assert keys and max(map(len, keys)) <= 3  # placement and the two keys of an item, made distinct
 
 
+@pytest.mark.parametrize("build", [extracts.extract_inter])
+def test_taxed_extract_moves_by_one_column(shuffled, monkeypatch, build):
+    keys = result_plan(monkeypatch, build, shuffled)
+    assert keys and all(len(k) == 1 for k in keys)
+    assert keys.count(["trx_id"]) <= 5  # tax lines, determination rows, moves, open transfers, and their numbers
+
+
 HAND_MADE = {
     "fx_transfer": ("tax_invoice_no string, del_challan_num string, batch_id long, item_id long, creation_date timestamp_ntz, reprocess_flag string, "
                     "project string, mo_header_id long, poc_no string, material_cost decimal(12,2), quantity decimal(12,2), from_warehouse_id long, "
