@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.documents import CATEGORY_SQL, DOCUMENT, STAGE_VIEWS, categorized, run_headers, stage
+from ledgerloom.catalog.documents import CATEGORY_SQL, DOCUMENT, PLACED, STAGE_VIEWS, categorized, run_headers, stage
 from ledgerloom.catalog.registry import RUN_TS, doubles, query
 from ledgerloom.operators import lines, recipients, reports
 
@@ -152,8 +152,8 @@ def printable(i):
         "irn": F.concat(F.lit("IRN"), key), "ack_number": F.concat(F.lit("ACK"), key % 1000), "ack_date": F.col("document_date"),
         "shipment_id": F.concat(F.lit("S"), "document_num"), "eway_bill_number": F.when(key % 3 != 0, F.concat(F.lit("EW"), key)),
     }
-    # the header table of a finished run is a written table; its long codes are made where they are read
-    written = i.once("printable", lambda: categorized(i, "receivable").withColumns({"status_code": done, "_coded": coded} | answer))
+    # the header table of a finished run is a written table, kept by id; its long codes are made where they are read
+    written = i.once("printable", lambda: categorized(i, "receivable").withColumns({"status_code": done, "_coded": coded} | answer), "transaction_id")
     return written.withColumn("signed_code", F.when(F.col("_coded"), text)).drop("_coded")
 
 
@@ -214,10 +214,10 @@ FROM sel h JOIN ln l ON l.transaction_id = h.transaction_id JOIN tx t ON t.trans
 )
 def q_print_detail(i):
     hdr, base = printable(i), run_headers(i)
-    built = i.once("lines", lambda: lines.build_lines(stage(i), base, DOCUMENT))
-    taxes = lines.build_taxes(stage(i), base, built, DOCUMENT)
+    built = i.once("lines", lambda: lines.build_lines(stage(i), base, DOCUMENT, keep_key=True), PLACED)
+    taxes = lines.build_taxes(stage(i), base, built, DOCUMENT, keep_key=True)
     selected = reports.select_documents(hdr, number_list(i), "Multiple Invoices", i["fx_lookup"], "TRANSFER")
-    out = reports.print_detail(hdr, built, taxes, selected, footer="No sale")
+    out = reports.print_detail(hdr, built, taxes, selected, footer="No sale", placed=PLACED)
     return doubles(out, *_AMOUNTS).select(*PRINT_OUT)
 
 

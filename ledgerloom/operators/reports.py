@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.moments import day_range, stamp, within_days
 from ledgerloom.functions.text import cat, decode, given_or_column, strip_breaks
 from ledgerloom.operators.lookups import attach_attributes, lookup_rows
-from ledgerloom.operators.spread import first_rows
+from ledgerloom.operators.spread import first_rows, join_placed
+from ledgerloom.session import cut_buckets
 
 # Report separators, caps, texts and titles
 TEXT_CAP = 4000
@@ -207,10 +208,12 @@ ANSWERED = "irn ack_number ack_date eway_bill_number shipment_id shipment_num".s
 
 def print_detail(
     headers: DataFrame, lines: DataFrame, taxes: DataFrame, selected: DataFrame, footer: str | None = None,
-    code_prefix: str = "data:image/png;base64,",
+    code_prefix: str = "data:image/png;base64,", placed: str | None = None,
 ) -> DataFrame:
     """Print rows of the selected documents, one per line and tax. Headers with their long codes move once and are never
-    sorted: the ids and the details of a partition are hashed, the headers stream past them."""
+    sorted: the ids and the details of a partition are hashed, the headers stream past them. `placed`: a column of headers, lines
+    and taxes that none lacks and the latter two lie by; then lines and taxes stay where they are, and the details are written
+    to lie by the id, as headers may do that do not move, either."""
     comma = F.lit(",")
 
     def joined(*columns: str):
@@ -221,11 +224,12 @@ def print_detail(
 
     rounded = lambda c: F.round(F.col(c), 2)
     code = F.replace(F.col("signed_code"), F.lit(code_prefix), F.lit(""))
+    on = ["transaction_id"] if placed is None else [placed, "transaction_id"]
     header = (
         headers.where((F.col("status_code") == "SUCCESS") & (F.col("eligible_flag") == "Y"))
         .join(selected.select("transaction_id").distinct().hint("shuffle_hash"), "transaction_id", "left_semi")
         .select(
-            "transaction_id",
+            *on,
             F.substring(code, 1, TEXT_CAP).alias("code_1"),
             F.nullif(F.expr(f"substring(replace(signed_code, '{code_prefix}', ''), {TEXT_CAP + 1})"), F.lit("")).alias("code_2"),
             "document_num",
@@ -248,15 +252,17 @@ def print_detail(
             F.lit(footer).cast("string").alias("footer"),
         )
     )
-    ids = header.select("transaction_id")
-    detail = lines.join(ids, "transaction_id", "left_semi").select(
-        "transaction_id", "line_number", "item_code", "item_name", F.col("hsn_code").alias("hsn"), "quantity",
+    ids = header.select(*on)
+    detail = join_placed(lines, ids, on, "left_semi").select(
+        *on, "line_number", "item_code", "item_name", F.col("hsn_code").alias("hsn"), "quantity",
         rounded("base_amount").alias("line_base_amount"), rounded("tax_amount").alias("line_tax_amount"),
         rounded("gross_amount").alias("line_total_amount"),
     ).join(
-        taxes.join(ids, "transaction_id", "left_semi").select("transaction_id", "line_number", cat(F.col("tax_name"), "-", F.col("tax_rate").cast("string")).alias("tax_code")),
-        ["transaction_id", "line_number"],
+        join_placed(taxes, ids, on, "left_semi").select(*on, "line_number", cat(F.col("tax_name"), "-", F.col("tax_rate").cast("string")).alias("tax_code")),
+        [*on, "line_number"],
     )
+    if placed is not None:
+        header, detail = header.drop(placed), cut_buckets(detail.drop(placed), "transaction_id")
     return header.join(detail.hint("shuffle_hash"), "transaction_id")
 
 

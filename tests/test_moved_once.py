@@ -6,8 +6,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog import extracts
-from ledgerloom.operators import staging
+from ledgerloom.catalog import documents, extracts, reporting
+from ledgerloom.operators import lines, reports, staging
 from ledgerloom.operators.spread import number_placed, number_rows
 from ledgerloom.plans import inputs as views
 from ledgerloom.plans.inputs import Inputs
@@ -173,3 +173,19 @@ def test_numbers_of_rows_that_stay(spark):
         assert sorted((r.n, r.k, r.v) for r in out) == [(5, None, 3), (6, None, 5), (7, "a", 2), (8, "b", 1), (9, "b", 4), (10, "c", None)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_print_moves_ids_alone(shuffled):
+    i = Inputs(tune(shuffled), SMALL)
+    out = reporting.q_print_detail(i)
+    # the ids of the selected headers; neither headers nor lines nor taxes nor print rows
+    assert sum(k == ["transaction_id"] for k in moved_by(out)) <= 1
+    hdr, base = reporting.printable(i), documents.run_headers(i)
+    built = i._frames["lines"]
+    taxes = lines.build_taxes(documents.stage(i), base, built, documents.DOCUMENT)
+    selected = reports.select_documents(hdr, reporting.number_list(i), "Multiple Invoices", i["fx_lookup"], "TRANSFER")
+    plain = reports.print_detail(hdr, built, taxes, selected, footer="No sale")
+    placed = reports.print_detail(
+        hdr, built, lines.build_taxes(documents.stage(i), base, built, documents.DOCUMENT, keep_key=True), selected, footer="No sale", placed=documents.PLACED
+    )
+    assert placed.columns == plain.columns and placed.count() > 0 and rows_of(placed) == rows_of(plain)
